@@ -106,21 +106,18 @@ def prefer_diluted(candidates: DataFrame) -> DataFrame:
     return ranked.where("is_derived or _n = 1").drop("_n")
 
 
-_SLOT = Window.partitionBy("cik", "quarter")
-
-
-def _slot_order():
-    return [
+def _slot_rank() -> Column:
+    return F.row_number().over(Window.partitionBy("cik", "quarter").orderBy(
         F.col("period_end").desc(), F.col("is_derived").asc(), _diluted().desc(),
         F.col("filed").desc_nulls_last(), F.col("accn").desc_nulls_last(),
         F.col("period_start").asc(),
-    ]
+    ))
 
 
 def slot_winners(candidates: DataFrame) -> DataFrame:
     """Best candidate per company and quarter, before the plausibility guard."""
     return (
-        candidates.withColumn("_n", F.row_number().over(_SLOT.orderBy(*_slot_order())))
+        candidates.withColumn("_n", _slot_rank())
         .where("_n = 1").drop("_n")
     )
 
@@ -148,7 +145,7 @@ def eps_collisions(eps_facts: DataFrame) -> DataFrame:
         F.when(F.col("is_derived"), "D").otherwise("R"),
         F.col("period_end").cast("string"), F.col("eps"),
     )
-    ranked = cands.withColumn("_n", F.row_number().over(_SLOT.orderBy(*_slot_order())))
+    ranked = cands.withColumn("_n", _slot_rank())
 
     def won(c: str) -> Column:
         return F.max(F.when(F.col("_n") == 1, F.col(c))).alias("chosen_" + c)
