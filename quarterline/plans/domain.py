@@ -61,7 +61,7 @@ class Domain:
             "dividend": market.dividend(h, self.currency),
             "stock_split": market.stock_split(h),
             "price_daily": h.selectExpr("ticker as ticker_yahoo", "date", "close_ok as close"),
-            "ticker_map": self.loaded_ticker_map,
+            "ticker_map": self.stored_ticker_map,
         }, self.corrupt)
 
     @property
@@ -89,10 +89,18 @@ class Domain:
     def loaded_ticker_map(self) -> DataFrame:
         return universe.ticker_map(self._source(fx.ticker_source), self._source(fx.exclusions))
 
+    @cached_property
+    def stored_ticker_map(self) -> DataFrame:
+        return materialise(self.loaded_ticker_map, "ticker_map")
+
     @cached_property
     def company(self) -> DataFrame:
         return universe.company(self._source(fx.ticker_source), self._source(fx.filing_names))
 
+    @cached_property
+    def stored_company(self) -> DataFrame:
+        return materialise(self.company, "company")
+
     # --- filings ----------------------------------------------------------------------
     def _facts(self, make) -> DataFrame:
         return facts.earliest_filed(
@@ -121,8 +129,9 @@ class Domain:
     @cached_property
     def shares_quarterly(self) -> DataFrame:
         """On the basis of the quarter's price, with the fallback mark."""
-        return quality.normalise_shares(
-            self.reported_shares, self.ticker_map, self.price_quarterly, self.stock_split)
+        return materialise(quality.normalise_shares(
+            self.reported_shares, self.ticker_map, self.price_quarterly, self.stock_split),
+            "shares_quarterly")
 
     # --- composites ---------------------------------------------------------------------
     @cached_property
@@ -145,7 +154,7 @@ class Domain:
     def raw_panel(self) -> DataFrame:
         return panel.raw_panel(
             self.view_rows, self.stored_eps, self.price_quarterly, self.dividend, self.risk,
-            self.ticker_map, self.company)
+            self.ticker_map, self.stored_company)
 
     @cached_property
     def value_panel(self) -> DataFrame:

@@ -247,7 +247,7 @@ def _(d):
 
 @q("fundamentals_named")
 def _(d):
-    return fn.named_rows(d.view, d.ticker_map, d.company)
+    return fn.named_rows(d.view, d.ticker_map, d.stored_company)
 
 
 @q("ticker_series")
