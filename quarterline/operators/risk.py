@@ -64,24 +64,25 @@ def stock_risk_quarter(price_daily: DataFrame) -> DataFrame:
     # the frame of row i starts at i-251; in the last row of a block that is the block itself
     along = Window.partitionBy("ticker_yahoo").orderBy("block", "date")
     spans = F.pmod(F.col("i"), F.lit(n)) != n - 1
-    tail = F.when(spans, F.lag(
-        F.struct(*[F.col(c) for c in ("t_n", "t_mean", "t_var", "t_high", "t_closes")]), n - 1
-    ).over(along))
-    days = days.withColumn("tail", tail).where(
-        F.col("next_quarter").isNull() | (F.col("next_quarter") != F.col("quarter"))
-    )
+    tail = ("t_n", "t_mean", "t_var", "t_high", "t_closes")
+    days = days.select(
+        "ticker_yahoo", "date", "quarter", "next_quarter", "c", "ret_252d",
+        "h_n", "h_mean", "h_var", "h_high", "h_closes", spans.alias("spans"),
+        *[F.lag(t, n - 1).over(along).alias(t) for t in tail],
+    ).where(F.col("next_quarter").isNull() | (F.col("next_quarter") != F.col("quarter")))
+    part = {t: F.when(F.col("spans"), F.col(t)) for t in tail}
 
-    hn, tn = F.col("h_n"), F.coalesce("tail.t_n", F.lit(0))
+    hn, tn = F.col("h_n"), F.coalesce(part["t_n"], F.lit(0))
     count = hn + tn
-    between = F.col("tail.t_mean") - F.col("h_mean")
+    between = part["t_mean"] - F.col("h_mean")
     squares = (
         F.coalesce(F.col("h_var") * hn, F.lit(0.0))
-        + F.coalesce(F.col("tail.t_var") * tn, F.lit(0.0))
+        + F.coalesce(part["t_var"] * tn, F.lit(0.0))
         + F.coalesce(between * between * hn * tn / F.when(count > 0, count), F.lit(0.0))
     )
     vol = F.when(count >= RISK_MIN_RETURNS, F.sqrt(squares / (count - 1)) * F.sqrt(F.lit(float(n))))
-    closes = F.col("h_closes") + F.coalesce("tail.t_closes", F.lit(0))
-    high = F.greatest("h_high", "tail.t_high")
+    closes = F.col("h_closes") + F.coalesce(part["t_closes"], F.lit(0))
+    high = F.greatest(F.col("h_high"), part["t_high"])
     off_high = F.when(closes >= RISK_MIN_CLOSES, F.col("c") / high - 1)
     # a ticker without any plausible close yields nothing; a quarter is shorter than the
     # frame, so every close is seen by the sampled row of its own quarter
