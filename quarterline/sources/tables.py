@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarterline.plans.lineage import materialise
+
 BUCKET = "ticker_bucket"
 DONE = ("ok", "empty")
 
@@ -62,18 +64,26 @@ def replaced_rows(stored: DataFrame, new: DataFrame, tickers: DataFrame, key: st
 def replace_tickers(new: DataFrame, table: str, tickers: DataFrame, buckets: int) -> None:
     """Delete and re-ingest some tickers of a bucketed table.
 
-    Only the buckets of those tickers are read (partition filter) and overwritten. ``buckets``
-    is the table's fixed bucket count, which bounds what comes to the driver here.
+    Only the buckets of those tickers are read (partition filter) and overwritten, from a copy
+    in the checkpoint folder since Spark does not overwrite what it is reading. ``buckets`` is
+    the table's fixed bucket count, which bounds what comes to the driver here.
     """
     spark = new.sparkSession
     stored = spark.table(table)
     touched = [r[0] for r in with_bucket(tickers, buckets).select(BUCKET).distinct().collect()]
     old = stored.where(F.col(BUCKET).isin(touched))
-    rows = replaced_rows(old, with_bucket(new, buckets), tickers).select(*stored.columns)
+    rows = materialise(
+        replaced_rows(old, with_bucket(new, buckets), tickers).select(*stored.columns), "replace")
     # buckets that will hold nothing any more are not touched by a dynamic overwrite
     left = {r[0] for r in rows.select(BUCKET).distinct().collect()}
-    (rows.write.mode("overwrite").format("parquet")
-     .option("partitionOverwriteMode", "dynamic").insertInto(table))
+    # insertInto heeds the session's mode only; the static one would empty all other buckets
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
     for b in sorted(set(touched) - left):
         spark.sql(f"alter table {table} drop if exists partition ({BUCKET} = {int(b)})")
     spark.catalog.refreshTable(table)
