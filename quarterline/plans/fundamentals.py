@@ -90,13 +90,18 @@ def top_dividend_payers(view: DataFrame, quarter: str, n: int = 20) -> DataFrame
 
 
 def valuation_ratios(view: DataFrame) -> DataFrame:
-    """P/E, market cap in $B and dividend yield in percent, NULL where they mean nothing."""
-    px, eps, div = F.col("price"), F.col("EPS"), F.col("Dividends")
+    """P/E, market cap in $B and dividend yield in percent, NULL where they mean nothing.
+
+    Ratios are taken on decimals: as doubles, 48.66 / 0.4 falls just below the half that
+    rounding to one digit has to push up.
+    """
+    px, eps = F.col("price").cast("decimal(20,10)"), F.col("EPS").cast("decimal(14,6)")
+    div = F.col("Dividends").cast("decimal(18,10)")
     return view.select(
         "quarter", TICKER, "price", "EPS", "Dividends",
-        F.when(eps > 0, F.round(px / eps, 1)).alias("pe"),
-        F.round(px * F.col("`shares outstanding`") / 1e9, 3).alias("mktcap_b"),
-        F.when(px > 0, F.round(div * 100 / px, 3)).alias("yield_pct"),
+        F.when(eps > 0, F.round(px / eps, 1)).cast("double").alias("pe"),
+        F.round(F.col("price") * F.col("`shares outstanding`") / 1e9, 3).alias("mktcap_b"),
+        F.when(px > 0, F.round(div * 100 / px, 3)).cast("double").alias("yield_pct"),
     )
 
 

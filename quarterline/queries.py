@@ -36,7 +36,10 @@ def q(name: str):
 
 
 def _r(df: DataFrame, digits: int, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in cols})
+    """Round for comparison. Scaling first leaves a rounding to whole numbers, which engines
+    agree on; rounding a double to n digits they do not define alike."""
+    scale = 10.0 ** digits
+    return df.withColumns({c: F.round(F.col(c) * scale, 0) / scale for c in cols})
 
 
 # --- scalar functions ----------------------------------------------------------------
@@ -320,7 +323,7 @@ def _(d):
 def _(d):
     rows = _risk_rounded(d.value_panel).withColumn("mktcap", F.col("mktcap") / 1e6)
     rows = _r(rows, 8, "eps", "div_adj", "eps_present", "ttm_eps", "eps4_min", "ttm_div", "div_yield")
-    return _r(_r(rows, 4, "shares_present", "shares_lag"), 5, "pe", "mktcap")
+    return _r(_r(_r(rows, 4, "shares_present", "shares_lag"), 10, "pe"), 8, "mktcap")
 
 
 # --- screen and backtest -------------------------------------------------------------------------------
@@ -329,7 +332,7 @@ def _(d):
 def _(d):
     rows = screen.in_order(screen.select_holdings(d.stored_panel, SCREEN)).select(
         "quarter", "ticker", "weight", "pe")
-    return _r(_r(rows, 10, "weight"), 5, "pe")
+    return _r(rows, 10, "weight", "pe")
 
 
 @q("count_matching")
@@ -367,7 +370,7 @@ def _(d):
 @q("backtest_holdings")
 def _(d):
     rows = bt.run_backtest(d.stored_panel, SCREEN).holdings
-    return _r(_r(rows, 8, "mktcap_b", "div_yield", "vol_252d", "ret_252d", "weight"), 5, "pe")
+    return _r(_r(_r(rows, 8, "div_yield", "vol_252d", "ret_252d", "weight"), 10, "pe"), 11, "mktcap_b")
 
 
 @q("backtest_comparison")

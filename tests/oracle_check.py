@@ -41,9 +41,11 @@ def normal(columns, rows):
     return sorted(columns), sorted(tuple(canonical(r[i]) for i in order) for r in rows)
 
 
-def compare(con, sql: str, df):
+def compare(con, sql: str, df, counts: list | None = None):
     """None if equal, else a short description of the difference."""
     got = normal(df.columns, [tuple(r) for r in df.collect()])
+    if counts is not None:
+        counts.append(len(got[1]))
     cur = con.execute(sql)
     want = normal([c[0] for c in cur.description], cur.fetchall())
     if got[0] != want[0]:
@@ -69,14 +71,14 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(sf_dir), e.oracle_sql(), 0
     for name in names:
-        t0 = time.time()
+        t0, counts = time.time(), []
         try:
             df = e.queries()[name](spark, sf_dir)
-            diff = compare(con, sqls[name], df) if name in sqls else "no oracle"
+            diff = compare(con, sqls[name], df, counts) if name in sqls else "no oracle"
         except Exception as x:  # noqa: BLE001
             diff = f"{type(x).__name__}: {str(x)[:700]}"
         bad += diff is not None
-        print(f"{'ok  ' if diff is None else 'FAIL'} {name} {time.time() - t0:.1f}s {diff or ''}", flush=True)
+        print(f"{'ok  ' if diff is None else 'FAIL'} {name} {time.time() - t0:.1f}s rows={counts} {diff or ''}", flush=True)
     print(f"{len(names) - bad}/{len(names)} equal")
     return bad
 
