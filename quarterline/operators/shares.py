@@ -28,6 +28,7 @@ def shares_spine(eps_quarterly: DataFrame, shares_facts: DataFrame) -> DataFrame
 # on-or-after before earlier, then the latest filing (an unknown one first).
 _FILED_SPAN = 1 << 23
 _FILED_BASE = 1_000_000  # days, keeps every representable date positive
+_SPINE = -1  # stands for the quarter a fact adds to the spine
 
 
 def shares_quarterly(eps_quarterly: DataFrame, shares_facts: DataFrame) -> DataFrame:
@@ -37,24 +38,32 @@ def shares_quarterly(eps_quarterly: DataFrame, shares_facts: DataFrame) -> DataF
     count dated E-45..E-1, latest; (3) balance-sheet count within 120 days, nearest, on or
     after E first. Counts that are not plausible are passed over before ranking.
 
-    A count can serve only the three or four quarters around its date, so it is expanded to
-    those and the choice is one aggregation on (cik, quarter). Company and dates are never
-    joined by range.
+    A count can serve only the three or four quarters around its date, so every fact is
+    expanded to those plus the quarter it adds to the spine, and the choice is one aggregation
+    on (cik, quarter). Facts are read once; company and dates are never joined by range.
     """
+    v = F.bround("value", 0)
     usable = (
-        shares_facts.where(F.col("is_instant") & F.col("concept").isin(SHARES_DEI, SHARES_GAAP))
-        .select(
-            "cik", "concept", F.col("period_end").alias("as_of"), "filed",
-            F.bround("value", 0).alias("v"),
-        )
-        .where((F.col("v") > 0) & (F.col("v") <= SHARES_MAX))
+        F.col("is_instant") & F.col("concept").isin(SHARES_DEI, SHARES_GAAP)
+        & (v > 0) & (v <= SHARES_MAX)
     )
     near = F.sequence(
         day_qidx(F.date_sub("as_of", TIER3_DAYS_AROUND)),
         day_qidx(F.date_add("as_of", TIER3_DAYS_AROUND)),
     )
-    cand = usable.withColumn("qidx", F.explode(near)).withColumn(
-        "gap", F.datediff("as_of", quarter_end_from_idx(F.col("qidx")))
+    spine = F.array(F.lit(_SPINE))
+    rows = shares_facts.select(
+        "cik", "concept", F.col("period_end").alias("as_of"), "filed",
+        F.when(usable, v).cast("long").alias("v"),
+    ).withColumn(
+        "q", F.explode(F.when(F.col("v").isNotNull(), F.concat(spine, near)).otherwise(spine))
+    )
+    wanted = F.col("q") == _SPINE
+    gap = F.when(~wanted, F.datediff("as_of", quarter_end_from_idx(F.col("q"))))
+    rows = rows.select(
+        "cik", "concept", "as_of", "filed", "v", wanted.alias("wanted"), gap.alias("gap"),
+        F.when(wanted, snap_quarter(F.col("as_of"))).otherwise(quarter_from_idx(F.col("q")))
+        .alias("quarter"),
     )
     dei = F.col("concept") == SHARES_DEI
     tier = (
@@ -69,17 +78,11 @@ def shares_quarterly(eps_quarterly: DataFrame, shares_facts: DataFrame) -> DataF
         (tier.cast("long") * 1024 + F.abs("gap") * 2 + F.when(F.col("gap") >= 0, 0).otherwise(1))
         * _FILED_SPAN + filed_rank
     )
-    cand = cand.withColumn("key", key).where("key is not null").select(
-        "cik", quarter_from_idx(F.col("qidx")).alias("quarter"),
-        F.col("v").cast("long").alias("v"), "as_of", "filed", "key", F.lit(False).alias("wanted"),
-    )
-    none = {c: F.lit(None).cast(t) for c, t in
-            (("v", "long"), ("as_of", "date"), ("filed", "date"), ("key", "long"))}
-    wanted = eps_quarterly.select("cik", "quarter").union(
-        shares_facts.select("cik", snap_quarter(F.col("period_end")).alias("quarter"))
-    ).select("cik", "quarter", *[v.alias(k) for k, v in none.items()], F.lit(True).alias("wanted"))
+    columns = ("cik", "quarter", "wanted", "key", "v", "as_of", "filed")
+    cand = rows.withColumn("key", key).where("wanted or key is not null").select(*columns)
+    wanted = eps_quarterly.select("cik", "quarter", F.lit(True).alias("wanted"))
 
-    best = cand.unionByName(wanted).groupBy("cik", "quarter").agg(
+    best = cand.unionByName(wanted, allowMissingColumns=True).groupBy("cik", "quarter").agg(
         F.max("wanted").alias("wanted"), F.min("key").alias("key"),
         F.min_by("v", "key").alias("shares"), F.min_by("as_of", "key").alias("as_of"),
         F.min_by("filed", "key").alias("filed"),
