@@ -5,6 +5,7 @@ pipeline writes tables; everything else stays one lazy plan.
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,13 @@ class Domain:
     def _source(self, make) -> DataFrame:
         return make(self.spark, self.sf_dir)
 
+    def _store_inputs(self) -> None:
+        """Write the steps that do not depend on each other side by side, as none of them keeps
+        a cluster busy to its end."""
+        steps = ("stored_history", "stored_eps", "stored_ticker_map")
+        with ThreadPoolExecutor(len(steps)) as pool:
+            list(pool.map(lambda step: getattr(self, step), steps))
+
     # --- market ---------------------------------------------------------------------
     @cached_property
     def history(self) -> DataFrame:
@@ -129,6 +137,7 @@ class Domain:
     @cached_property
     def shares_quarterly(self) -> DataFrame:
         """On the basis of the quarter's price, with the fallback mark."""
+        self._store_inputs()
         return materialise(quality.normalise_shares(
             self.reported_shares, self.ticker_map, self.price_quarterly, self.stock_split),
             "shares_quarterly")
@@ -146,6 +155,10 @@ class Domain:
             self.stored_eps, self.shares_quarterly, self.price_quarterly, self.dividend,
             self.ticker_map)
 
+    @cached_property
+    def stored_view(self) -> DataFrame:
+        return materialise(self.view, "view")
+
     @cached_property
     def risk(self) -> DataFrame:
         return risk.stock_risk_quarter(self.price_daily)

@@ -622,4 +622,4 @@ def _(d):
 
 @q("dq_violation_report")
 def _(d):
-    return dq.violation_report(d.stored_eps, d.shares_quarterly, d.price_quarterly, d.dividend, d.view, fx.AS_OF)
+    return dq.violation_report(d.stored_eps, d.shares_quarterly, d.price_quarterly, d.dividend, d.stored_view, fx.AS_OF)

@@ -91,3 +91,25 @@ def test_lineage_folder_is_the_clusters(spark):
     assert root == spark.conf.get("spark.checkpoint.dir")
     df = materialise(spark.range(3).toDF("n"), "t")
     assert df.count() == 3 and all(root in f for f in df.inputFiles())
+
+
+def test_prepare(spark):
+    """Both derived tables from the whole pipeline; what is there is not built again."""
+    from quarterline.constants import VALUE_PANEL_COLUMNS
+    from quarterline.plans.domain import Domain
+
+    d = Domain(spark, "/root/testdata/sf0.001")
+    args = (spark, d.price_daily, d.view_rows, d.stored_eps, d.price_quarterly, d.dividend, d.stock_split,
+            d.ticker_map, d.stored_company)
+    for t in (load.RISK_TABLE, load.PANEL_TABLE):
+        spark.sql(f"drop table if exists {t}")
+    assert load.prepare(*args) == {load.RISK_TABLE: True, load.PANEL_TABLE: True}
+    panel = load.load_panel(spark, dt.date(2026, 1, 1))
+    assert tuple(panel.columns) == VALUE_PANEL_COLUMNS
+    assert panel.count() == d.value_panel.count() > 0
+    assert load.prepare(*args) == {load.RISK_TABLE: False, load.PANEL_TABLE: False}
+    # only the missing one is rebuilt
+    spark.sql(f"drop table {load.PANEL_TABLE}")
+    assert load.prepare(*args) == {load.RISK_TABLE: False, load.PANEL_TABLE: True}
+    for t in (load.RISK_TABLE, load.PANEL_TABLE):
+        spark.sql(f"drop table {t}")
