@@ -1,29 +1,50 @@
-"""Cut a long lineage by writing a table to the shared checkpoint folder."""
+"""Cut a long lineage by writing a table to the folder that driver and executors share."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``. Only a local session without
-    the setting gets a folder of its own."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="quarterline-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``; where it is unset, a folder beside the
+    session's tables, which executors see as well. The master plays no part."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+    return root.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def session_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder. It goes when the application ends."""
+    path = f"{shared_folder(spark)}/quarterline-{spark.sparkContext.applicationId}"
+    jvm_path, fs = _handle(spark, path)
+    if not fs.exists(jvm_path):
+        fs.mkdirs(jvm_path)
+        fs.deleteOnExit(jvm_path)
+    return path
+
+
+def _handle(spark: SparkSession, path: str):
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder of an earlier step that nothing reads any more."""
+    jvm_path, fs = _handle(spark, path)
+    fs.delete(jvm_path, True)
+
+
+def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it back.
 
     Unlike cached blocks the table survives lost executors, and later reads prune columns and
     push filters into it.
     """
-    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
