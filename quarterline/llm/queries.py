@@ -4,8 +4,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarterline.llm import bpe
+from quarterline.llm import bpe, secrets, token_counts as tc, token_files
+from quarterline.plans.lineage import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,3 +30,46 @@ def _(spark, sf_dir):
     return bpe.round_trip_digests(docs, "text", bpe.default_tokenizer()).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
+
+
+@q("op4_token_files")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_files.write(docs, "doc_id", "text", bpe.default_tokenizer(), end_id=2)
+    return token_files.read_checksums(manifest)
+
+
+@q("op9_secret_scan")
+def _(spark, sf_dir):
+    return secrets.scan_table(table(spark, sf_dir, "documents"), "doc_id", "text").select(
+        F.col("path").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@q("op8_token_rollup")
+def _(spark, sf_dir):
+    """Totals after four batches: all documents come in under two tokenizers, later copies of
+    a text go, the word counts of what is left are revised to a new version, and the second
+    batch comes once more, which changes nothing."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    counted = materialise(docs.select(
+        "doc_id", "source", "lang", F.sha2(text.cast("binary"), 256).alias("digest"),
+        tc.word_count("text").alias("words"), tc.piece_count("text").alias("pieces"),
+        tc.bpe_count(docs, "text", bpe.default_tokenizer()).alias("bpe")), "counted")
+    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    counted = materialise(counted.join(first, "digest").select(
+        "source", "lang", "words", "pieces", "bpe", (F.col("doc_id") > F.col("first_id")).alias("copy")), "counted_copies")
+
+    def both(op: str, rows):
+        line = lambda name, n: F.struct(F.lit(name).alias("tokenizer"), F.col(n).alias("n_tokens"))
+        old = [F.lit(None).cast(t).alias(f"old_{c}") for c, t in (("source", "string"), ("lang", "string"), ("tokenizer", "string"), ("tokens", "long"))]
+        return rows.select(F.lit(op).alias("op"), "source", "lang", F.explode(F.array(line("words-1", "words"), line("byte_bpe_50k-1", "bpe"))).alias("x"), *old).select("*", "x.*").drop("x")
+
+    copies = both("delete", counted.where("copy"))
+    revised = counted.where(~F.col("copy")).select(
+        F.lit("revise").alias("op"), "source", "lang", F.lit("words-2").alias("tokenizer"), F.col("pieces").alias("n_tokens"),
+        F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), F.lit("words-1").alias("old_tokenizer"), F.col("words").alias("old_tokens"))
+    rollup = tc.Rollup(spark, new_path(spark, "token_rollup"))
+    for batch, changes in (("1-load", both("insert", counted)), ("2-copies", copies), ("3-words", revised), ("2-copies", copies)):
+        rollup.apply(batch, changes)
+    return rollup.totals()
