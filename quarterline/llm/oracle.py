@@ -2,3 +2,43 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op2_warc_chunks"] = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS payload_bytes
+    FROM pages WHERE page_id IS NOT NULL
+), d AS (SELECT *, sha256(body) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+_ASSIGN = ("([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+           "[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)")
+
+
+def _kind(kind: str, at: int, pattern: str, part: int, least: int) -> str:
+    """The spans of one kind: what stands between matches has the lengths that place them."""
+    return f"""
+    SELECT doc_id, {at} AS k, '{kind}' AS kind,
+           sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY i) - length(hit) AS a,
+           sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY i) AS b, length(part) >= {least} AS kept
+    FROM (SELECT doc_id, unnest(hits) AS hit, unnest(parts) AS part, unnest(gaps[:len(hits)]) AS gap, unnest(range(len(hits))) AS i
+          FROM (SELECT doc_id, regexp_extract_all(body, '{pattern}') AS hits, regexp_extract_all(body, '{pattern}', {part}) AS parts,
+                       regexp_split_to_array(body, '{pattern}') AS gaps
+                FROM docs WHERE regexp_matches(body, '{pattern}')))"""
+
+
+ORACLE["op9_secret_scan"] = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+s AS ({_kind('assign', 0, _ASSIGN, 2, 8)} UNION ALL {_kind('access', 1, 'AKIA[A-Z0-9]+', 0, 16)}
+      UNION ALL {_kind('hex', 2, '[0-9a-f]{32,}', 0, 32)}),
+g AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+             string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(b AS BIGINT), ',' ORDER BY a, k) AS spans
+      FROM s WHERE kept GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN g USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import bpe, secrets, token_counts as tc, token_files
+from quarterline.llm import bpe, secrets, token_counts as tc, token_files, warc
 from quarterline.plans.lineage import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,10 @@ def _(spark, sf_dir):
     for batch, changes in (("1-load", both("insert", counted)), ("2-copies", copies), ("3-words", revised), ("2-copies", copies)):
         rollup.apply(batch, changes)
     return rollup.totals()
+
+
+@q("op2_warc_chunks")
+def _(spark, sf_dir):
+    archived = warc.write(warc.records(table(spark, sf_dir, "pages"), "page_id", "url", "html"))
+    return warc.read(archived, payload=False).select(
+        F.col("record_id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
