@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import bpe, secrets, token_counts as tc, token_files, warc
+from quarterline.llm import bpe, minhash_dedup, secrets, token_counts as tc, token_files, warc
 from quarterline.plans.lineage import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,8 @@ def _(spark, sf_dir):
     archived = warc.write(warc.records(table(spark, sf_dir, "pages"), "page_id", "url", "html"))
     return warc.read(archived, payload=False).select(
         F.col("record_id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+@q("op1_minhash_dedup")
+def _(spark, sf_dir):
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", width=3, percent=85)
