@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import bpe, minhash_dedup, secrets, token_counts as tc, token_files, warc
+from quarterline.llm import bpe, minhash_dedup, secrets, token_counts as tc, token_files, toxicity, warc
 from quarterline.plans.lineage import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,11 @@ def _(spark, sf_dir):
 @q("op1_minhash_dedup")
 def _(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", width=3, percent=85)
+
+
+@q("op5_toxicity_crf")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
