@@ -2,7 +2,8 @@
 
 Fitting takes a bounded sample of labelled rows (``FIT_ROWS`` of each label, the first by a hash
 of the id, texts of up to ``FIT_CHARS`` characters). Labels of documents become labels of tokens
-by the words and word beginnings that toxic documents hold significantly more often. A field
+by the words and word beginnings that stand in significantly more contexts (pairs of words
+before and after) of toxic documents; copies of a document add no context. A field
 with the states "toxic" and "other" is fitted to the tagged sentences; its features are a
 token's word and first 4, 5 and 6 bytes. A document's score is a logistic function of the sum
 and the maximum of its tokens' forward-backward marginals, fitted to the sample weighted by the
@@ -30,10 +31,12 @@ from quarterline.llm.words import BYTES, INVERSE, POWER, SLICE, U, mix
 
 FIT_ROWS = 2500
 FIT_CHARS = 20_000
-LEAST_DOCS = 5  # of the sample that hold a feature
+LEAST = 5  # contexts of a feature
+MARKED = 30  # likelihood ratio from which a feature marks tokens
 CHAIN = 256
 STEPS, RATE = 40, 0.3
 PREFIXES = (4, 5, 6)
+CERTAIN = 0.3  # marginals below it don't add up, however long a text is
 
 LETTER = np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -47,7 +50,7 @@ class Model:
     weights: np.ndarray
     bias: float
     moves: np.ndarray  # 2 x 2, in logarithms; state 1 is toxic
-    document: np.ndarray  # intercept, logarithm of the sum, maximum
+    document: np.ndarray  # weights of _document_features
     constant: float | None = None
 
     def __post_init__(self):
@@ -165,19 +168,22 @@ def _pieces(texts: list[bytes]):
         at = end
 
 
-def _document_features(total: np.ndarray, most: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones(len(total)), np.log1p(total), most], 1)
+def _document_features(total: np.ndarray, most: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Of the sum of the marginals that reach ``CERTAIN``, their maximum and the tokens' number."""
+    share = 100 * total / np.maximum(size, 200)
+    return np.stack([np.ones(len(total)), np.log1p(total), np.log1p(share), most, most ** 8], 1)
 
 
 def score(model: Model, texts: list[bytes], least: float | None = None):
     """Scores of texts and, with ``least``, the tokens whose marginal reaches it: text, start
     and end in bytes, marginal."""
-    total, most, spans = np.zeros(len(texts)), np.zeros(len(texts)), []
+    total, most, size, spans = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts)), []
     for base, data, bounds, shift in _pieces(texts):
         start, end, features, chain = tokens(data)
         p, _ = marginals(model.emission(features), chain, model.moves)
         text = base + np.searchsorted(bounds, start, side="right") - 1
-        total += np.bincount(text, p, len(texts))
+        total += np.bincount(text, np.where(p >= CERTAIN, p, 0), len(texts))
+        size += np.bincount(text, minlength=len(texts))
         np.maximum.at(most, text, p)
         if least is not None:
             for i in np.flatnonzero(p >= least).tolist():
@@ -185,33 +191,35 @@ def score(model: Model, texts: list[bytes], least: float | None = None):
                 spans.append((int(text[i]), int(start[i]) + at, int(end[i]) + at, float(p[i])))
     if model.constant is not None:
         return np.full(len(texts), model.constant), spans
-    return 1 / (1 + np.exp(-np.clip(_document_features(total, most) @ model.document, -30, 30))), spans
+    return 1 / (1 + np.exp(-np.clip(_document_features(total, most, size) @ model.document, -30, 30))), spans
 
 
 def _tagged(features: np.ndarray, doc: np.ndarray, toxic: np.ndarray):
-    """Features that ``LEAST_DOCS`` documents hold, the tokens' columns among them (-1: none),
-    and the tokens' labels."""
-    flat, owner = features.ravel(), np.repeat(doc, features.shape[1])
-    keys, place = np.unique(flat, return_inverse=True)
-    held = np.unique(place.astype(np.int64) * (len(toxic) + 1) + owner)
-    key, of = held // (len(toxic) + 1), held % (len(toxic) + 1)
-    bad = np.bincount(key[toxic[of]], minlength=len(keys)).astype(float)
-    good = np.bincount(key[~toxic[of]], minlength=len(keys)).astype(float)
-    share = toxic.mean()
+    """Features with ``LEAST`` contexts, the tokens' columns among them (-1: none), which tokens
+    have a marked feature, and the tokens' labels."""
+    n, width = features.shape
+    word = features[:, 0]
+    context = mix(np.r_[U(0), word[:-1]][:n] * U(3) + np.r_[word[1:], U(0)][:n])
+    keys, place = np.unique(features.ravel(), return_inverse=True)
+    bad_token = np.repeat(toxic[doc], width)
+    seen = mix(np.repeat(context, width) + features.ravel() * U(5) + bad_token.astype(np.uint64))
+    _, one = np.unique(seen, return_index=True)
+    bad = np.bincount(place[one][bad_token[one]], minlength=len(keys)).astype(float)
+    good = np.bincount(place[one][~bad_token[one]], minlength=len(keys)).astype(float)
+    share = bad.sum() / max(1.0, bad.sum() + good.sum())
     both = bad + good
     with np.errstate(divide="ignore", invalid="ignore"):
         g2 = 2 * (np.nan_to_num(bad * np.log(bad / (both * share))) + np.nan_to_num(good * np.log(good / (both * (1 - share)))))
-        rate = bad / toxic.sum() >= 8 * good / (~toxic).sum()
-    marked = (g2 > 25) & rate
-    kept = both >= LEAST_DOCS
+    marked = (g2 > MARKED) & (bad * (1 - share) >= 8 * good * share)
+    kept = both >= LEAST
     column = np.where(kept, np.cumsum(kept) - 1, -1)[place].reshape(features.shape)
-    label = marked[place].reshape(features.shape).any(1) & toxic[doc]
-    return keys[kept], column, label
+    able = marked[place].reshape(features.shape).any(1)
+    return keys[kept], column, able, able & toxic[doc]
 
 
 def fit(texts: list[bytes], labels: list[int], counts: tuple[int, int]) -> Model:
     """``counts``: clean and toxic rows among all that may be learned from."""
-    empty = np.empty(0, np.uint64), np.empty(0), 0.0, np.zeros((2, 2)), np.zeros(3)
+    empty = np.empty(0, np.uint64), np.empty(0), 0.0, np.zeros((2, 2)), np.zeros(5)
     toxic = np.array(labels, bool)
     if not toxic.any() or toxic.all():
         return Model(*empty, constant=counts[1] / sum(counts) if toxic.any() else 0.0)
@@ -222,12 +230,12 @@ def fit(texts: list[bytes], labels: list[int], counts: tuple[int, int]) -> Model
         docs.append(base + np.searchsorted(bounds, start, side="right") - 1)
         chains.append(chain + (chains[-1][-1] + 1 if chains and len(chains[-1]) else 0))
     features, doc, chain = np.concatenate(parts), np.concatenate(docs), np.concatenate(chains)
-    keys, column, label = _tagged(features, doc, toxic)
+    keys, column, able, label = _tagged(features, doc, toxic)
     column = np.where(column < 0, len(keys), column)
 
-    # sentences with a toxic token, and of the others four times as many
+    # sentences with a marked token, toxic or not, and of the others four times as many
     n_chains = int(chain[-1]) + 1 if len(chain) else 0
-    hit = np.bincount(chain, label, n_chains) > 0
+    hit = np.bincount(chain, able, n_chains) > 0
     spare = np.flatnonzero(~hit)
     spare = spare[np.argsort(mix(spare.astype(np.uint64) + U(5)))[:4 * max(1, int(hit.sum()))]]
     chosen = hit.copy()
@@ -252,19 +260,19 @@ def fit(texts: list[bytes], labels: list[int], counts: tuple[int, int]) -> Model
         theta -= RATE * mean / (1 - 0.9 ** k) / (np.sqrt(spread / (1 - 0.99 ** k)) + 1e-8)
         theta[n - 1] = 0
     used = np.abs(theta[:n - 1]) > 0.02
-    model = Model(keys[used], theta[:n - 1][used], float(theta[n]), theta[n + 1:].reshape(2, 2).copy(), np.zeros(3))
+    model = Model(keys[used], theta[:n - 1][used], float(theta[n]), theta[n + 1:].reshape(2, 2).copy(), np.zeros(5))
 
     p, _ = marginals(model.emission(features), chain, model.moves)
     most = np.zeros(len(texts))
     np.maximum.at(most, doc, p)
-    x = _document_features(np.bincount(doc, p, len(texts)), most)
+    x = _document_features(np.bincount(doc, np.where(p >= CERTAIN, p, 0), len(texts)), most, np.bincount(doc, minlength=len(texts)))
     weight = np.where(toxic, counts[1] / toxic.sum(), counts[0] / (~toxic).sum())
     weight /= weight.mean()
-    b = np.zeros(3)
+    b = np.zeros(x.shape[1])
     for _ in range(25):  # Newton steps with a ridge
         q = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
         slope = x.T @ (weight * (q - toxic)) + 0.05 * b
-        curve = (x * (weight * q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(3)
+        curve = (x * (weight * q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(len(b))
         b -= np.linalg.solve(curve, slope)
     model.document = b
     return model
