@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import bpe, minhash_dedup, secrets, token_counts as tc, token_files, toxicity, warc
+from quarterline.llm import bpe, decontaminate, minhash_dedup, secrets, token_counts as tc, token_files, toxicity, warc
 from quarterline.plans.lineage import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,8 @@ def _(spark, sf_dir):
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, model).select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@q("op10_string_tiling")
+def _(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
