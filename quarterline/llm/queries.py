@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import bpe, decontaminate, minhash_dedup, secrets, token_counts as tc, token_files, toxicity, warc
+from quarterline.llm import bpe, decontaminate, minhash_dedup, secrets, suffix_dedup, token_counts as tc, token_files, toxicity, warc
 from quarterline.plans.lineage import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,8 @@ def _(spark, sf_dir):
 @q("op10_string_tiling")
 def _(spark, sf_dir):
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@q("op6_suffix_dedup")
+def _(spark, sf_dir):
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"), "doc_id", "text")
