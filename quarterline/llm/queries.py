@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import bpe, decontaminate, minhash_dedup, secrets, suffix_dedup, token_counts as tc, token_files, toxicity, warc
+from quarterline.llm import bpe, decontaminate, minhash_dedup, secrets, suffix_dedup, token_counts as tc, token_files, topk, toxicity, warc
 from quarterline.plans.lineage import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,8 @@ def _(spark, sf_dir):
 @q("op6_suffix_dedup")
 def _(spark, sf_dir):
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@q("op3_maxscore_topk")
+def _(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0)
