@@ -9,9 +9,9 @@ Candidates: sets that are equal are one class from the start. Classes that share
 bands of ``ROWS`` coordinates are candidates; a pair at 0.85 shares none with a chance of 6e-11
 (at 0.8: 5e-8). A bucket is never paired up. Its member that shares the most with others is its
 hub, and members are compared with their hubs. What the hubs connect needs no comparing any
-more; of the rest, a text is out where too few of its shingles occur in any other component for
-it to reach the threshold, and what then still shares a bucket across components is compared in
-full. So no link between different texts is lost, and a group of near copies of any size costs
+more; of the rest, a text is out where too few of its shingles occur in any other component to
+reach the threshold with a partner of any size in its bucket, and what then still shares a
+bucket across components is compared in full. So no link between different texts is lost, and a group of near copies of any size costs
 about one comparison for each member and band.
 
 Nulls and texts without words have no shingles and are linked with nothing; a null id likewise,
@@ -130,15 +130,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _mixed(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """Bucket rows with components, of the buckets where several components meet."""
-    rows = buckets.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+def _several(rows: DataFrame) -> DataFrame:
+    """The rows of buckets where several components meet."""
     several = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     return rows.join(several, "key", "left_semi")
 
 
 def _reachable(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Without the members of which too few shingles occur in any other component to link."""
+    """The members, with ``x``, that can link across components: the number of a member's
+    shingles that occur in several components bounds what it shares with a member of another,
+    and so the size of any partner. Who finds no member that small in its bucket is out."""
     own = mixed.select("id", "component", "n").distinct()
     listed = own.join(sets, "id")
 
@@ -151,8 +152,10 @@ def _reachable(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     rows = listed.select("id", "component", "n", "packed").mapInArrow(run, "id long, component long, n long, s long")
     shared = rows.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("s")
-    able = rows.join(shared, "s", "left_semi").groupBy("id", "n").count().where(F.col("count") * 100 >= F.col("n") * percent)
-    return mixed.join(able.select("id"), "id", "left_semi")
+    able = rows.join(shared, "s", "left_semi").groupBy("id").agg(F.count("*").alias("x"))
+    kept = mixed.join(able, "id").where(F.col("x") * 100 >= F.col("n") * percent)
+    least = kept.groupBy("key").agg(F.min("n").alias("least"))
+    return kept.join(least, "key").where(F.col("least") * percent <= F.col("x") * (100 + percent) - F.col("n") * percent).drop("least")
 
 
 def links(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -183,11 +186,13 @@ def links(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) ->
     found = materialise(components(linked), "components")
 
     # what hubs did not connect: compared across components
-    able = _reachable(materialise(_mixed(buckets.drop("crowd"), found), "mixed"), sets, percent)
-    able = materialise(_mixed(able.select("key", "id", "n"), found), "able")
-    left, right = (able.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "component")]) for s in "xy")
-    rest = left.join(right, "key").where("id_x > id_y AND component_x <> component_y").where(close(F.col("n_x"), F.col("n_y"))).select(
-        F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
+    placed = buckets.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+    able = materialise(_several(_reachable(materialise(_several(placed), "mixed"), sets, percent)), "able")
+    left, right = (able.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "x", "component")]) for s in "ab")
+    common = F.least("x_a", "x_b")
+    could = common * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    rest = left.join(right, "key").where("id_a > id_b AND component_a <> component_b").where(close(F.col("n_a"), F.col("n_b")) & could).select(
+        F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     more = materialise(_verified(rest, sets, percent), "more_links")
     edges = linked.unionByName(more).unionByName(equal)
     return sketch, materialise(components(edges), "components")
