@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from quarterline.llm.words import BYTES, INVERSE, POWER, SLICE, U, mix
 
-FIT_ROWS = 2500
+FIT_ROWS = 1500
 FIT_CHARS = 20_000
 LEAST = 5  # contexts of a feature
 MARKED = 30  # likelihood ratio from which a feature marks tokens
@@ -196,25 +196,37 @@ def score(model: Model, texts: list[bytes], least: float | None = None):
 
 def _tagged(features: np.ndarray, doc: np.ndarray, toxic: np.ndarray):
     """Features with ``LEAST`` contexts, the tokens' columns among them (-1: none), which tokens
-    have a marked feature, and the tokens' labels."""
+    have a marked feature, and the tokens' labels. One kind of feature at a time, which bounds
+    the memory."""
     n, width = features.shape
     word = features[:, 0]
     context = mix(np.r_[U(0), word[:-1]][:n] * U(3) + np.r_[word[1:], U(0)][:n])
-    keys, place = np.unique(features.ravel(), return_inverse=True)
-    bad_token = np.repeat(toxic[doc], width)
-    seen = mix(np.repeat(context, width) + features.ravel() * U(5) + bad_token.astype(np.uint64))
-    _, one = np.unique(seen, return_index=True)
-    bad = np.bincount(place[one][bad_token[one]], minlength=len(keys)).astype(float)
-    good = np.bincount(place[one][~bad_token[one]], minlength=len(keys)).astype(float)
-    share = bad.sum() / max(1.0, bad.sum() + good.sum())
-    both = bad + good
-    with np.errstate(divide="ignore", invalid="ignore"):
-        g2 = 2 * (np.nan_to_num(bad * np.log(bad / (both * share))) + np.nan_to_num(good * np.log(good / (both * (1 - share)))))
-    marked = (g2 > MARKED) & (bad * (1 - share) >= 8 * good * share)
-    kept = both >= LEAST
-    column = np.where(kept, np.cumsum(kept) - 1, -1)[place].reshape(features.shape)
-    able = marked[place].reshape(features.shape).any(1)
-    return keys[kept], column, able, able & toxic[doc]
+    bad_token = toxic[doc]
+    counts = []
+    for k in range(width):
+        keys, place = np.unique(features[:, k], return_inverse=True)
+        place = place.astype(np.int32)
+        _, one = np.unique(mix(context + features[:, k] * U(5) + bad_token.astype(np.uint64)), return_index=True)
+        bad = np.bincount(place[one][bad_token[one]], minlength=len(keys)).astype(float)
+        good = np.bincount(place[one][~bad_token[one]], minlength=len(keys)).astype(float)
+        counts.append((keys, place, bad, good))
+    all_bad, all_good = (sum(float(c[i].sum()) for c in counts) for i in (2, 3))
+    share = all_bad / max(1.0, all_bad + all_good)
+    able, column, kept_keys, base = np.zeros(n, bool), np.empty((n, width), np.int32), [], 0
+    for k, (keys, place, bad, good) in enumerate(counts):
+        both = bad + good
+        with np.errstate(divide="ignore", invalid="ignore"):
+            g2 = 2 * (np.nan_to_num(bad * np.log(bad / (both * share))) + np.nan_to_num(good * np.log(good / (both * (1 - share)))))
+        marked = (g2 > MARKED) & (bad * (1 - share) >= 8 * good * share)
+        kept = both >= LEAST
+        able |= marked[place]
+        column[:, k] = np.where(kept, base + np.cumsum(kept) - 1, -1)[place]
+        kept_keys.append(keys[kept])
+        base += int(kept.sum())
+    found = np.concatenate(kept_keys)
+    order = np.argsort(found)
+    rank = np.append(np.argsort(order), -1).astype(np.int32)  # the last stands for "none"
+    return found[order], rank[column], able, able & bad_token
 
 
 def fit(texts: list[bytes], labels: list[int], counts: tuple[int, int]) -> Model:
