@@ -20,6 +20,7 @@ Other columns are never inputs. An empty table gives no rows.
 """
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -306,8 +307,16 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     chosen = first(0).unionByName(first(1))  # FIT_ROWS of each label at most: small enough to broadcast
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     sample = docs.where(F.length(F.coalesce(F.col(text), F.lit(""))) <= FIT_CHARS).select(F.col(doc_id).alias("id"), body.alias("t")).join(
-        F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("t").alias("t")).sort("id", "y").collect()
-    return fit([bytes(r.t) for r in sample], [r.y for r in sample], (counts.get(0, 0), counts.get(1, 0)))
+        F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("t").alias("t"))
+    known_counts = counts.get(0, 0), counts.get(1, 0)
+
+    def run(batches):
+        rows = [r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        model = fit([t for _, t in rows], [y for y, _ in rows], known_counts)
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
+
+    # a bounded sample is fitted by one task; the driver sees the model only
+    return pickle.loads(sample.repartition(1).sortWithinPartitions("id", "y").select("y", "t").mapInArrow(run, "model binary").first().model)
 
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text", into: str = "score", spans: str | None = None) -> DataFrame:
