@@ -10,6 +10,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarterline.constants import CONCEPT_REGISTRY
 
 AS_OF = dt.date(2026, 1, 1)
 
@@ -24,7 +27,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         "concat('S', l_suppkey, if(l_suppkey % 10 = 0 and l_linenumber % 2 = 0, '-B', '-A')) as ticker",
         "cast(l_shipdate as date) as d",
-        "(l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey as pos",
+        "l_orderkey * 10 + l_linenumber as pos",
         "cast(floor(l_extendedprice / l_quantity) as bigint) as b",
         "cast(floor(l_extendedprice * 100D + 0.5D) as bigint) as cents",
         "cast(l_quantity as bigint) as qty",
@@ -77,11 +80,12 @@ def currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A separate split table from urgent orders, with repeated days and unusable ratios."""
-    return table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").selectExpr(
-        "concat('S', o_custkey % 100, '-A') as ticker_yahoo",
+    """A separate split table: every order is a split of its customer's share, some days are
+    repeated and every tenth ratio is unusable."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat('S', o_custkey, '-A') as ticker_yahoo",
         "cast(o_orderdate as date) as split_date",
-        """case when o_orderkey % 50 <> 0 then 0D when o_orderstatus = 'F' then 2D
+        """case when o_orderkey % 10 = 0 then 0D when o_orderstatus = 'F' then 2D
                 when o_orderstatus = 'O' then 0.5D else 1.5D end as ratio""",
         "o_orderkey as pos",
     )
@@ -114,9 +118,10 @@ def exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names seen in filings: other names of known companies and companies without ticker."""
+    """Names seen in filings: other names of known companies and, with negative numbers that no
+    known one has, companies without ticker."""
     return table(spark, sf_dir, "supplier").selectExpr(
-        "s_suppkey", "explode(array(s_suppkey, s_suppkey + 100000)) as cik",
+        "s_suppkey", "explode(array(s_suppkey, -1 - s_suppkey)) as cik",
     ).selectExpr("cik", "concat('Filer ', cik) as entity_name", "s_suppkey as pos")
 
 
@@ -223,3 +228,38 @@ def shares_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                 else cast(date_add(t, 10) as string) end as filed""",
         "((cik * 10000 + y) * 10 + q) * 10 + w as pos",
     ).selectExpr(_FACT)
+
+
+def float_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw public-float facts, one a year, with refilings and rows in another unit."""
+    base = observations(spark, sf_dir).selectExpr("l_suppkey as cik", "year(d) as y", "cents").groupBy("cik", "y").agg(
+        {"cents": "sum"}).selectExpr(
+        "*", "make_date(y, 6, 30) as e",
+        "explode(filter(array(0, if(cik % 8 = 0, 1, null), if(cik % 6 = 5, 2, null)), x -> x is not null)) as w")
+    return base.selectExpr(
+        "cik", "y", "'dei:EntityPublicFloat' as concept", "if(w = 2, 'shares', 'USD') as unit",
+        "cast(null as string) as start", "cast(e as string) as `end`",
+        "cast(`sum(cents)` * if(w = 1, 2, 1) as double) as val",
+        "concat(lpad(cast(cik as string), 10, '0'), '-', y, '-F', w) as accn", "'FY' as fp", "'10-K' as form",
+        "cast(date_add(e, 200 + w * 100) as string) as filed", "(cik * 10000 + y) * 10 + w as pos",
+    ).selectExpr(_FACT)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered facts as companies file them: one nested document for each company. Its
+    size is that of a company's own filings."""
+    rows = eps_source(spark, sf_dir).unionByName(shares_source(spark, sf_dir)).unionByName(float_source(spark, sf_dir))
+    one = F.struct(*[F.col(c).cast("string").alias(c) for c in (
+        "start", "end", "val", "accn", "fy", "fp", "form", "filed", "frame")])
+    lists = [
+        F.transform(F.array_sort(F.collect_list(F.when((F.col("concept") == c) & (F.col("unit") == u), F.struct("pos", one.alias("f"))))),
+                    lambda x: x["f"]).alias(f"{c} {u}")
+        for c, _kind, u in CONCEPT_REGISTRY
+    ]
+    by_company = rows.groupBy("cik").agg(*lists)
+    spaces = []
+    for ns in ("us-gaap", "dei"):
+        spaces.append(F.struct(*[
+            F.struct(F.struct(F.col(f"`{c} {u}`").alias(u)).alias("units")).alias(c.split(":")[1])
+            for c, _kind, u in CONCEPT_REGISTRY if c.startswith(ns + ":")]).alias(ns))
+    return by_company.select("cik", F.struct(*spaces).alias("facts"), F.lit(False).alias("is_error"))

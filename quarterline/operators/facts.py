@@ -87,7 +87,7 @@ def fact_tables(deduped: DataFrame) -> dict[str, DataFrame]:
 
     def of(kind, cols, decimal):
         return deduped.where(F.col("kind") == kind).select(
-            *[F.col(c).cast(decimal).alias(c) if c == "value" else F.col(c) for c in cols]
+            *[F.col(c).try_cast(decimal).alias(c) if c == "value" else F.col(c) for c in cols]
         )
 
     return {

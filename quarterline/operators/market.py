@@ -97,8 +97,12 @@ def price_quarterly(enriched: DataFrame, currency: DataFrame | None = None) -> D
     )
 
 
-def _dividend_rows(enriched: DataFrame) -> DataFrame:
-    """Dividend events with ``keep``. Zero marks a day without a dividend."""
+#: Zero marks a day without a dividend.
+_PAYING = "dividends is null or dividends <> 0"
+
+
+def _with_keep(enriched: DataFrame) -> DataFrame:
+    """All rows with ``as_paid`` and whether the dividend is one to ``keep``."""
     amount = finite(F.col("dividends"))
     as_paid = F.col("dividends") * F.col("factor")
     keep = (
@@ -106,13 +110,12 @@ def _dividend_rows(enriched: DataFrame) -> DataFrame:
         & (F.col("as_traded").isNull() | (as_paid <= F.col("as_traded")))
         & (F.col("dividends") < NUMERIC_MAX)
     )
-    return enriched.where("dividends is null or dividends <> 0").withColumn(
-        "as_paid", as_paid).withColumn("keep", F.coalesce(keep, F.lit(False)))
+    return enriched.withColumn("as_paid", as_paid).withColumn("keep", F.coalesce(keep, F.lit(False)))
 
 
 def dividend(enriched: DataFrame, currency: DataFrame | None = None) -> DataFrame:
     """Cash dividends, split-adjusted and as paid; capital gains are not among them."""
-    kept = _dividend_rows(enriched).where("keep").select(
+    kept = _with_keep(enriched.where(_PAYING)).where("keep").select(
         F.col("ticker").alias("ticker_yahoo"), F.col("date").alias("ex_date"),
         F.col("dividends").alias("amount"), F.col("as_paid").alias("amount_as_reported"),
         quarter_label(F.col("date")).alias("quarter"),
@@ -130,19 +133,17 @@ def fetch_status(enriched: DataFrame, universe: DataFrame) -> DataFrame:
 
 
 def load_counters(enriched: DataFrame) -> DataFrame:
-    """Rows and skips of one load. Counted per ticker first, which the windowed input is
-    partitioned by, then summed."""
-    paying = _dividend_rows(enriched).agg(
-        F.count_if("keep").alias("dividends"), F.count_if(~F.col("keep")).alias("dividends_skipped"),
-        F.count_distinct(F.when(F.col("keep"), F.col("ticker"))).alias("dividend_tickers"),
-    )
-    quarters = quarter_closes(enriched).agg(
-        F.count_if(_valid_close()).alias("quarters"),
-        F.count_if(~_valid_close()).alias("quarters_skipped"),
-    )
-    rows = enriched.agg(
-        F.count("*").alias("prices"), F.count("ratio").alias("splits"),
-        F.count_distinct("ticker").alias("tickers"),
+    """Rows and skips of one load. Everything is counted per ticker and quarter, which the
+    windowed input is partitioned for, in one pass; the sums follow."""
+    rows = _with_keep(enriched)
+    by_quarter = rows.groupBy("ticker", quarter_label(F.col("date")).alias("quarter")).agg(
+        F.count("*").alias("n"), F.count("ratio").alias("splits"), F.count_if("keep").alias("kept"),
+        F.count_if(F.expr(_PAYING) & ~F.col("keep")).alias("skipped"),
+        F.max_by("as_traded", "date").alias("close_as_traded"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return by_quarter.agg(
+        total("n").alias("prices"), total("splits").alias("splits"), F.count_distinct("ticker").alias("tickers"),
+        F.count_if(_valid_close()).alias("quarters"), F.count_if(~_valid_close()).alias("quarters_skipped"),
+        total("kept").alias("dividends"), total("skipped").alias("dividends_skipped"),
+        F.count_distinct(F.when(F.col("kept") > 0, F.col("ticker"))).alias("dividend_tickers"),
     )
-    # three one-row results
-    return rows.join(F.broadcast(quarters)).join(F.broadcast(paying))

@@ -70,7 +70,7 @@ def normalise_shares(shares_quarterly: DataFrame, ticker_map: DataFrame,
     rows = rows.withColumn("_lo", F.least("as_of", "price_date")).withColumn(
         "_hi", F.greatest("as_of", "price_date"))
     rows = rows.withColumn("_lo", F.when(F.col("price_date").isNotNull(), F.col("_lo")))
-    rows = with_factor_between(rows, splits, "ticker_yahoo", "_lo", "_hi", ["cik", "quarter"], "_f")
+    rows = with_factor_between(rows, splits, "ticker_yahoo", "_lo", "_hi", "_f")
     shares = F.col("shares").cast("double")
     moved = F.when(F.col("price_date") > F.col("as_of"), shares * F.col("_f")).when(
         F.col("as_of") > F.col("price_date"), shares / F.col("_f")

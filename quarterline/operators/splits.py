@@ -63,20 +63,17 @@ def with_factor_after(rows: DataFrame, splits: DataFrame, ticker: str,
 
 
 def with_factor_between(rows: DataFrame, splits: DataFrame, ticker: str, lo: str, hi: str,
-                        keys: list[str], out: str = "factor") -> DataFrame:
-    """Product of the ratios with ``lo < split_date <= hi``; rows are unique on ``keys``.
+                        out: str = "factor") -> DataFrame:
+    """Product of the ratios with ``lo < split_date <= hi``.
 
-    The ratios are multiplied themselves. Dividing two cumulative factors would leave 2.999...
-    where 3 is meant and change rounded share counts.
+    A ticker's splits, at most one a day, are one array in the order of their dates, so the join
+    keeps the rows as they are and each folds over its own stretch. The ratios are multiplied
+    themselves: dividing two cumulative factors would leave 2.999... where 3 is meant and change
+    rounded share counts.
     """
-    s = splits.select(F.col("ticker_yahoo").alias("_t"), F.col("split_date").alias("_d"),
-                      F.col("ratio").alias("_r"))
-    on = (
-        (F.col(ticker) == F.col("_t")) & (F.col("_d") > F.col(lo)) & (F.col("_d") <= F.col(hi))
-    )
-    carried = [c for c in rows.columns if c not in keys]
-    return (
-        rows.join(s, on, "left").groupBy(*keys)
-        .agg(*[F.any_value(c).alias(c) for c in carried],
-             F.coalesce(F.product("_r"), F.lit(1.0)).alias(out))
-    )
+    listed = splits.groupBy(F.col("ticker_yahoo").alias("_t")).agg(
+        F.array_sort(F.collect_list(F.struct("split_date", F.col("ratio").cast("double").alias("ratio")))).alias("_s"))
+    inside = F.filter("_s", lambda s: (s["split_date"] > F.col(lo)) & (s["split_date"] <= F.col(hi)))
+    product = F.aggregate(inside, F.lit(1.0), lambda f, s: f * s["ratio"])
+    return rows.join(listed, F.col(ticker) == F.col("_t"), "left").withColumn(
+        out, F.coalesce(product, F.lit(1.0))).drop("_t", "_s")

@@ -276,9 +276,10 @@ def empty_result(spark: SparkSession, s: Schedule) -> BacktestResult:
 def run_backtest(panel: DataFrame, params: ScreenParams) -> BacktestResult:
     """Lazy series, holdings, comparison and stats of a run over ``panel``.
 
-    The panel is read once for the schedule and once per result, so pass a stored one.
+    The panel is read once for the schedule and once per result, so pass a stored one. Unknown
+    delisting modes and crossed bounds are refused.
     """
-    p = params.lenient()
+    p = params.lenient().validated()
     s = make_schedule(panel, p)
     if not s.settled:
         return empty_result(panel.sparkSession, s)

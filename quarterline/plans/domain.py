@@ -1,7 +1,7 @@
 """The whole pipeline over the test tables, step by step as the stored pipeline runs it.
 
-A step that several later ones read is written to the checkpoint folder, as the stored
-pipeline writes tables; everything else stays one lazy plan.
+A step that several later ones read is written to the shared folder, once for an application
+and input folder; everything else stays one lazy plan.
 """
 from __future__ import annotations
 
@@ -13,13 +13,43 @@ from pyspark.sql import DataFrame, SparkSession
 from quarterline import fixtures as fx
 from quarterline.operators import earnings, facts, market, quality, risk, shares, universe
 from quarterline.plans import fundamentals, panel
-from quarterline.plans.lineage import materialise
+from quarterline.sources import tables
+from quarterline.plans.lineage import discard, materialise, new_path
+
+
+_KNOWN: dict[tuple[str, str], "Domain"] = {}
 
 
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Domain":
+        """The application's stored pipeline over an input folder. Its tables are written when
+        a query first needs them and reused by every later one; they go with the application.
+        ``forget`` makes the next query build them anew."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in _KNOWN:
+            _KNOWN[key] = cls(spark, sf_dir)
+        return _KNOWN[key]
+
+    @classmethod
+    def forget(cls, spark: SparkSession, sf_dir: str) -> None:
+        """Drop the stored pipeline of an input folder that has changed."""
+        old = _KNOWN.pop((spark.sparkContext.applicationId, sf_dir.rstrip("/")), None)
+        for path in old.paths if old else ():
+            discard(spark, path)
+
+    @cached_property
+    def paths(self) -> list[str]:
+        return []
+
+    def _store(self, df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+        path = new_path(self.spark, name)
+        self.paths.append(path)
+        return materialise(df, name, path, by)
+
     def _source(self, make) -> DataFrame:
         return make(self.spark, self.sf_dir)
 
@@ -43,7 +73,7 @@ class Domain:
     @cached_property
     def stored_history(self) -> DataFrame:
         """Written once: prices, splits, dividends and quarter closes all come from it."""
-        return materialise(self.enriched.select(
+        return self._store(self.enriched.select(
             "ticker", "date", "close", "adj_close", "dividends", "ratio", "factor", "close_ok",
             "as_traded"), "history")
 
@@ -53,13 +83,13 @@ class Domain:
 
     @cached_property
     def loaded_prices(self) -> DataFrame:
-        return materialise(
+        return self._store(
             quality.drop_tiny_prices(market.price_quarterly(self.stored_history, self.currency)),
             "price_quarterly")
 
     @cached_property
     def corrupt(self) -> DataFrame:
-        return materialise(quality.corrupt_tickers(self.loaded_prices), "corrupt")
+        return self._store(quality.corrupt_tickers(self.loaded_prices), "corrupt")
 
     @cached_property
     def _purged(self) -> dict[str, DataFrame]:
@@ -70,8 +100,22 @@ class Domain:
             "stock_split": market.stock_split(h),
             "price_daily": h.selectExpr("ticker as ticker_yahoo", "date", "close_ok as close"),
             "ticker_map": self.stored_ticker_map,
+            "yahoo_fetch_log": self.fetch_log,
         }, self.corrupt)
 
+    @property
+    def loaded(self) -> dict[str, DataFrame]:
+        """The tables that name tickers, before the purge. Risk and panel are built after it."""
+        h = self.stored_history
+        return {
+            "price_quarterly": self.loaded_prices, "dividend": market.dividend(h), "stock_split": market.stock_split(h),
+            "price_daily": h.selectExpr("ticker as ticker_yahoo"), "ticker_map": self.stored_ticker_map,
+            "yahoo_fetch_log": self.fetch_log}
+
+    @property
+    def purged(self) -> dict[str, DataFrame]:
+        return self._purged
+
     @property
     def price_quarterly(self) -> DataFrame:
         return self._purged["price_quarterly"]
@@ -99,7 +143,7 @@ class Domain:
 
     @cached_property
     def stored_ticker_map(self) -> DataFrame:
-        return materialise(self.loaded_ticker_map, "ticker_map")
+        return self._store(self.loaded_ticker_map, "ticker_map")
 
     @cached_property
     def company(self) -> DataFrame:
@@ -107,7 +151,7 @@ class Domain:
 
     @cached_property
     def stored_company(self) -> DataFrame:
-        return materialise(self.company, "company")
+        return self._store(self.company, "company")
 
     # --- filings ----------------------------------------------------------------------
     def _facts(self, make) -> DataFrame:
@@ -122,13 +166,21 @@ class Domain:
     def shares_facts(self) -> DataFrame:
         return self._facts(fx.shares_source)
 
+    @cached_property
+    def float_facts(self) -> DataFrame:
+        return self._facts(fx.float_source)
+
+    @cached_property
+    def fetch_log(self) -> DataFrame:
+        return tables.ledger_latest(*[fx.fetch_log(self.spark, self.sf_dir, n) for n in (1, 2)])
+
     @cached_property
     def eps_quarterly(self) -> DataFrame:
         return earnings.eps_quarterly(self.eps_facts)
 
     @cached_property
     def stored_eps(self) -> DataFrame:
-        return materialise(self.eps_quarterly, "eps_quarterly")
+        return self._store(self.eps_quarterly, "eps_quarterly")
 
     @cached_property
     def reported_shares(self) -> DataFrame:
@@ -138,36 +190,31 @@ class Domain:
     def shares_quarterly(self) -> DataFrame:
         """On the basis of the quarter's price, with the fallback mark."""
         self._store_inputs()
-        return materialise(quality.normalise_shares(
+        return self._store(quality.normalise_shares(
             self.reported_shares, self.ticker_map, self.price_quarterly, self.stock_split),
             "shares_quarterly")
 
     # --- composites ---------------------------------------------------------------------
     @cached_property
     def view_rows(self) -> DataFrame:
-        return fundamentals.view_rows(
+        """Partitioned by quarter and sorted by ticker, as it is read."""
+        return self._store(fundamentals.view_rows(
             self.stored_eps, self.shares_quarterly, self.price_quarterly, self.dividend,
-            self.ticker_map)
+            self.ticker_map), "view", ("quarter", "ticker"))
 
     @cached_property
     def view(self) -> DataFrame:
-        return fundamentals.quarterly_fundamentals(
-            self.stored_eps, self.shares_quarterly, self.price_quarterly, self.dividend,
-            self.ticker_map)
-
-    @cached_property
-    def stored_view(self) -> DataFrame:
-        return materialise(self.view, "view")
+        return fundamentals.view_of(self.view_rows)
 
     @cached_property
     def risk(self) -> DataFrame:
-        return risk.stock_risk_quarter(self.price_daily)
+        return self._store(risk.stock_risk_quarter(self.price_daily), "risk")
 
     @cached_property
     def raw_panel(self) -> DataFrame:
-        return panel.raw_panel(
+        return self._store(panel.raw_panel(
             self.view_rows, self.stored_eps, self.price_quarterly, self.dividend, self.risk,
-            self.ticker_map, self.stored_company)
+            self.ticker_map, self.stored_company), "raw_panel")
 
     @cached_property
     def value_panel(self) -> DataFrame:
@@ -175,4 +222,5 @@ class Domain:
 
     @cached_property
     def stored_panel(self) -> DataFrame:
-        return materialise(self.value_panel, "value_panel")
+        """Partitioned by quarter and sorted by ticker, as screens and backtests read it."""
+        return self._store(self.value_panel, "value_panel", ("qidx", "ticker"))

@@ -66,7 +66,12 @@ def view_rows(eps_quarterly: DataFrame, shares_quarterly: DataFrame, price_quart
 
 def quarterly_fundamentals(*tables: DataFrame) -> DataFrame:
     """The view: quarter, ticker symbol, price, shares outstanding, EPS, Dividends."""
-    return view_rows(*tables).select(*[
+    return view_of(view_rows(*tables))
+
+
+def view_of(rows: DataFrame) -> DataFrame:
+    """The view's six columns of its rows."""
+    return rows.select(*[
         F.col(c).alias(name)
         for c, name in zip(("quarter", "ticker", "price", "shares", "eps", "dividends"), VIEW_COLUMNS)
     ])
@@ -78,8 +83,11 @@ def ticker_series(view: DataFrame, ticker: str) -> DataFrame:
     return view.where(F.col(TICKER) == ticker).orderBy("quarter")
 
 
-def latest_quarters(view: DataFrame, ticker: str, n: int = 4) -> DataFrame:
-    return view.where(F.col(TICKER) == ticker).orderBy(F.desc("quarter")).limit(n)
+def latest_quarters(rows: DataFrame, ticker: str, n: int = 4) -> DataFrame:
+    """The view's last rows of a ticker; of one quarter the company with the smaller number
+    goes first. ``rows`` are the view's rows with their ``cik``."""
+    last = rows.where(F.col("ticker") == ticker).orderBy(F.desc("quarter"), F.col("cik").asc_nulls_last()).limit(n)
+    return view_of(last)
 
 
 def top_dividend_payers(view: DataFrame, quarter: str, n: int = 20) -> DataFrame:

@@ -29,6 +29,11 @@ def _handle(spark: SparkSession, path: str):
     return jvm_path, jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of a stated list of paths that are there."""
+    return [p for p in paths if (h := _handle(spark, p))[1].exists(h[0])]
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -39,12 +44,17 @@ def discard(spark: SparkSession, path: str) -> None:
     fs.delete(jvm_path, True)
 
 
-def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, path: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet and read it back.
 
     Unlike cached blocks the table survives lost executors, and later reads prune columns and
-    push filters into it.
+    push filters into it. The first column of ``by`` is the table's partition, inside which rows
+    are sorted by the others; ranges of all of them are dealt out, so a large partition is
+    written by several tasks.
     """
     path = path or new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if by:
+        df.repartitionByRange(*by).sortWithinPartitions(*by).write.partitionBy(by[0]).parquet(path)
+    else:
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -24,7 +24,7 @@ def raw_panel(view_rows: DataFrame, eps_quarterly: DataFrame, price_quarterly: D
     """View rows with EPS provenance, split-adjusted price and dividends, risk and name.
 
     A ticker's own company is its smallest cik; EPS provenance is that company's even where
-    the view row belongs to another one. All tables are put on (cik of the view, ticker,
+    the view row belongs to another one, named by ``view_cik``. All tables are put on (cik of the view, ticker,
     quarter) and met in one aggregation; rows the view does not have are dropped after it.
     """
     pairs = ticker_pairs(ticker_map)
@@ -53,21 +53,23 @@ def raw_panel(view_rows: DataFrame, eps_quarterly: DataFrame, price_quarterly: D
             (by_ticker(risk.drop("price_date")), same("vol_252d", "ret_252d", "off_high_252d")),
         ],
         ("cik", "ticker", "quarter"), measures,
-    ).where("in_view").drop("cik", "in_view")
+    ).where("in_view").withColumnRenamed("cik", "view_cik").drop("in_view")
     return met.join(named, "ticker", "left").select(*[
         F.col({"cik": "own_cik", "name": "entity_name"}.get(c, c)).alias(c)
         for c in RAW_PANEL_COLUMNS
-    ])
+    ], "view_cik")
 
 
 def dense_panel(raw: DataFrame) -> DataFrame:
     """Contiguous quarters per ticker from its first to its last; missing rows are NULL.
 
-    One row per (ticker, quarter) is kept. A row is expanded up to the next one of its
+    One row per (ticker, quarter) is kept, that of the company with the smallest number in the
+    view (``view_cik`` where the input has it). A row is expanded up to the next one of its
     ticker, so no calendar is joined and the partitioning by ticker stays.
     """
+    view_cik = "view_cik" if "view_cik" in raw.columns else "cik"
     in_order = Window.partitionBy("ticker").orderBy(
-        "qidx", F.col("cik").asc_nulls_last(), F.col("shares").desc_nulls_last(),
+        "qidx", F.col(view_cik).asc_nulls_last(), F.col("shares").desc_nulls_last(),
         F.col("eps").desc_nulls_last(),
     )
     by_quarter = Window.partitionBy("ticker").orderBy("qidx")

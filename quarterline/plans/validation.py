@@ -86,7 +86,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def coverage_summary(eps: DataFrame, shares: DataFrame, price_daily: DataFrame,
                      dividend: DataFrame, price_quarterly: DataFrame) -> DataFrame:
-    """Rows and distinct keys of the main tables in one row."""
+    """Rows and distinct keys of the main tables in one row, from one row of each table."""
     basic = F.col("concept").contains("Basic")
     parts = [
         eps.agg(F.count("*").alias("eps_rows"), F.count_if("is_derived").alias("eps_derived_rows"),
@@ -194,18 +194,27 @@ def dividend_mismatches(view_rows: DataFrame, dividend: DataFrame) -> DataFrame:
 
 def violation_report(eps: DataFrame, shares: DataFrame, price_quarterly: DataFrame,
                      dividend: DataFrame, view: DataFrame, as_of: dt.date) -> DataFrame:
-    """``check, violations`` for the invariants that need no named company."""
-    checks = {
-        "eps_over_max": implausible_eps(eps),
-        "eps_malformed_quarter": malformed_quarters(eps),
-        "shares_malformed_quarter": malformed_quarters(shares),
-        "shares_out_of_window": shares_out_of_window(shares),
-        "shares_implausible": implausible_shares(shares),
-        "shares_missing_basis": missing_basis(shares),
-        "view_duplicates": duplicates(view, "quarter", "ticker symbol"),
-        "view_empty_rows": empty_view_rows(view),
-        "view_future_quarters": future_quarters(view, as_of),
-        "dividend_duplicates": duplicates(dividend, "ticker_yahoo", "ex_date"),
-        "price_corrupt_jumps": corrupt_jumps(price_quarterly),
-    }
-    return row_counts(checks).select(F.col("table_name").alias("check"), F.col("n").alias("violations"))
+    """``check, violations`` for the invariants that need no named company; one pass a table."""
+    bad_label = F.count_distinct(F.when(~F.col("quarter").rlike(QUARTER_LABEL_PATTERN), F.col("quarter")))
+    of_eps = eps.agg(F.count_if(F.abs("eps") > EPS_ABS_MAX).alias("eps_over_max"),
+                     bad_label.alias("eps_malformed_quarter"))
+    gap = F.abs(F.datediff("as_of", quarter_end(F.col("quarter"))))
+    of_shares = shares.agg(
+        bad_label.alias("shares_malformed_quarter"), F.count_if(gap > TIER3_DAYS_AROUND).alias("shares_out_of_window"),
+        F.count_if((F.col("shares") <= 0) | (F.col("shares") > SHARES_MAX)).alias("shares_implausible"),
+        F.count_if(F.col("shares_at_price_basis").isNull()).alias("shares_missing_basis"))
+    nothing = (F.col("price").isNull() & F.col("`shares outstanding`").isNull()
+               & F.col("EPS").isNull() & F.col("Dividends").isNull())
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    of_view = view.groupBy("quarter", TICKER).agg(F.count("*").alias("n"), F.count_if(nothing).alias("empty")).agg(
+        F.count_if(F.col("n") > 1).alias("view_duplicates"), total("empty").alias("view_empty_rows"),
+        total(F.when(F.col("quarter") > quarter_label(F.lit(as_of)), F.col("n"))).alias("view_future_quarters"))
+    of_dividends = duplicates(dividend, "ticker_yahoo", "ex_date").agg(F.count("*").alias("dividend_duplicates"))
+    of_prices = corrupt_jumps(price_quarterly).agg(F.count("*").alias("price_corrupt_jumps"))
+    out = None
+    for one_row in (of_eps, of_shares, of_view, of_dividends, of_prices):
+        listed = F.inline(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).cast("long").alias("violations"))
+                                    for c in one_row.columns]))
+        part = one_row.select(listed)
+        out = part if out is None else out.unionByName(part)
+    return out

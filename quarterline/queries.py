@@ -19,18 +19,22 @@ from quarterline.plans import fundamentals as fn
 from quarterline.plans import panel as pn
 from quarterline.plans import validation as dq
 from quarterline.plans.domain import Domain
-from quarterline.sources import tables as tb
+from quarterline.sources import filings, tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SCREEN = ScreenParams.screen(pe_max=60.0, vol_max=45.0)
 ANNUAL = ScreenParams.screen(pe_max=60.0, vol_max=45.0, freq="annual")
+SEMIANNUAL = ScreenParams.screen(pe_max=60.0, vol_max=45.0, freq="semiannual")
+WRITEOFF = ScreenParams.screen(pe_max=60.0, vol_max=45.0, delist_mode="writeoff")
+DEFAULT = ScreenParams.backtest()
+LIMITS = ScreenParams.backtest(pe_max=60.0, mcap_min_b=0.2, mcap_max_b=6.0, min_div_yield=0.0005, min_ret_12m=-0.5)
 
 
 def q(name: str):
     def register(f: Callable[[Domain], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: f(Domain(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: f(Domain.of(spark, sf_dir))
         return f
     return register
 
@@ -117,7 +121,20 @@ def _(d):
 @q("facts_dedup_earliest")
 def _(d):
     return d.eps_facts.select(
-        "cik", "concept", "period_start", "period_end", "value", "accn", "form", "filed")
+        "cik", "concept", "period_start", "period_end", "duration_days", "is_instant", "value", "accn", "form", "filed")
+
+
+@q("public_float_facts")
+def _(d):
+    return facts.fact_tables(d.float_facts)["public_float_facts"].select(
+        "cik", "concept", "period_end", F.col("value").cast("long").alias("value"), "accn", "form", "filed")
+
+
+@q("filing_documents_exploded")
+def _(d):
+    """Facts out of nested documents, the earliest filed of each period."""
+    parsed = facts.parse_facts(filings.explode_facts(fx.documents(d.spark, d.sf_dir)), fx.AS_OF)
+    return facts.earliest_filed(parsed).select("cik", "kind", "concept", "period_start", "period_end", "value", "accn", "filed")
 
 
 @q("eps_concept_preference")
@@ -142,7 +159,7 @@ def _(d):
 def _(d):
     rows = earnings.eps_collisions(d.eps_facts).select(
         "cik", "quarter", "n_candidates", "chosen_concept", "chosen_is_derived", "chosen_period_end",
-        "chosen_eps", "all_candidates")
+        "chosen_filed", "chosen_accn", "chosen_eps", "all_candidates")
     return _r(rows, 6, "chosen_eps")
 
 
@@ -176,20 +193,19 @@ def _(d):
 @q("split_factor_after")
 def _(d):
     s = splits.clean_splits(fx.order_splits(d.spark, d.sf_dir))
-    rows = fx.table(d.spark, d.sf_dir, "orders").selectExpr(
-        "concat('S', o_custkey % 100, '-A') as ticker", "o_orderkey",
-        "cast(o_orderdate as date) as day")
-    return splits.with_factor_after(rows, s, "ticker", {"factor": "day"}).groupBy("ticker", "day").agg(
-        F.count("*").alias("n"), F.max("factor").alias("factor"))
+    days = fx.table(d.spark, d.sf_dir, "orders").groupBy(
+        F.expr("concat('S', o_custkey, '-A')").alias("ticker"), F.col("o_orderdate").cast("date").alias("day")
+    ).agg(F.count("*").alias("n"))
+    return splits.with_factor_after(days, s, "ticker", {"factor": "day"})
 
 
 @q("split_factor_between")
 def _(d):
     s = splits.clean_splits(fx.order_splits(d.spark, d.sf_dir))
     rows = fx.table(d.spark, d.sf_dir, "orders").selectExpr(
-        "concat('S', o_custkey % 100, '-A') as ticker", "o_orderkey", "cast(o_orderdate as date) as lo",
+        "concat('S', o_custkey, '-A') as ticker", "o_orderkey", "cast(o_orderdate as date) as lo",
         "date_add(cast(o_orderdate as date), cast(o_orderkey % 400 as int)) as hi")
-    return splits.with_factor_between(rows, s, "ticker", "lo", "hi", ["o_orderkey"])
+    return splits.with_factor_between(rows, s, "ticker", "lo", "hi")
 
 
 @q("price_as_traded")
@@ -260,7 +276,7 @@ def _(d):
 
 @q("latest_quarters")
 def _(d):
-    return _r(fn.latest_quarters(d.view, "S2-A"), 8, "EPS", "Dividends")
+    return _r(fn.latest_quarters(d.view_rows, "S2-A"), 8, "EPS", "Dividends")
 
 
 @q("top_dividend_payers")
@@ -303,7 +319,7 @@ def _(d):
 
 @q("raw_panel")
 def _(d):
-    return _r(_risk_rounded(d.raw_panel), 8, "eps", "div_adj")
+    return _r(_risk_rounded(d.raw_panel.drop("view_cik")), 8, "eps", "div_adj")
 
 
 @q("dense_panel")
@@ -321,7 +337,7 @@ def _(d):
 
 @q("value_panel")
 def _(d):
-    rows = _risk_rounded(d.value_panel).withColumn("mktcap", F.col("mktcap") / 1e6)
+    rows = _risk_rounded(d.stored_panel).withColumn("mktcap", F.col("mktcap") / 1e6)
     rows = _r(rows, 8, "eps", "div_adj", "eps_present", "ttm_eps", "eps4_min", "ttm_div", "div_yield")
     return _r(_r(_r(rows, 4, "shares_present", "shares_lag"), 10, "pe"), 8, "mktcap")
 
@@ -367,6 +383,32 @@ def _(d):
     return _r(bt.run_backtest(d.stored_panel, ANNUAL).series, 4, "portfolio", "benchmark")
 
 
+@q("backtest_series_semiannual")
+def _(d):
+    return _r(bt.run_backtest(d.stored_panel, SEMIANNUAL).series, 4, "portfolio", "benchmark")
+
+
+@q("backtest_series_writeoff")
+def _(d):
+    return _r(bt.run_backtest(d.stored_panel, WRITEOFF).series, 4, "portfolio", "benchmark")
+
+
+@q("backtest_series_default")
+def _(d):
+    return _r(bt.run_backtest(d.stored_panel, DEFAULT).series, 4, "portfolio", "benchmark")
+
+
+@q("backtest_series_limits")
+def _(d):
+    return _r(bt.run_backtest(d.stored_panel, LIMITS).series, 4, "portfolio", "benchmark")
+
+
+@q("backtest_holdings_default")
+def _(d):
+    rows = bt.run_backtest(d.stored_panel, DEFAULT).holdings
+    return _r(rows.select("rebalance_quarter", "ticker", "weight", "mktcap_b"), 8, "weight", "mktcap_b")
+
+
 @q("backtest_holdings")
 def _(d):
     rows = bt.run_backtest(d.stored_panel, SCREEN).holdings
@@ -382,13 +424,13 @@ def _(d):
 @q("backtest_stats")
 def _(d):
     return _r(_r(bt.run_backtest(d.stored_panel, SCREEN).stats.select(
-        "start_quarter", "end_quarter", "n_rebalances", "avg_holdings", "min_holdings",
+        "start_quarter", "end_quarter", "years", "portfolio_total_return", "benchmark_total_return", "n_rebalances", "avg_holdings", "min_holdings",
         "portfolio_final", "benchmark_final", "portfolio_cagr", "benchmark_cagr", "excess_cagr",
         "portfolio_max_dd", "benchmark_max_dd", "value_win_quarters", "benchmark_win_quarters",
         "tie_quarters", "comparison_quarters", "portfolio_mean_quarterly_return",
         "benchmark_mean_quarterly_return", "portfolio_median_quarterly_return",
         "benchmark_median_quarterly_return",
-    ), 7, "avg_holdings", "portfolio_cagr", "benchmark_cagr", "excess_cagr", "portfolio_max_dd",
+    ), 7, "years", "portfolio_total_return", "benchmark_total_return", "avg_holdings", "portfolio_cagr", "benchmark_cagr", "excess_cagr", "portfolio_max_dd",
         "benchmark_max_dd", "portfolio_mean_quarterly_return", "benchmark_mean_quarterly_return",
         "portfolio_median_quarterly_return", "benchmark_median_quarterly_return"),
         4, "portfolio_final", "benchmark_final")
@@ -431,7 +473,7 @@ def _logs(d):
 
 @q("load_upsert_absent")
 def _(d):
-    stored, new = fx.filing_names(d.spark, d.sf_dir).where("cik < 100000 and cik % 3 = 0"), \
+    stored, new = fx.filing_names(d.spark, d.sf_dir).where("cik >= 0 and cik % 3 = 0"), \
         fx.filing_names(d.spark, d.sf_dir)
     return tb.absent_rows(new, stored, ["cik"], ["pos"]).select("cik", "entity_name")
 
@@ -448,6 +490,46 @@ def _(d):
     return tb.replaced_rows(old, new, new.select("ticker_yahoo")).select("ticker_yahoo", "status", "rows")
 
 
+@q("load_replace_all")
+def _(d):
+    """Every third company's tickers loaded anew, from 1996 on, into the five tables of a load."""
+    stored = d.purged
+    names = ("price_daily", "dividend", "stock_split", "price_quarterly", "yahoo_fetch_log")
+    since = {"price_daily": "date >= '1996-01-01'", "dividend": "ex_date >= '1996-01-01'", "stock_split": "split_date >= '1996-01-01'",
+             "price_quarterly": "quarter >= '1996Q1'", "yahoo_fetch_log": "true"}
+    tickers = _logs(d)[1].select("ticker_yahoo")
+    out = tb.replaced_tables({n: stored[n] for n in names}, {n: stored[n].where(since[n]) for n in names}, tickers)
+    return dq.row_counts(out)
+
+
+@q("load_replace_todo")
+def _(d):
+    u = universe.universe(fx.ticker_source(d.spark, d.sf_dir), fx.exclusions(d.spark, d.sf_dir))
+    return tb.todo(u, tb.ledger_latest(*_logs(d)), _logs(d)[1])
+
+
+@q("purged_tables")
+def _(d):
+    before = dq.row_counts(d.loaded).withColumnRenamed("n", "before")
+    return before.join(dq.row_counts(d.purged).withColumnRenamed("n", "after"), "table_name")
+
+
+@q("dq_stored_price_bounds")
+def _(d):
+    """The bounds on the stored quarter closes."""
+    return dq.price_bounds(d.price_quarterly)
+
+
+@q("dq_stored_corrupt_jumps")
+def _(d):
+    return quality.corrupt_jumps(d.price_quarterly).agg(F.count("*").alias("n"))
+
+
+@q("dq_stored_dividend_bounds")
+def _(d):
+    return dq.dividend_bounds(d.dividend)
+
+
 @q("load_ledger_latest")
 def _(d):
     return tb.ledger_latest(*_logs(d)).select("ticker_yahoo", "status", "rows", "error")
@@ -462,10 +544,35 @@ def _(d):
 
 @q("dq_eps_anchors")
 def _(d):
-    # every tenth company's figures as expected values, one percent of them off by one cent
-    want = d.stored_eps.where("cik % 10 = 1").selectExpr(
-        "cik", "quarter", "if(cik % 100 = 1, eps + 0.01D, eps) as eps")
-    return dq.anchors(d.stored_eps, want, ["cik", "quarter"], "eps").select("cik", "quarter")
+    """Every diluted quarter's figure worked out from the order lines, without facts, filing
+    dates or slots: where the stored figure is missing or another."""
+    lines = fx.observations(d.spark, d.sf_dir).where("l_linenumber % 2 = 1").groupBy(
+        F.col("l_suppkey").alias("cik"), Q.quarter_label(F.col("d")).alias("quarter")).agg(
+        F.expr("(sum(cents) div (sum(qty) * 1000) - 195) / 100D").alias("eps"))
+    return dq.anchors(d.stored_eps, lines.where("quarter not like '%Q4'"), ["cik", "quarter"], "eps").select("cik", "quarter")
+
+
+@q("dq_share_anchors")
+def _(d):
+    """Cover-page counts on their quarter's end worked out from the order lines."""
+    lines = fx.observations(d.spark, d.sf_dir).groupBy(
+        F.col("l_suppkey").alias("cik"), Q.quarter_label(F.col("d")).alias("quarter")).agg(
+        F.expr("(l_suppkey % 50 + 1) * 1000000 + sum(qty)").alias("shares"))
+    want = lines.where("cik % 3 <> 2 and cik % 9 <> 0")
+    return dq.anchors(d.reported_shares, want, ["cik", "quarter"], "shares").groupBy("cik").agg(F.count("*").alias("n"))
+
+
+@q("dq_benchmark_anchors")
+def _(d):
+    """The benchmark's quarter closes and dividends worked out from the order lines."""
+    by_day = fx.observations(d.spark, d.sf_dir).groupBy("d").agg(F.expr(
+        "cast(sum(cents) div (sum(qty) * 100) + 2000 as double) / 100D").alias("close"))
+    want = by_day.groupBy(F.lit("SPY").alias("ticker_yahoo"), Q.quarter_label(F.col("d")).alias("quarter")).agg(
+        F.max_by("close", "d").alias("close_raw"))
+    paid = by_day.where("month(d) % 3 = 0 and day(d) = 15").select(
+        F.lit("SPY").alias("ticker_yahoo"), F.col("d").alias("ex_date"), F.lit(0.5).alias("amount"))
+    missed = dq.anchors(d.price_quarterly, want, ["ticker_yahoo", "quarter"], "close_raw").agg(F.count("*").alias("closes"))
+    return missed.join(dq.anchors(d.dividend, paid, ["ticker_yahoo", "ex_date"], "amount").agg(F.count("*").alias("dividends")))
 
 
 @q("dq_split_straddles")
@@ -532,7 +639,7 @@ def _(d):
 def _(d):
     return dq.row_counts({
         "company": d.company, "ticker_map": d.ticker_map, "eps_facts": d.eps_facts,
-        "shares_facts": d.shares_facts, "eps_quarterly": d.stored_eps,
+        "shares_facts": d.shares_facts, "public_float_facts": d.float_facts, "yahoo_fetch_log": d.purged["yahoo_fetch_log"], "eps_quarterly": d.stored_eps,
         "shares_quarterly": d.reported_shares, "price_daily": d.price_daily, "dividend": d.dividend,
         "stock_split": d.stock_split, "price_quarterly": d.price_quarterly,
         "quarterly_fundamentals": d.view,
@@ -591,7 +698,7 @@ def _(d):
     h = d.stored_history
     raw = h.where("dividends > 0 and not isnan(dividends)").selectExpr(
         "ticker as ticker_yahoo", "date as ex_date", "dividends * factor as amount_as_reported")
-    prices = h.selectExpr("ticker as ticker_yahoo", "date", "close_ok as close").where("day(date) % 2 = 0")
+    prices = h.selectExpr("ticker as ticker_yahoo", "date", "close_ok as close")
     return dq.glitch_dividends(raw, prices, market.stock_split(h)).select(
         "ticker_yahoo", "ex_date", "amount_as_reported", "at_close")
 
@@ -622,4 +729,4 @@ def _(d):
 
 @q("dq_violation_report")
 def _(d):
-    return dq.violation_report(d.stored_eps, d.shares_quarterly, d.price_quarterly, d.dividend, d.stored_view, fx.AS_OF)
+    return dq.violation_report(d.stored_eps, d.shares_quarterly, d.price_quarterly, d.dividend, d.view, fx.AS_OF)

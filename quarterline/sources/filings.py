@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterline.constants import CONCEPT_REGISTRY
+from quarterline.plans.lineage import existing
 
 _FACT = T.StructType([
     T.StructField(name, T.StringType())
@@ -45,7 +46,8 @@ def entry_name(cik: int) -> str:
 def read_documents(spark: SparkSession, directory: str, ciks: list[int] | None = None) -> DataFrame:
     """Documents with ``cik``, ``entity_name``, ``facts``, ``file_name`` and ``is_error``.
 
-    ``ciks`` lists the files to open instead of scanning the directory. A file that is no
+    ``ciks`` lists the files to open, and only those are looked at; the ones that are missing
+    are passed over. A file that is no
     JSON document yields one row with ``is_error``; it never stops the load.
     """
     reader = (
@@ -57,8 +59,7 @@ def read_documents(spark: SparkSession, directory: str, ciks: list[int] | None =
     if ciks is None:
         docs = reader.json(directory)
     else:
-        wanted = "{" + ",".join(entry_name(c) for c in sorted(set(ciks))) + "}"
-        docs = reader.option("pathGlobFilter", wanted).json(directory)
+        docs = reader.json(existing(spark, [f"{directory.rstrip('/')}/{entry_name(c)}" for c in sorted(set(ciks))]))
     from_name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).try_cast("bigint")
     return docs.select(
         F.coalesce(F.col("cik").try_cast("bigint"), from_name, F.lit(0)).alias("cik"),

@@ -10,13 +10,14 @@ def read_ticker_map(spark: SparkSession, path: str) -> DataFrame:
     """Raw rows ``cik, name, ticker, exchange, pos`` of either layout.
 
     ``data`` is read as text per element, so one read covers ``{"fields": [...],
-    "data": [[...]]}`` and ``{"data": [{...}]}``. Rows without an integer cik are dropped.
+    "data": [[...]]}`` and ``{"data": [{...}]}``; another layout is an error. Rows without an integer cik are dropped.
     """
     doc = (
         spark.read.schema("fields array<string>, data array<string>")
         .option("multiLine", True).json(path)
     )
-    rows = doc.select("fields", F.posexplode("data").alias("pos", "rec"))
+    data = F.when(F.col("data").isNull(), F.raise_error(F.lit(f"{path}: no list named data"))).otherwise(F.col("data"))
+    rows = doc.select("fields", F.posexplode(data).alias("pos", "rec"))
     listed = F.from_json("rec", "array<string>")
     named = F.from_json("rec", "struct<cik string, name string, ticker string, exchange string>")
 

@@ -89,6 +89,11 @@ def replace_tickers(new: DataFrame, table: str, tickers: DataFrame, buckets: int
     spark.catalog.refreshTable(table)
 
 
+def replaced_tables(stored: dict[str, DataFrame], new: dict[str, DataFrame], tickers: DataFrame) -> dict[str, DataFrame]:
+    """Some tickers replaced in every table of a load at once."""
+    return {name: replaced_rows(df, new[name], tickers) for name, df in stored.items()}
+
+
 def ledger_latest(*attempts: DataFrame) -> DataFrame:
     """Latest outcome per ticker. The stored ledger is append-only and read through this."""
     rows = attempts[0]
@@ -98,9 +103,11 @@ def ledger_latest(*attempts: DataFrame) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
 
 
-def todo(universe: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Tickers still to load; errors are tried again."""
+def todo(universe: DataFrame, ledger: DataFrame, replaced: DataFrame | None = None) -> DataFrame:
+    """Tickers still to load; errors are tried again, and so are tickers to be replaced."""
     done = ledger.where(F.col("status").isin(*DONE)).select(F.col("ticker_yahoo").alias("ticker"))
+    if replaced is not None:
+        done = done.join(replaced.select(F.col("ticker_yahoo").alias("ticker")), "ticker", "left_anti")
     return universe.join(done, "ticker", "left_anti")
 
 

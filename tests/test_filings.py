@@ -89,6 +89,21 @@ def test_ticker_map_layouts(spark, tmp_path, layout):
     assert got == [(1, "One", "brk.b", "NYSE"), (2, None, "x/y", None), (3, "Three", " ", "NYSE")]
 
 
+def test_ticker_map_of_another_layout(spark, tmp_path):
+    path = tmp_path / "map.json"
+    path.write_text(json.dumps({"0": {"cik": 1, "ticker": "A"}}))
+    with pytest.raises(Exception, match="no list named data"):
+        reference_lists.read_ticker_map(spark, str(path)).collect()
+
+
+def test_an_absurd_value_is_no_end(spark):
+    row = {"cik": 1, "concept": GAAP, "unit": "shares", "period_start": AS_OF, "period_end": AS_OF, "duration_days": None, "is_instant": True,
+           "value": 1e40, "accn": "a", "fy": 1, "fp": "Q1", "form": "10-Q", "filed": AS_OF, "frame": None, "kind": "shares"}
+    df = spark.createDataFrame([row], "cik bigint, concept string, unit string, period_start date, period_end date, duration_days int, "
+                               "is_instant boolean, value double, accn string, fy int, fp string, form string, filed date, frame string, kind string")
+    assert facts.fact_tables(df)["shares_facts"].first().value is None
+
+
 def test_exclusions(spark, tmp_path):
     path = tmp_path / "list.txt"
     path.write_text("# rule\n\n abc \n  # more\nDEF\nabc\n")
@@ -110,70 +125,64 @@ def snap(d):
     return f"{d.year}Q{(d.month - 1) // 3 + 1}"
 
 
-def brute_eps(rows):
-    """The rules as loops over one company's facts."""
-    out, sizes = {}, {}
-    for cik in {r[0] for r in rows}:
-        cands, period = [], {}
-        for c in (BASIC, DILUTED):
-            mine = [r for r in rows if r[0] == cik and r[1] == c]
-            quarters = [r for r in mine if 75 <= (r[3] - r[2]).days <= 115]
-            for r in quarters:
-                period[r[2], r[3]] = (False, r[2], r[3], r[4], c, r[7], r[5])
-            for a in mine:
-                if not (340 <= (a[3] - a[2]).days <= 385 and a[6].startswith("10-K")):
-                    continue
-                inside = sorted((r for r in quarters if r[2] >= a[2] and r[3] <= a[3]), key=lambda r: r[2])
-                if any(r[3] == a[3] for r in quarters) or len(inside) != 3 or inside[0][2] != a[2]:
-                    continue
-                gaps = [(inside[i + 1][2] - inside[i][3]).days for i in (0, 1)]
-                rest = (a[3] - inside[2][3]).days + 1
-                if inside[0][3] < inside[1][3] < inside[2][3] < a[3] and all(1 <= g <= 7 for g in gaps) and 80 <= rest <= 130:
-                    cands.append((True, inside[2][3] + dt.timedelta(1), a[3], a[4] - sum(r[4] for r in inside), c, a[7], a[5]))
-        cands += period.values()
-        for q in {snap(c[2]) for c in cands}:
-            mine = [c for c in cands if snap(c[2]) == q]
-            best = sorted(mine, key=lambda c: (
-                -c[2].toordinal(), c[0], "Diluted" not in c[4], -(c[5].toordinal() if c[5] else 0), c[1]))[0]
-            sizes[cik, q] = len(mine)
-            if abs(best[3]) <= 1e5:
-                out[cik, q] = (best[0], best[1], best[2], round(best[3], 9), best[4])
-    return out, sizes
-
-
-@pytest.mark.parametrize("seed", range(3))
-def test_eps_against_loops(spark, seed):
-    """Irregular periods: shifted ends, missing, overlapping and repeated quarters."""
-    rnd, rows = random.Random(seed), {}
-    for cik in range(60):
-        for c in (BASIC, DILUTED):
-            if rnd.random() < 0.1:
-                continue
-            for year in (2018, 2019, 2020):
-                start = dt.date(year, 1, 1) + dt.timedelta(rnd.choice([0, 0, 0, 1, 3]))
-                s = start
-                for q in range(4):
-                    e = s + dt.timedelta(rnd.choice([89, 90, 90, 91, 83, 97]))
-                    if q < 3 and rnd.random() > 0.05 or rnd.random() < 0.15:
-                        rows[cik, c, s, e] = (cik, c, s, e, round(rnd.uniform(-3, 3), 2) if rnd.random() > 0.02 else 3e5,
-                                              f"n{rnd.random():.6f}", "10-Q", e + dt.timedelta(rnd.randint(20, 60)))
-                    if rnd.random() < 0.06:
-                        x = s + dt.timedelta(rnd.randint(-5, 20))
-                        y = x + dt.timedelta(rnd.randint(75, 115))
-                        rows[cik, c, x, y] = (cik, c, x, y, 1.0, "m", "10-Q", y + dt.timedelta(30))
-                    s = e + dt.timedelta(rnd.choice([1, 1, 1, 1, 2, 8]))
-                end = start + dt.timedelta(rnd.choice([364, 364, 370, 352]))
-                rows[cik, c, start, end] = (cik, c, start, end, round(rnd.uniform(0, 9), 2), "k",
-                                            rnd.choice(["10-K", "10-K/A", "8-K"]), end + dt.timedelta(60))
-    rows = list(rows.values())
-    want, sizes = brute_eps(rows)
-    df = eps_frame(spark, rows)
-    got = {(r.cik, r.quarter): (r.is_derived, r.period_start, r.period_end, round(r.eps, 9), r.concept)
+def D(text):
+    return dt.date.fromisoformat(text)
+
+
+def period(start, end, value, concept=DILUTED, form="10-Q", filed=None, cik=1, accn="n"):
+    return (cik, concept, D(start), D(end), value, accn, form, D(filed) if filed else None)
+
+
+Q1, Q2, Q3 = ("2019-01-01", "2019-03-31"), ("2019-04-01", "2019-06-30"), ("2019-07-01", "2019-09-30")
+YEAR = ("2019-01-01", "2019-12-31")
+
+#: Facts of one company, and (derived, end, figure, concept) of each quarter they give.
+CASES = {
+    "a year less its three quarters": (
+        [period(*Q1, 0.5), period(*Q2, 0.75), period(*Q3, 1.0), period(*YEAR, 3.0, form="10-K/A")],
+        {"2019Q1": (False, Q1[1], 0.5, DILUTED), "2019Q2": (False, Q2[1], 0.75, DILUTED), "2019Q3": (False, Q3[1], 1.0, DILUTED),
+         "2019Q4": (True, YEAR[1], 0.75, DILUTED)}),
+    "no year under another form": (
+        [period(*Q1, 0.5), period(*Q2, 0.75), period(*Q3, 1.0), period(*YEAR, 3.0, form="8-K")],
+        {"2019Q1": (False, Q1[1], 0.5, DILUTED), "2019Q2": (False, Q2[1], 0.75, DILUTED), "2019Q3": (False, Q3[1], 1.0, DILUTED)}),
+    "no fourth quarter from two": (
+        [period(*Q1, 0.5), period(*Q3, 1.0), period(*YEAR, 3.0, form="10-K")],
+        {"2019Q1": (False, Q1[1], 0.5, DILUTED), "2019Q3": (False, Q3[1], 1.0, DILUTED)}),
+    "a gap of eight days is no tiling": (
+        [period(*Q1, 0.5), period("2019-04-09", "2019-06-30", 0.75), period(*Q3, 1.0), period(*YEAR, 3.0, form="10-K")],
+        {"2019Q1": (False, Q1[1], 0.5, DILUTED), "2019Q2": (False, Q2[1], 0.75, DILUTED), "2019Q3": (False, Q3[1], 1.0, DILUTED)}),
+    "a reported quarter stands before a derived one": (
+        [period(*Q1, 0.5), period(*Q2, 0.75), period(*Q3, 1.0), period(*YEAR, 3.0, form="10-K"),
+         period("2019-10-01", "2019-12-31", 0.7, BASIC)],
+        {"2019Q1": (False, Q1[1], 0.5, DILUTED), "2019Q2": (False, Q2[1], 0.75, DILUTED), "2019Q3": (False, Q3[1], 1.0, DILUTED),
+         "2019Q4": (False, "2019-12-31", 0.7, BASIC)}),
+    "diluted before basic, the other where it is missing": (
+        [period(*Q1, 0.6, BASIC), period(*Q1, 0.5), period(*Q2, 0.8, BASIC)],
+        {"2019Q1": (False, Q1[1], 0.5, DILUTED), "2019Q2": (False, Q2[1], 0.8, BASIC)}),
+    "an end in the first week belongs to the quarter before": (
+        [period("2019-01-04", "2019-04-05", 0.5)], {"2019Q1": (False, "2019-04-05", 0.5, DILUTED)}),
+    "of two periods in a quarter the later end": (
+        [period(*Q1, 0.5), period("2019-01-15", "2019-04-02", 0.25)], {"2019Q1": (False, "2019-04-02", 0.25, DILUTED)}),
+    "an absurd winner clears the quarter": ([period(*Q1, 0.5), period("2019-01-02", "2019-04-01", 3e5)], {}),
+    "too short and too long": ([period("2019-01-01", "2019-03-15", 1.0), period("2019-01-01", "2019-04-27", 1.0)], {}),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_eps_cases(spark, case):
+    given, want = CASES[case]
+    df = eps_frame(spark, given)
+    got = {r.quarter: (r.is_derived, r.period_end.isoformat(), round(r.eps, 9), r.concept)
            for r in earnings.eps_quarterly(df).collect()}
     assert got == want
-    assert sum(v[0] for v in want.values()) > 20
-    audit = {(r.cik, r.quarter): r.n_candidates for r in earnings.eps_collisions(df).collect()}
-    assert audit == {k: n for k, n in sizes.items() if n > 1 and k in want}
+
+
+def test_eps_audit(spark):
+    """Quarters with several candidates, companies apart."""
+    df = eps_frame(spark, [period(*Q1, 0.5), period("2019-01-15", "2019-04-02", 0.25), period(*Q2, 1.0),
+                           period(*Q1, 0.5, cik=2), period(*Q1, 0.75, BASIC, cik=2)])
+    got = [(r.cik, r.quarter, r.n_candidates, r.chosen_eps) for r in earnings.eps_collisions(df).collect()]
+    assert got == [(1, "2019Q1", 2, 0.25)]
 
 
 SHARES = ("cik bigint, concept string, period_start date, period_end date, is_instant boolean, value double, filed date")

@@ -5,7 +5,7 @@ import pytest
 
 from frames import RAW, SPLITS, raw_rows
 from quarterline.plans import load
-from quarterline.plans.lineage import checkpoint_root, materialise
+from quarterline.plans.lineage import discard, materialise, new_path, shared_folder
 from quarterline.plans.panel import build_features
 from quarterline.sources import tables as tb
 
@@ -86,11 +86,48 @@ def test_stored_panel(spark):
     spark.sql(f"drop table {load.PANEL_TABLE}")
 
 
-def test_lineage_folder_is_the_clusters(spark):
-    root = checkpoint_root(spark)
+def test_tables_lie_in_the_shared_folder(spark):
+    root = shared_folder(spark)
     assert root == spark.conf.get("spark.checkpoint.dir")
-    df = materialise(spark.range(3).toDF("n"), "t")
+    path = new_path(spark, "t")
+    df = materialise(spark.range(3).toDF("n"), "t", path)
     assert df.count() == 3 and all(root in f for f in df.inputFiles())
+    discard(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_pipeline_is_reused_and_pruned(spark):
+    """A second query writes nothing, and quarters are partition filters."""
+    from quarterline.plans.domain import Domain
+    from quarterline.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    d = Domain.of(spark, folder)
+    QUERIES["value_panel"](spark, folder)
+    written = list(d.paths)
+    pruned = {"top_dividend_payers": "quarter", "backtest_holdings": "qidx"}
+    for query, column in pruned.items():
+        plan = plan_of(QUERIES[query](spark, folder))
+        filters = [line for line in plan.split("PartitionFilters: [")[1:]]
+        assert any(f.startswith("isnotnull(" + column) or column in f.split("]")[0] for f in filters), plan
+    QUERIES["ticker_series"](spark, folder).count()
+    assert Domain.of(spark, folder) is d and d.paths == written
+    Domain.forget(spark, folder)
+    assert Domain.of(spark, folder) is not d
+
+
+def test_factors_keep_rows(spark):
+    """No plan node multiplies rows: the splits of a ticker are one row of the join."""
+    from quarterline.queries import QUERIES
+
+    plan = plan_of(QUERIES["split_factor_between"](spark, "/root/testdata/sf0.001"))
+    above = plan.split("Join")[0]
+    assert "HashAggregate" not in above and "ObjectHashAggregate" not in above
 
 
 def test_prepare(spark):
