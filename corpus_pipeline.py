@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterline.llm import bpe, decontaminate, minhash_dedup, secrets, toxicity
+from quarterline.llm.words import short_batches
 from quarterline.plans.lineage import discard, materialise, new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

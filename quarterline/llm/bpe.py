@@ -60,7 +60,6 @@ def _per_text(df: DataFrame, text: str, tokenizer_path: str, fields: list[tuple[
     told = df.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))
     names = [n for n, _ in fields]
     kept = [c for c in df.columns if c not in names]
-    work = "__text"
     schema = T.StructType([f for f in df.schema.fields if f.name in kept] + [T.StructField(n, t) for n, t in fields])
     arrow_fields = [pa.field(n, {"bigint": pa.int64(), "string": pa.string()}.get(t.simpleString(), pa.list_(pa.int32()))) for n, t in fields]
 
@@ -68,13 +67,13 @@ def _per_text(df: DataFrame, text: str, tokenizer_path: str, fields: list[tuple[
         spec = told.value
         enc = encoder(spec, SegmentTreeWords)
         for b in batches:
-            texts = [t or "" for t in b.column(b.schema.get_field_index(work)).to_pylist()]
+            texts = [t or "" for t in b.column(b.schema.get_field_index(text)).to_pylist()]
             made = [make(spec, np.frombuffer(ids, "<u4")) for ids in enc.encode(texts)]
             columns = [b.column(b.schema.get_field_index(c)) for c in kept]
             columns += [pa.array([m[i] for m in made], f.type) for i, f in enumerate(arrow_fields)]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
 
-    return df.select(*kept, F.col(text).alias(work)).mapInArrow(run, schema)
+    return df.select(*kept, *[F.col(text)] * (text not in kept)).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, text: str, tokenizer_path: str, into: str = "ids") -> DataFrame:

@@ -220,15 +220,15 @@ def keep_unleaked(docs: DataFrame, bench: DataFrame, text: str = "text", item_id
                   seed: int = SEED, coverage: float = COVERAGE) -> DataFrame:
     """The documents that hold no leaked item."""
     names = docs.columns
-    body = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__tokens")
-    out = docs.select(*names, body)
+    out = docs
     for index in _blocks(bench, item_id, "text", seed):
         told = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, told=told):
             for b in batches:
-                bad = {i for i, *_ in leaks(told.value, b.column(b.num_columns - 1).to_pylist(), coverage)}
+                texts = [t or b"" for t in b.column(names.index(text)).cast(pa.binary()).to_pylist()]
+                bad = {i for i, *_ in leaks(told.value, texts, coverage)}
                 yield b.filter(pa.array([i not in bad for i in range(b.num_rows)], pa.bool_()))
 
         out = out.mapInArrow(run, out.schema)
-    return out.select(*names)
+    return out

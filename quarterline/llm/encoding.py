@@ -20,7 +20,6 @@ import numpy as np
 #: Characters below it are classified here; beyond it the library's pre-tokenizer decides, as
 #: the letters and digits it knows depend on its Unicode version.
 PLAIN_LIMIT = 0x530
-MEMORY_WORDS = 300_000
 #: characters encoded together
 STRIDE = 1_500_000
 NONE = np.iinfo(np.int64).max
@@ -66,6 +65,7 @@ class SegmentTreeWords:
     over ``WIDE`` bytes has a tree to itself.
     """
 
+    MEMORY = 150_000  # words remembered
     WIDE = 64
 
     def __init__(self, tokenizer_json: str):
@@ -200,6 +200,8 @@ class SegmentTreeWords:
 class LibraryWords:
     """Asks the tokenizers library's model for the ids of a word."""
 
+    MEMORY = 300_000
+
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
@@ -247,7 +249,7 @@ class TextEncoder:
         self.known.update(self.added)
 
     def _together(self, texts: list[str]) -> list[bytes]:
-        if len(self.spaced) > 2 * MEMORY_WORDS or len(self.known) > MEMORY_WORDS:
+        if len(self.spaced) > 2 * self.words.MEMORY or len(self.known) > self.words.MEMORY:
             self.spaced.clear()
             self.known.clear()
         pieces = [t.split(" ") for t in texts]

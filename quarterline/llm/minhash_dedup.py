@@ -10,8 +10,8 @@ bands of ``ROWS`` coordinates are candidates; a pair at 0.85 shares none with a
 (at 0.8: 5e-8). A bucket is never paired up. Its member that shares the most with others is its
 hub, and members are compared with their hubs. What the hubs connect needs no comparing any
 more; of the rest, a text is out where too few of its shingles occur in any other component to
-reach the threshold with a partner of any size in its bucket, and what then still shares a
-bucket across components is compared in full. So no link between different texts is lost, and a group of near copies of any size costs
+reach the threshold with a partner of any size in its bucket. What then still shares a bucket
+across components becomes a pair if bitmaps of those shingles allow it, and is compared in full. So no link between different texts is lost, and a group of near copies of any size costs
 about one comparison for each member and band.
 
 Nulls and texts without words have no shingles and are linked with nothing; a null id likewise,
@@ -34,6 +34,7 @@ from quarterline.plans.lineage import materialise
 
 T = 128  # coordinates
 ROWS, BANDS = 4, 32
+MAP = 16  # longs of a bitmap of shingles
 ROUND = randoms(2 * T, 11)
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 
@@ -137,7 +138,8 @@ def _several(rows: DataFrame) -> DataFrame:
 
 
 def _reachable(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The members, with ``x``, that can link across components: the number of a member's
+    """The members, with ``x`` and a bitmap of what it counts, that can link across components:
+    the number of a member's
     shingles that occur in several components bounds what it shares with a member of another,
     and so the size of any partner. Who finds no member that small in its bucket is out."""
     own = mixed.select("id", "component", "n").distinct()
@@ -152,7 +154,10 @@ def _reachable(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     rows = listed.select("id", "component", "n", "packed").mapInArrow(run, "id long, component long, n long, s long")
     shared = rows.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("s")
-    able = rows.join(shared, "s", "left_semi").groupBy("id").agg(F.count("*").alias("x"))
+    bit = F.expr("shiftleft(1L, cast(s & 63 as int))")
+    own = lambda k: F.expr(f"shiftrightunsigned(s, 6) & {MAP - 1} = {k}")
+    able = rows.join(shared, "s", "left_semi").groupBy("id").agg(
+        F.count("*").alias("x"), *[F.coalesce(F.bit_or(F.when(own(k), bit)), F.lit(0).cast("long")).alias(f"m{k}") for k in range(MAP)])
     kept = mixed.join(able, "id").where(F.col("x") * 100 >= F.col("n") * percent)
     least = kept.groupBy("key").agg(F.min("n").alias("least"))
     return kept.join(least, "key").where(F.col("least") * percent <= F.col("x") * (100 + percent) - F.col("n") * percent).drop("least")
@@ -188,8 +193,13 @@ def links(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) ->
     # what hubs did not connect: compared across components
     placed = buckets.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
     able = materialise(_several(_reachable(materialise(_several(placed), "mixed"), sets, percent)), "able")
-    left, right = (able.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "x", "component")]) for s in "ab")
-    common = F.least("x_a", "x_b")
+    columns = ("id", "n", "x", "component", *[f"m{k}" for k in range(MAP)])
+    left, right = (able.select("key", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
+
+    def missing(one, two):  # shingles of one that the other surely lacks: a bit of theirs is not set
+        return sum(F.bit_count(F.col(f"m{k}_{one}").bitwiseAND(F.bitwise_not(f"m{k}_{two}"))) for k in range(MAP))
+
+    common = F.least(F.col("x_a") - missing("a", "b"), F.col("x_b") - missing("b", "a"))
     could = common * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     rest = left.join(right, "key").where("id_a > id_b AND component_a <> component_b").where(close(F.col("n_a"), F.col("n_b")) & could).select(
         F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterline.llm import bpe, decontaminate, minhash_dedup, secrets, suffix_dedup, token_counts as tc, token_files, topk, toxicity, warc
+from quarterline.llm.words import short_batches
 from quarterline.plans.lineage import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,7 @@ def q(name: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -155,10 +155,10 @@ def redact(df: DataFrame, text: str, mask: str = "[SECRET]", rules: tuple[Rule,
     spark = df.sparkSession
     folder = new_path(spark, "secret_ledger")
     ledger = Ledger(spark, folder)
-    names = [c for c in df.columns if c not in ("__blob", "starts", "ends")]
+    names = df.columns
     ledger.scan(versions(df.select(F.lit(None).cast("long").alias("path"), F.col(text).alias("text")), "path", "text"), rules)
     found = materialise(_by_blob(ledger.findings(), rules, len(rules)).select(
-        F.col("blob").alias("__blob"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends")), "secret_spans")
+        F.col("blob").alias("__secret_blob"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends")), "secret_spans")
     discard(spark, folder)
     body = F.col(text)
     cut = F.transform("__starts", lambda start, i: F.concat(
@@ -166,7 +166,7 @@ def redact(df: DataFrame, text: str, mask: str = "[SECRET]", rules: tuple[Rule,
         .when(i == 0, F.lit(mask)).otherwise(F.lit(""))))
     rest = F.substring(body, (F.array_max("__ends") + 1).cast("int"), F.length(body))
     clean = F.when(F.col("__starts").isNull(), body).otherwise(F.concat(F.array_join(cut, ""), rest))
-    return df.withColumn("__blob", F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256)).join(found, "__blob", "left").select(
+    return df.withColumn("__secret_blob", F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256)).join(found, "__secret_blob", "left").select(
         *[clean.alias(c) if c == text else F.col(c) for c in names])
 
 

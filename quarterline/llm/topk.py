@@ -17,7 +17,8 @@ no join of rows with rows.
 Vectors that are null or hold a null or non-finite component take no part; a null id neither.
 Shorter vectors count as if zeros followed. A query's own id is no candidate; repeated rows of
 another id are candidates each. A query id that comes with several vectors is asked with the
-smallest of them. Other columns are not read. An empty table gives no rows.
+smallest of them. A score beyond 64 bits ends the job with an error. Other columns are not read.
+An empty table gives no rows.
 """
 from __future__ import annotations
 

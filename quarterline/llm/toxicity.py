@@ -235,7 +235,7 @@ def fit(texts: list[bytes], labels: list[int], counts: tuple[int, int]) -> Model
     empty = np.empty(0, np.uint64), np.empty(0), 0.0, np.zeros((2, 2)), np.zeros(5)
     toxic = np.array(labels, bool)
     if not toxic.any() or toxic.all():
-        return Model(*empty, constant=counts[1] / sum(counts) if toxic.any() else 0.0)
+        return Model(*empty, constant=counts[1] / max(1, sum(counts)) if toxic.any() else 0.0)
     parts, docs, chains = [], [], []
     for base, data, bounds, _ in _pieces(texts):
         start, _, features, chain = tokens(data)
@@ -316,7 +316,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
 
     # a bounded sample is fitted by one task; the driver sees the model only
-    return pickle.loads(sample.repartition(1).sortWithinPartitions("id", "y").select("y", "t").mapInArrow(run, "model binary").first().model)
+    made = sample.repartition(1).sortWithinPartitions("id", "y").select("y", "t").mapInArrow(run, "model binary").first()
+    return pickle.loads(made.model) if made else fit([], [], known_counts)
 
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text", into: str = "score", spans: str | None = None) -> DataFrame:
@@ -324,15 +325,13 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", into: str
     told = docs.sparkSession.sparkContext.broadcast(model)
     names = [into] + [spans] * (spans is not None)
     kept = [c for c in docs.columns if c not in names]
-    body = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__text")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
-    given = docs.select(*kept, body)
+    given = docs.select(*kept, *[F.col(text)] * (text not in kept))
     schema = docs.select(*kept, F.lit(0.0).alias(into), *[F.expr("array(named_struct('start', 0L, 'end', 0L, 'p', 0D))").alias(s) for s in names[1:]]).schema
 
     def run(batches):
         for b in batches:
-            at = b.schema.get_field_index("__text")
-            texts = b.column(at).to_pylist()
+            texts = [t or b"" for t in b.column(b.schema.get_field_index(text)).cast(pa.binary()).to_pylist()]
             found, toxic = score(told.value, texts, 0.5 if spans is not None else None)
             columns = [b.column(b.schema.get_field_index(c)) for c in kept] + [pa.array(found)]
             if spans is not None:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
+BATCH_ROWS = 1000
 SLICE = 1 << 20  # bytes hashed together; a longer text is cut between words
 U = np.uint64
 
@@ -126,3 +127,8 @@ def shingles(found: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndar
     first = np.ones(len(runs), bool)
     first[1:] = (runs[1:] != runs[:-1]) | (text[1:] != text[:-1])
     return runs[first], np.bincount(text[first], minlength=len(counts))
+
+
+def short_batches(spark) -> None:
+    """Texts are long: fewer rows travel to a Python task at once than Spark's 10,000."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
