@@ -55,3 +55,21 @@ WITH v AS (
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
+
+ORACLE["op1_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS sh
+    FROM w
+), e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+l AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), r AS (SELECT doc_id, doc_id AS m FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.m)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, c.component_id, c.component_id = s.doc_id AS kept
+FROM s JOIN (SELECT doc_id, min(m) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+"""
