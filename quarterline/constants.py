@@ -48,8 +48,9 @@ RISK_MIN_CLOSES = 60
 BENCHMARK_TICKER = "SPY"
 TIE_EPSILON = 1e-12
 DAYS_PER_YEAR = 365.25
-WIN_VALUE, WIN_BENCH, WIN_TIE, WIN_NA = "Value portfolio", "S&P 500", "Tie", "n/a"
 
+# --- fixed values: texts and the pattern of quarter labels ------------------------
+WIN_VALUE, WIN_BENCH, WIN_TIE, WIN_NA = "Value portfolio", "S&P 500", "Tie", "n/a"
 QUARTER_LABEL_PATTERN = "^(19|20)[0-9]{2}Q[1-4]$"
 
 # --- fixed values: column orders -------------------------------------------------

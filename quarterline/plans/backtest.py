@@ -79,21 +79,21 @@ def make_schedule(panel: DataFrame, p: ScreenParams) -> Schedule:
     evaluates. What comes to the driver is one row per calendar quarter."""
     counts = {r.qidx: r.matching for r in matching_counts(panel, p).collect()}
     if not counts:
-        return Schedule(message="empty panel")
+        return Schedule(message="there are no quarters")
     first, last = min(counts), max(counts)
     if last <= first:
-        return Schedule(message="panel has fewer than two quarters")
+        return Schedule(message="one quarter alone cannot be evaluated")
     of_year = p.rebalance_quarters_of_year
     grid = [q for q in range(first, last + 1) if q % 4 in of_year
             and (p.start_year is None or q >= p.start_year * 4)]
     if not grid:
-        return Schedule(message="no rebalance dates")
+        return Schedule(message="no quarter of the run is one to rebalance in")
     start = next((q for q in grid if counts.get(q, 0) > 0), None)
     if start is None:
-        return Schedule(message="no quarter has any eligible holdings")
+        return Schedule(message="no rebalance finds a name within the limits")
     sizes = {q: counts.get(q, 0) for q in grid if start <= q < last}
     if not sizes:
-        return Schedule(message="no evaluable holding periods")
+        return Schedule(message="nothing follows the first rebalance")
     return Schedule(first, start, last, 4 // len(of_year), sizes)
 
 

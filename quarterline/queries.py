@@ -450,7 +450,7 @@ def _(d):
 @q("latest_holdings")
 def _(d):
     return bt.latest_holdings(bt.run_backtest(d.stored_panel, SCREEN).holdings).select(
-        "rebalance_quarter", "ticker", "name", "weight_pct")
+        "rebalance_quarter", "ticker", "name", "weight_pct", "pe", "mktcap_b", "yield_pct", "vol_pct", "ret_pct")
 
 
 @q("comparison_summary")
@@ -461,8 +461,7 @@ def _(d):
 @q("data_options")
 def _(d):
     return bt.data_options(d.stored_panel, fx.AS_OF).select(
-        "first_quarter", "last_quarter", F.size("start_years").cast("long").alias("n_years"),
-        F.array_min("start_years").cast("long").alias("first_year"))
+        "first_quarter", "last_quarter", F.array_join(F.col("start_years").cast("array<string>"), ",").alias("start_years"))
 
 
 # --- load semantics ---------------------------------------------------------------------------------------
