@@ -14,6 +14,7 @@ import json
 import re
 import unicodedata
 from itertools import chain
+from struct import pack
 
 import numpy as np
 
@@ -210,7 +211,7 @@ class LibraryWords:
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         tokenize = self.model.tokenize
-        return [np.array([t.id for t in tokenize(w.decode("latin-1").translate(self.shown))], "<u4").tobytes() for w in words]
+        return [pack(f"<{len(t)}I", *[x.id for x in t]) for t in (tokenize(w.decode("latin-1").translate(self.shown)) for w in words)]
 
 
 class TextEncoder:
@@ -228,17 +229,19 @@ class TextEncoder:
         added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
         self.added = added
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        first = {content[0] for content in added}
+        self.mark = first.pop() if len(first) == 1 else ""  # in any text that has an added token
         self.spaced: dict[str, bytes | None] = {}  # what follows a space; None: needs its text
         self.known: dict[str, bytes] = {}
 
     def _pretokens(self, text: str) -> list[str]:
-        if not BEYOND.search(text):
+        if text.isascii() or not BEYOND.search(text):
             return PRETOKENS.findall(text)
         return [text[a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(text)]
 
     def _cut(self, text: str) -> list[str]:
         """Pre-tokens and added tokens of a text, in order."""
-        if self.special is None or not self.special.search(text):
+        if self.special is None or self.mark not in text or not self.special.search(text):
             return self._pretokens(text)
         parts = self.special.split(text)
         return list(chain.from_iterable([p] if p in self.added else self._pretokens(p) for p in parts if p))
