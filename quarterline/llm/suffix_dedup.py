@@ -14,7 +14,9 @@ hashes instead: by what all windows of a range of offsets have in common, then w
 so that no bucket is ever collected.
 
 Texts that are equal are one text that is repeated as a whole. Within one text, windows that
-repeat are found at once. Hashes have 64 bits of independent polynomials at each step.
+repeat are found at once. Hashes have 64 bits of independent polynomials at each step, numbers of
+texts 60 bits: among a billion texts about one pair in two such corpora would share a number, and
+repeats of one of the two could then be missed.
 
 Nulls count as empty. Texts shorter than ``length`` lose nothing. Very long texts are read in
 slices that overlap by a window. Repeated rows are copies of each other, whatever their ids. Other columns are
@@ -307,7 +309,7 @@ def _large_buckets(contexts: DataFrame, q: int, length: int) -> DataFrame:
 def repeated_intervals(docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, together: int = TOGETHER) -> tuple[DataFrame, DataFrame]:
     """All rows (``id``, ``text``, ``sha``, ``n_bytes``, ``n`` copies) as one stored table, and as
     the other each distinct text that has repeated bytes, with ``body``, ``starts`` and ``stops``.
-    ``text`` is a number of the text: the first 64 bits of its digest."""
+    ``text`` is a number of the text: the first 60 bits of its digest."""
     q = length * 8 // 25  # 3q > length >= 2q, as the refinement's steps need
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     sha = F.sha2(body, 256)
