@@ -29,8 +29,7 @@ def normalise_history(df: DataFrame) -> DataFrame:
     """Bring vendor titles to column names and add what is absent as NULL.
 
     ``pos`` is the ingest order used to keep the last of two rows of one day; without it the
-    later timestamp of the day wins, and of one timestamp the row that stands later in the
-    source. A source without dividends or splits has none.
+    later timestamp of the day wins. A source without dividends or splits has none.
     """
     for vendor, name in VENDOR_NAMES.items():
         if vendor in df.columns:
@@ -40,8 +39,7 @@ def normalise_history(df: DataFrame) -> DataFrame:
         if f.name in df.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         elif f.name == "pos":
-            cols.append(F.expr("cast(unix_micros(ts) as decimal(19,0)) * cast(9223372036854775808 as decimal(19,0))"
-                               " + monotonically_increasing_id()").cast("decimal(38,0)").alias("pos"))
+            cols.append(F.unix_micros("ts").alias("pos"))
         elif f.name in ("dividends", "stock_splits"):
             cols.append(F.lit(0.0).alias(f.name))
         else:
