@@ -272,7 +272,7 @@ def _large_buckets(contexts: DataFrame, q: int, length: int) -> DataFrame:
             core = span(high - first, high - last + length)  # common to all windows of the range
             a, e = max(0, high - last), min(size, high - first + length)
             whole = span(a, e, 1 + (a - (high - last)) * STEP + (high - first + length - e))
-            yield text, place, r, core, whole, max(low, first), min(high, last)
+            yield text, place, low, high, r, core, whole, max(low, first), min(high, last)
 
     def windows(text, place, low, high, size, span, r, own_low, own_high):
         for o in range(own_low, own_high + 1):
@@ -289,20 +289,22 @@ def _large_buckets(contexts: DataFrame, q: int, length: int) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
         return run
 
-    schema = "text long, place long, r long, core long, whole long, low long, high long"
+    # A text in slices has several contexts at one place, where slices meet: own windows, told apart by low and high
+    context = ["text", "place", "low", "high"]
+    schema = "text long, place long, low long, high long, r long, core long, whole long, own_low long, own_high long"
     columns = ["gram", "text", "place", "low", "high", "context"]
     rows = materialise(contexts.select(*columns).mapInArrow(emit(ranges, schema), schema), "ranges")
-    classes = rows.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("text", "place", "r")).alias("first"))
+    classes = rows.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct(*context, "r")).alias("first"))
     several = classes.groupBy("core").agg(F.min("whole").alias("x"), F.max("whole").alias("y")).where("x <> y").select("core")
     covered = rows.join(classes.where("n > 1").select("core", "whole"), ["core", "whole"], "left_semi")
     todo = classes.join(several, "core", "left_semi").select("first.*")
-    todo = todo.join(rows, ["text", "place", "r"]).select("text", "place", "r", F.col("low").alias("own_low"), F.col("high").alias("own_high")).distinct()
+    todo = todo.join(rows, [*context, "r"]).select(*context, "r", "own_low", "own_high").distinct()
     schema = "text long, place long, o long, window long"
-    single = materialise(contexts.join(todo, ["text", "place"]).select(
+    single = materialise(contexts.join(todo, context).select(
         *columns, "r", "own_low", "own_high").mapInArrow(emit(windows, schema), schema), "windows")
     again = single.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     more = single.join(again, "window", "left_semi")
-    return covered.selectExpr("text", "place - high AS start", f"place - low + {length} AS stop").unionByName(
+    return covered.selectExpr("text", "place - own_high AS start", f"place - own_low + {length} AS stop").unionByName(
         more.selectExpr("text", "place - o AS start", f"place - o + {length} AS stop"))
 
 

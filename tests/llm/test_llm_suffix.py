@@ -53,6 +53,22 @@ def test_windows(spark, seed, together):
     assert got == want
 
 
+@pytest.mark.parametrize("together", [4096, 3])
+def test_passage_across_slices(spark, monkeypatch, together):
+    """Where slices of a text meet, one q-gram has a context in each of them."""
+    monkeypatch.setattr(suffix_dedup, "SLICE", 2048)
+    rnd = random.Random(7)
+    noise = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    shared = noise(400)
+    step = 2048 - 50 + 1
+    rows = [(i, noise(step * (1 + i % 2) - 200 + 17 * i) + shared + noise(3000)) for i in range(8)]
+    rows += [(20 + i, noise(30) + shared[10 * i:10 * i + 300] + noise(40)) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted((i, n, r, s, hashlib.sha256(k).hexdigest()) for i, n, r, s, k in brute([(i, t.encode()) for i, t in rows], 50))
+    got = sorted(tuple(r) for r in suffix_dedup.removal_report(df, "doc_id", "text", 50, together).collect())
+    assert got == want and all(r[2] for r in want)
+
+
 def test_text_left(spark):
     rows = rows_of(3)
     df = spark.createDataFrame(rows, "doc_id long, text string")
