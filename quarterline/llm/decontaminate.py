@@ -1,8 +1,10 @@
 """Benchmark decontamination by greedy string tiling.
 
-Tokens are runs of letters and digits, A-Z in lower case. Documents are joined with benchmark
-items on seeds, runs of ``seed`` tokens that both hold. Where the tokens under seeds could cover
-enough of an item, document and item are tiled: running Karp-Rabin looks for common runs of
+Tokens are runs of letters and digits of any script, with their marks, A-Z in lower case; in scripts
+without spaces between words (Chinese, Japanese, Thai, Lao, Khmer, Myanmar) each letter is a token.
+Documents are joined with benchmark items on seeds, runs of ``seed`` tokens that both hold; an item
+of fewer tokens is its own seed, so it leaks where a document holds it whole. Where the tokens under
+seeds could cover enough of an item, document and item are tiled: running Karp-Rabin looks for common runs of
 unmarked tokens from long to short, and the longest that don't overlap are marked. An item is
 leaked where its tiles cover ``coverage`` of its tokens, in whatever order they stand.
 
@@ -10,13 +12,14 @@ The benchmark is broadcast in blocks of a checked size (``BLOCK_BYTES``), one na
 the documents for each block, so documents are never shuffled and their copies, hot passages
 and long texts stay where they are. More benchmark means more passes, not more memory.
 
-Null and empty texts match nothing, and items of fewer than ``seed`` tokens are not looked for,
-as they can't be told from chance; null item ids are kept as ids. Repeated rows give repeated
+Null and empty texts and those without tokens match nothing; null item ids are kept as ids. Repeated rows give repeated
 rows. Other columns are not read, or pass through where documents are filtered. An empty table
 on either side gives no leaks.
 """
 from __future__ import annotations
 
+import re
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,15 +32,35 @@ from quarterline.llm.words import BASE, U, word_hashes
 SEED = 5
 COVERAGE = 0.5
 BLOCK_BYTES = 16 << 20
-#: All bytes but letters, digits and those of longer characters count as space.
+#: Of one byte: all but letters and digits count as space. What is left of longer characters counts as letters.
 CLEAN = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 else 0x20 for b in range(256))
 
+SIGNS = re.compile(r"[^\w\x00-\x7f]")
+#: Letters of scripts without spaces, with the marks among them, without their digits.
+SINGLES = re.compile("[\u0e00-\u0e4f\u0e80-\u0ecf\u0edc-\u0eff\u1000-\u103f\u104a-\u108f\u109a-\u109f\u1780-\u17df"
+                     "\u3005-\u3007\u3021-\u3035\u3038-\u303c\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua9e0-\ua9ef\ua9fa-\ua9fe"
+                     "\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U0001aff0-\U0001b16f\U00020000-\U0003ffff]+")
+
 LEAK = "doc_id long, item_id long, item_tokens long, matched_tokens long, coverage double, tiles long, longest long"
 
 
+def _mark(c: str) -> bool:
+    return unicodedata.category(c)[0] == "M"
+
+
+def spaced(text: bytes) -> bytes:
+    """A text with its tokens between spaces. Bytes that are no character count as letters."""
+    if not text.isascii():
+        chars = text.decode(errors="surrogateescape")
+        chars = SIGNS.sub(lambda m: m[0] if _mark(m[0]) or "\udc80" <= m[0] <= "\udcff" else " ", chars)
+        chars = SINGLES.sub(lambda m: "".join(c if _mark(c) else f" {c}" for c in m[0]) + " ", chars)
+        text = chars.encode(errors="surrogateescape")
+    return text.translate(CLEAN)
+
+
 def token_runs(texts: list[bytes]):
     """As ``word_hashes``, of tokens."""
-    return word_hashes([t.translate(CLEAN) for t in texts])
+    return word_hashes([spaced(t) for t in texts])
 
 
 def _windows(found: np.ndarray, width: int) -> np.ndarray:
@@ -50,22 +73,16 @@ def _windows(found: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-@dataclass
-class Index:
-    """The seeds of one block of the benchmark."""
+class Seeds:
+    """The runs of ``width`` tokens of some items."""
 
-    ids: list
-    tokens: list[np.ndarray]
-    seed: int
-
-    def __post_init__(self):
-        runs = [_windows(t, self.seed) for t in self.tokens]
-        hashes = np.concatenate([*runs, np.empty(0, np.uint64)])
-        self.order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[self.order]
-        self.item = np.repeat(np.arange(len(runs)), [len(r) for r in runs])[self.order]
-        self.place = np.concatenate([*(np.arange(len(r)) for r in runs), np.empty(0, int)])[self.order].astype(np.int64)
-        self.length = np.array([len(t) for t in self.tokens], np.int64)
+    def __init__(self, tokens: list[np.ndarray], items: np.ndarray, width: int):
+        runs = [_windows(tokens[k], width) for k in items.tolist()]
+        hashes = np.concatenate(runs)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.item = np.repeat(items, [len(r) for r in runs])[order]
+        self.place = np.concatenate([np.arange(len(r)) for r in runs])[order].astype(np.int64)
         self.seen = np.zeros(1 << 22, bool)
         self.seen[(self.hashes >> U(20) & U((1 << 22) - 1)).astype(np.int64)] = True
 
@@ -79,6 +96,21 @@ class Index:
         return np.repeat(at, n), self.item[row], self.place[row]
 
 
+@dataclass
+class Index:
+    """The seeds of one block of the benchmark, by their width: ``seed``, and the lengths of
+    items of fewer tokens."""
+
+    ids: list
+    tokens: list[np.ndarray]
+    seed: int
+
+    def __post_init__(self):
+        self.length = np.array([len(t) for t in self.tokens], np.int64)
+        width = np.minimum(self.length, self.seed)
+        self.seeds = {w: Seeds(self.tokens, np.flatnonzero(width == w), w) for w in np.unique(width).tolist()}
+
+
 def build_index(rows: list[tuple], seed: int) -> Index:
     """From (item id, text in bytes)."""
     ids, tokens = [], []
@@ -87,7 +119,7 @@ def build_index(rows: list[tuple], seed: int) -> Index:
     for found, counts in token_runs(texts):
         ends = np.cumsum(counts)
         for c, e in zip(counts.tolist(), ends.tolist()):
-            if c >= seed:
+            if c:
                 ids.append(rows[at][0])
                 tokens.append(found[e - c:e])
             at += 1
@@ -151,39 +183,48 @@ def _matches(item, text, free_item, free_text, width: int) -> list[tuple[int, in
 
 def leaks(index: Index, texts: list[bytes], coverage: float):
     """(text, item, matched tokens, tiles, longest tile) of every leaked item of each text."""
-    if not len(index.hashes):
+    if not index.seeds:
         return
     at = 0
-    seed = index.seed
     for found, counts in token_runs(texts):
-        owner = np.repeat(np.arange(len(counts)), counts)
-        ends = np.cumsum(counts)
-        windows = _windows(found, seed)
-        if len(windows):
-            windows = np.where(np.arange(len(windows)) + seed <= ends[owner[:len(windows)]], windows, U(0))
-            place, item, where = index.hits(windows)
-            place, item, where = (x[place + seed <= ends[owner[place]]] for x in (place, item, where))
-            order = np.lexsort((place, item, owner[place]))
-            place, item, where = place[order], item[order], where[order]
-            new = np.flatnonzero(np.r_[True, (np.diff(owner[place]) != 0) | (np.diff(item) != 0)]) if len(place) else []
-            for a, b in zip(new, [*new[1:], len(place)]):
-                k = int(item[a])
-                under = np.zeros(int(index.length[k]), bool)
-                for s in range(seed):
-                    under[where[a:b] + s] = True
-                if under.sum() < coverage * len(under):
-                    continue
-                # only tokens under seeds can be tiled; a gap stands for what lies between
-                spots = np.unique((place[a:b, None] + np.arange(seed)).ravel())
-                gap = np.flatnonzero(np.diff(spots) > 1) + 1
-                part = np.insert(found[spots], gap, np.arange(len(gap), dtype=np.uint64))
-                tiles = tile(index.tokens[k], part, seed)
-                matched = sum(n for _, _, n in tiles)
-                if matched >= coverage * len(under):
-                    yield at + int(owner[place[a]]), k, matched, len(tiles), max(n for _, _, n in tiles)
+        for width, seeds in index.seeds.items():
+            for text, *leak in _leaks(index, seeds, width, found, counts, coverage):
+                yield at + text, *leak
         at += len(counts)
 
 
+def _leaks(index: Index, seeds: Seeds, width: int, found: np.ndarray, counts: np.ndarray, coverage: float):
+    """The leaks of items with seeds of one width, in texts that stand one after the other."""
+    windows = _windows(found, width)
+    if not len(windows):
+        return
+    owner = np.repeat(np.arange(len(counts)), counts)
+    ends = np.cumsum(counts)
+    windows = np.where(np.arange(len(windows)) + width <= ends[owner[:len(windows)]], windows, U(0))
+    place, item, where = seeds.hits(windows)
+    place, item, where = (x[place + width <= ends[owner[place]]] for x in (place, item, where))
+    order = np.lexsort((place, item, owner[place]))
+    place, item, where = place[order], item[order], where[order]
+    new = np.flatnonzero(np.r_[True, (np.diff(owner[place]) != 0) | (np.diff(item) != 0)]) if len(place) else []
+    for a, b in zip(new, [*new[1:], len(place)]):
+        k = int(item[a])
+        under = np.zeros(int(index.length[k]), bool)
+        if len(under) == width:  # the item as a whole: its first place tells
+            b = a + 1
+        for s in range(width):
+            under[where[a:b] + s] = True
+        if under.sum() < coverage * len(under):
+            continue
+        # only tokens under seeds can be tiled; a gap stands for what lies between
+        spots = np.unique((place[a:b, None] + np.arange(width)).ravel())
+        gap = np.flatnonzero(np.diff(spots) > 1) + 1
+        part = np.insert(found[spots], gap, np.arange(len(gap), dtype=np.uint64))
+        tiles = tile(index.tokens[k], part, width)
+        matched = sum(n for _, _, n in tiles)
+        if matched >= coverage * len(under):
+            yield int(owner[place[a]]), k, matched, len(tiles), max(n for _, _, n in tiles)
+
+
 def _blocks(bench: DataFrame, item_id: str, text: str, seed: int):
     """Indexes of the benchmark, block by block, each of a bounded size."""
     rows = bench.select(F.col(item_id).cast("long").alias("i"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))

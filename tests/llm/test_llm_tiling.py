@@ -60,6 +60,33 @@ def test_leaks(spark):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == CASES.keys() - got.keys()
 
 
+def test_short_items(spark):
+    """Items of fewer tokens than a seed leak where they stand whole."""
+    items = [(1, "Too short!"), (2, "one two three four"), (3, "x"), (4, "..."), (5, ITEM), (6, "one two three four")]
+    texts = {1: "it is too, short", 2: "too long, short", 3: "one two three; four five", 4: "one two three 4 four", 5: "x x X",
+             6: "xx too", 7: "short too " + ITEM, 8: "too", 9: None, 10: "one two three"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    got = sorted(tuple(r) for r in dc.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect())
+    assert got == [(1, 1, 2, 2, 1.0, 1, 2), (3, 2, 4, 4, 1.0, 1, 4), (3, 6, 4, 4, 1.0, 1, 4), (5, 3, 1, 1, 1.0, 1, 1), (7, 5, 12, 12, 1.0, 1, 12)]
+    left = dc.keep_unleaked(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id for r in left.collect()} == {2, 4, 6, 8, 9, 10}
+
+
+def test_tokens_of_any_script():
+    cut = lambda t: dc.spaced(t.encode()).decode().split()
+    assert cut("“don’t” — naïve…über«x» 12½") == ["don", "t", "naïve", "über", "x", "12½"]
+    assert cut("我们abc在北京。ひらカナ") == ["我", "们", "abc", "在", "北", "京", "ひ", "ら", "カ", "ナ"]
+    assert cut("ที่นี่ हिन्दी e\u0301t") == ["ที่", "นี่", "हिन्दी", "e\u0301t"]
+    assert dc.spaced(b"a\xff\xe2b-c") == b"a\xff\xe2b c"
+
+
+def test_items_without_spaces(spark):
+    item = "今天天气很好我们一起去公园散步吧"
+    docs = spark.createDataFrame([(1, f"他说：{item}。然后"), (2, "今天我们"), (3, "say “" + ITEM.replace(" ", "—") + "”")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, ITEM)], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.matched_tokens) for r in dc.find_leaks(docs, bench).collect()) == [(1, 7, 16), (3, 8, 12)]
+
+
 def test_in_blocks(spark, monkeypatch):
     """A benchmark of several blocks finds what one block finds."""
     bench = spark.createDataFrame([(i, ITEM.replace("alpha", f"w{i}")) for i in range(20)] + [(7, ITEM)], "item_id long, text string")
