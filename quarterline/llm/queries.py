@@ -51,16 +51,18 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Totals after four batches: all documents come in under two tokenizers, later copies of
     a text go, the word counts of what is left are revised to a new version, and the second
-    batch comes once more, which changes nothing."""
+    batch comes once more, which changes nothing. Rows without id come after all others of their
+    text, in the order of the stored rows."""
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
     counted = materialise(docs.select(
-        "doc_id", "source", "lang", F.sha2(text.cast("binary"), 256).alias("digest"),
+        "doc_id", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("nameless"), "source", "lang", F.sha2(text.cast("binary"), 256).alias("digest"),
         tc.word_count("text").alias("words"), tc.piece_count("text").alias("pieces"),
         tc.bpe_count(docs, "text", bpe.default_tokenizer()).alias("bpe")), "counted")
-    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    counted = materialise(counted.join(first, "digest").select(
-        "source", "lang", "words", "pieces", "bpe", (F.col("doc_id") > F.col("first_id")).alias("copy")), "counted_copies")
+    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("nameless").alias("first_nameless"))
+    copy = F.when(F.col("doc_id").isNotNull(), F.col("doc_id") > F.col("first_id")).otherwise(
+        F.col("first_id").isNotNull() | (F.col("nameless") > F.col("first_nameless")))
+    counted = materialise(counted.join(first, "digest").select("source", "lang", "words", "pieces", "bpe", copy.alias("copy")), "counted_copies")
 
     def both(op: str, rows):
         line = lambda name, n: F.struct(F.lit(name).alias("tokenizer"), F.col(n).alias("n_tokens"))

@@ -63,3 +63,16 @@ def test_query_of_a_table(spark):
     n = collections.Counter((d.source, d.lang) for d in texts.values())
     assert {(r.source, r.lang): r.documents for r in rows if r.tokenizer == "words-2"} == dict(n)
     assert {r.tokenizer for r in rows} == {"words-2", "byte_bpe_50k-1"}
+
+
+def test_query_of_rows_without_id(spark, tmp_path):
+    """They come after all others of their text; of a text without any id one row stays."""
+    from quarterline.llm.queries import QUERIES
+
+    rows = [(2, "a b c", "s2"), (1, "a b c", "s1"), (None, "a b c", "s3"), (None, "d e", "s4"), (None, "d e", "s4"), (None, "f.", "s5"), (None, None, "s6")]
+    spark.createDataFrame([(i, t, "en", s) for i, t, s in rows], "doc_id long, text string, lang string, source string").repartition(3).write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = {(r.source, r.tokenizer): (r.documents, r.tokens) for r in QUERIES["op8_token_rollup"](spark, str(tmp_path)).collect()}
+    assert {k[0]: v for k, v in got.items() if k[1] == "words-2"} == {"s1": (1, 3), "s4": (1, 2), "s5": (1, 2), "s6": (1, 0)}
+    assert {k[0]: v[0] for k, v in got.items() if k[1] != "words-2"} == {"s1": 1, "s4": 1, "s5": 1, "s6": 1}
+    assert {k[1] for k in got} == {"words-2", "byte_bpe_50k-1"}
