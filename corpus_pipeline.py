@@ -48,7 +48,8 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: Stages 1, 2, 3 and 5 are beyond SQL; the tests compare the rows with plain versions.
+#: Stages 1, 2, 3 and 5 are beyond SQL; the tests compare the rows with plain versions,
+#: stage 1 from the scores of the same model.
 ORACLE_SQL = None
 
 

@@ -1,10 +1,15 @@
 """The stages one after the other."""
 import hashlib
+import re
+import string
 
+import test_llm_minhash as near
+import test_llm_secrets as hidden
+import test_llm_tiling as tiling
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quarterline.llm import bpe
+from quarterline.llm import bpe, toxicity
 
 
 def test_stages_keep_the_columns(spark, odd_documents):
@@ -40,3 +45,48 @@ def test_no_rows(spark, no_documents):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.isEmpty()
+
+
+def tokens(text):
+    return [t.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)) for t in re.findall(r"[^\W_]+", text or "")]
+
+
+def leaked(text, items):
+    """Greedy tiles of five tokens or more (of the whole item, if it has fewer) cover half of an item."""
+    own = tokens(text)
+    for item in items:
+        least = min(5, len(item))
+        runs = {tuple(item[k:k + least]) for k in range(len(item) - least + 1)}
+        if item and any(tuple(own[k:k + least]) in runs for k in range(len(own) - least + 1)):
+            if sum(n for _, _, n in tiling.brute(item, own, least)) >= 0.5 * len(item):
+                return True
+    return False
+
+
+def test_rows_of_each_stage(spark, tmp_path):
+    """The rows kept and their digests, worked out stage by stage in plain Python from the scores.
+    The small table has no secrets: a few rows with some are added."""
+    folder = str(tmp_path)
+    library = Tokenizer.from_file(bpe.default_tokenizer())
+    given = {t: spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels", "benchmark")}
+    more = [(900_000 + k, f"note {k} says {x} and the rest of it stays", "en", "web", 1) for k, x in enumerate(
+        ("password = hunter2hunter2", "AKIA" + "Q7" * 8, "deadbeef" * 5 + " with token: abcdefgh1", "token=short"))]
+    given["documents"] = given["documents"].unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string, source string, n_chars long"))
+    for name, rows in given.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    docs, labels, bench = (spark.read.parquet(f"{folder}/{t}.parquet") for t in given)
+    scores = toxicity.score_documents(docs, toxicity.train(docs, labels)).select("doc_id", "text", "score").collect()
+    clean = [(r.doc_id, r.text) for r in scores if r.score < 0.7]
+    groups = near.brute(clean, 5, 80)
+    firsts = [(i, t) for i, t in clean if groups[i] == i]
+    items = [tokens(r.text) for r in bench.collect()]
+    kept = [(i, hidden.masked(t)) for i, t in firsts if not leaked(t, items)]
+    assert len(scores) > len(clean) > len(firsts) > len(kept), "a stage has nothing to drop"
+    assert any(t != dict(firsts)[i] for i, t in kept), "nothing to mask"
+
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = []
+    for i, t in kept:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), sha(",".join(map(str, ids))), sha(t or "")))
+    assert sorted(map(tuple, corpus_pipeline.run(spark, folder).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect())) == sorted(want)
