@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import compare, connect
+from quarterline.oracle.finals import oracle_sql
+from quarterline.queries import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # the quick ones; oracle_check.py runs all of them
@@ -29,7 +31,7 @@ def test_equals_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql()) <= set(entry.queries())
 
 
 def plan(spark, name):
