@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import bpe, decontaminate, minhash_dedup, secrets, suffix_dedup, token_counts as tc, token_files, topk, toxicity, warc
+from quarterline.llm import bpe, decontaminate, minhash_dedup, runs, secrets, suffix_dedup, token_counts as tc, token_files, topk, toxicity, warc
 from quarterline.llm.words import short_batches
 from quarterline.plans.lineage import materialise, new_path
 
@@ -112,3 +112,14 @@ def _(spark, sf_dir):
 @q("op3_maxscore_topk")
 def _(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0)
+
+
+@q("op13_periodic_runs")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.select("doc_id", runs.varied(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.periodic_runs(asked, "doc_id", "text")
+    return found.withColumn("best", runs.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(runs.listing(F.col("runs")).cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
