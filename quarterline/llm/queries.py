@@ -116,8 +116,7 @@ def _(spark, sf_dir):
 
 @q("op13_periodic_runs")
 def _(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    asked = docs.select("doc_id", runs.varied(F.col("doc_id"), F.col("text")).alias("text"))
+    asked = runs.varied(table(spark, sf_dir, "documents"), "doc_id", "text")
     found = runs.periodic_runs(asked, "doc_id", "text")
     return found.withColumn("best", runs.strongest(F.col("runs"))).select(
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",

@@ -143,15 +143,17 @@ def listing(runs: Column) -> Column:
     return F.array_join(F.transform(runs, lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
 
 
-def varied(id: Column, text: Column) -> Column:
-    """The texts of which the query is asked. With h the crc32 of the id in decimals and g = h div
-    10: if h mod 10 is 0 and there are n > 0 words, each word i >= a is the original word
+def varied(df: DataFrame, id: str, text: str) -> DataFrame:
+    """``id`` and ``text`` as the query asks about them. With h the crc32 of the id in decimals and
+    g = h div 10: if h mod 10 is 0 and there are n > 0 words, each word i >= a is the original word
     a + (i - a) mod p, with a = g mod n and p = 1 + (n - a) div (3 + g mod 8)."""
-    h = F.crc32(id.cast("string").cast("binary"))
-    g = F.floor(h / 10)
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
-    n = F.size(words)
-    a = (g % n).cast("int")
-    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-    again = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p))), " ")
-    return F.when((h % 10 == 0) & (n > 0), again).otherwise(text)
+    h = F.crc32(F.col(id).cast("string").cast("binary"))
+    split = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), SPACES), lambda w: w != "")
+    # a column of its own, or the text is split again for each word
+    df = df.select(F.col(id), F.col(text), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, split).alias("words"))
+    n = F.size("words")
+    df = df.select(id, text, "words", n.alias("n"), (F.col("g") % n).cast("int").alias("a"), (3 + F.col("g") % 8).alias("of"))
+    df = df.select(id, text, "words", "n", "a", (1 + F.floor((F.col("n") - F.col("a")) / F.col("of"))).cast("int").alias("p"))
+    a, p = F.col("a"), F.col("p")
+    again = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", F.when(i < a, i).otherwise(a + (i - a) % p))), " ")
+    return df.select(id, F.when(F.col("n") > 0, again).otherwise(F.col(text)).alias(text))
