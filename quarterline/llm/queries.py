@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import bpe, decontaminate, minhash_dedup, runs, secrets, suffix_dedup, token_counts as tc, token_files, topk, toxicity, warc
+from quarterline.llm import bpe, decontaminate, importance, katz, minhash_dedup, runs, secrets, suffix_dedup, token_counts as tc, token_files, topk, toxicity, warc
 from quarterline.llm.words import short_batches
 from quarterline.plans.lineage import materialise, new_path
 
@@ -122,3 +122,18 @@ def _(spark, sf_dir):
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(runs.listing(F.col("runs")).cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@q("op12_importance_draw")
+def _(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+@q("op11_katz_backoff")
+def _(spark, sf_dir):
+    """Logarithms are rounded to six decimals, as the order of their sums is open."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    scores, _ = katz.score(table(spark, sf_dir, "documents"), "doc_id", "text", ~held_out)
+    return scores.select("doc_id", (~F.col("taught")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"), "n_backed_off")
