@@ -39,7 +39,7 @@ def vendor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     dividends; the benchmark has one clean row per day."""
     obs = observations(spark, sf_dir)
     rows = obs.selectExpr(
-        "ticker", "cast(d as timestamp) as ts", "pos", "d", "b",
+        "ticker", "cast(d as timestamp_ntz) as ts", "pos", "d", "b",
         """case when l_orderkey % 211 = 0 then null when l_orderkey % 223 = 0 then 2e7D
                 when l_orderkey % 227 = 0 then 0D else cast(b + 2000 as double) / 100D end as close""",
         "cast(b + 1800 as double) / 100D as adj_close",
@@ -63,13 +63,34 @@ def vendor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "d", "cast(`sum(cents)` div (`sum(qty)` * 100) + 2000 as double) / 100D as close",
         "cast(`sum(qty)` as double) as volume",
     ).selectExpr(
-        "'SPY' as ticker", "cast(d as timestamp) as ts", "0L as pos", "close as open",
+        "'SPY' as ticker", "cast(d as timestamp_ntz) as ts", "0L as pos", "close as open",
         "close as high", "close as low", "close", "close as adj_close", "volume",
         "if(month(d) % 3 = 0 and day(d) = 15, 0.5D, 0D) as dividends", "0D as stock_splits",
     )
     return rows.unionByName(bench)
 
 
+# fixed values: wall clocks and offsets of three exchanges
+_CLOCKS = ("case l_suppkey % 3 when 0 then '{0}00:00:00+09:00' when 1 then '{0}00:00:00-05:00' else '{0}16:00:00.250+05:30' end")
+_ZONES = "case l_suppkey % 3 when 0 then 'Asia/Tokyo' when 1 then '-05:00' else 'Asia/Kolkata' end"
+_UTC_SECONDS = "unix_date(d) * 86400L + case l_suppkey % 3 when 0 then -9 * 3600 when 1 then 5 * 3600 else 16 * 3600 - 19800 end"
+
+
+def history_files(spark: SparkSession, sf_dir: str, folder: str, fmt: str) -> None:
+    """The vendor's daily closes as files: days often have several rows, of which a later one of
+    the file replaces an earlier. CSV says local time with its offset, Parquet an instant and the
+    exchange's zone; neither has a position."""
+    rows = observations(spark, sf_dir).selectExpr(
+        "ticker", "d", "pos", "l_suppkey",
+        f"concat(cast(d as string), {_CLOCKS.format('T') if fmt == 'csv' else _CLOCKS.format(' ')}) as text",
+        f"timestamp_micros(({_UTC_SECONDS}) * 1000000 + if(l_suppkey % 3 = 2, 250000, 0)) as instant", f"{_ZONES} as zone",
+        "if(l_orderkey % 211 = 0, null, cast(b + 2000 as double) / 100D) as Close", "qty as Volume")
+    dealt = rows.repartitionByRange("ticker", "d", "pos").sortWithinPartitions("ticker", "d", "pos")
+    columns = ["text as ts"] if fmt == "csv" else ["instant as ts", "zone"]
+    writer = dealt.selectExpr("ticker", *columns, "Close", "Volume").write.format(fmt)
+    (writer.option("header", True) if fmt == "csv" else writer).save(folder)
+
+
 def currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-ticker metadata."""
     return table(spark, sf_dir, "supplier").selectExpr(
@@ -263,3 +284,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.struct(F.col(f"`{c} {u}`").alias(u)).alias("units")).alias(c.split(":")[1])
             for c, _kind, u in CONCEPT_REGISTRY if c.startswith(ns + ":")]).alias(ns))
     return by_company.select("cik", F.struct(*spaces).alias("facts"), F.lit(False).alias("is_error"))
+
+
+def filing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested documents as files have them, ``document`` and ``text``: some are cut off in the
+    middle, some do not say their company's number."""
+    said = documents(spark, sf_dir).select(
+        F.format_string("CIK%010d.json", "cik").alias("document"), "cik",
+        F.to_json(F.struct(F.when(F.col("cik") % 43 != 0, F.col("cik")).alias("cik"),
+                           F.when(F.col("cik") % 7 != 0, F.concat(F.lit("Filer "), "cik")).alias("entityName"), "facts")).alias("whole"))
+    half = F.expr("substring(whole, 1, cast(length(whole) / 2 as int))")
+    return said.select("document", F.when(F.col("cik") % 41 == 0, half).otherwise(F.col("whole")).alias("text"))

@@ -127,7 +127,11 @@ def eps_quarterly(eps_facts: DataFrame) -> DataFrame:
 
     The guard drops the winner, it does not promote the runner-up.
     """
-    return slot_winners(eps_candidates(eps_facts)).where(
+    return plausible(slot_winners(eps_candidates(eps_facts)))
+
+
+def plausible(winners: DataFrame) -> DataFrame:
+    return winners.where(
         F.abs("eps") <= EPS_ABS_MAX
     ).select("cik", "quarter", "eps", "concept", "is_derived", "period_start", "period_end",
              "filed", "accn")
@@ -162,11 +166,15 @@ def eps_collisions(eps_facts: DataFrame) -> DataFrame:
     )
 
 
-def eps_load_counts(eps_facts: DataFrame) -> DataFrame:
-    """Reported, derived and dropped quarters of one load."""
+def winner_counts() -> list[Column]:
     ok = F.abs("eps") <= EPS_ABS_MAX
-    return slot_winners(eps_candidates(eps_facts)).agg(
+    return [
         F.count_if(ok & ~F.col("is_derived")).alias("reported"),
         F.count_if(ok & F.col("is_derived")).alias("derived"),
         F.count_if(~ok).alias("dropped"),
-    )
+    ]
+
+
+def eps_load_counts(eps_facts: DataFrame) -> DataFrame:
+    """Reported, derived and dropped quarters of one load."""
+    return slot_winners(eps_candidates(eps_facts)).agg(*winner_counts())

@@ -6,7 +6,7 @@ first, a ticker holds at most one row per calendar day, whatever the input size.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quarterline.constants import DIVIDEND_MAX, NUMERIC_MAX, PRICE_CEILING, PRICE_FLOOR
@@ -87,7 +87,11 @@ def _valid_close():
 
 def price_quarterly(enriched: DataFrame, currency: DataFrame | None = None) -> DataFrame:
     """Quarter closes. An implausible last row clears the quarter; no earlier day steps in."""
-    kept = quarter_closes(enriched).where(_valid_close()).select(
+    return _kept_quarters(quarter_closes(enriched), currency)
+
+
+def _kept_quarters(closes: DataFrame, currency: DataFrame | None) -> DataFrame:
+    kept = closes.where(_valid_close()).select(
         F.col("ticker").alias("ticker_yahoo"), "quarter", "close_raw", "close_adj",
         "close_as_traded", "price_date",
     )
@@ -147,3 +151,24 @@ def load_counters(enriched: DataFrame) -> DataFrame:
         total("kept").alias("dividends"), total("skipped").alias("dividends_skipped"),
         F.count_distinct(F.when(F.col("kept") > 0, F.col("ticker"))).alias("dividend_tickers"),
     )
+
+
+def observed_daily(enriched: DataFrame, counts: Observation) -> DataFrame:
+    """Daily rows with ``as_paid`` and ``keep``, counted on their way to wherever they are written.
+    Tickers are counted at their last day, which the split factors' window has at hand."""
+    down = Window.partitionBy("ticker").orderBy(F.col("date").desc())
+    rows = _with_keep(enriched).withColumns({
+        "_day": F.row_number().over(down),
+        "_kept": F.count_if("keep").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    return rows.observe(
+        counts, F.count(F.lit(1)).alias("prices"), F.count("ratio").alias("splits"),
+        F.count_if(F.col("_day") == 1).alias("tickers"), F.count_if("keep").alias("dividends"),
+        F.count_if(F.expr(_PAYING) & ~F.col("keep")).alias("dividends_skipped"),
+        F.count_if(F.col("keep") & (F.col("_kept") == 1)).alias("dividend_tickers")).drop("_day", "_kept")
+
+
+def observed_quarters(enriched: DataFrame, counts: Observation, currency: DataFrame | None = None) -> DataFrame:
+    """``price_quarterly``, counting the quarters it keeps and clears."""
+    closes = quarter_closes(enriched).observe(
+        counts, F.count_if(_valid_close()).alias("quarters"), F.count_if(~_valid_close()).alias("quarters_skipped"))
+    return _kept_quarters(closes, currency)

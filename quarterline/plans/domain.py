@@ -1,12 +1,14 @@
 """The whole pipeline over the test tables, step by step as the stored pipeline runs it.
 
 A step that several later ones read is written to the shared folder, once for an application
-and input folder; everything else stays one lazy plan.
+and state of the input folder; everything else stays one lazy plan. Each step names the given tables
+it comes from, and is built again when one of their files has changed.
 """
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,40 +16,71 @@ from quarterline import fixtures as fx
 from quarterline.operators import earnings, facts, market, quality, risk, shares, universe
 from quarterline.plans import fundamentals, panel
 from quarterline.sources import tables
-from quarterline.plans.lineage import discard, materialise, new_path
+from quarterline.plans.lineage import discard, fingerprint, materialise, new_path
 
 
 _KNOWN: dict[tuple[str, str], "Domain"] = {}
+_LOCK = Lock()
+TABLES = ("lineitem", "supplier", "nation")
+
+
+class _Step(cached_property):
+    """A frame that is made once, until a table it comes from changes."""
+    reads: tuple[str, ...] = TABLES
+
+
+def step(*reads: str):
+    def made(f) -> _Step:
+        found = _Step(f)
+        found.reads = reads or TABLES
+        return found
+    return made
 
 
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.paths: dict[str, str] = {}  # of stored steps, by name
+        self.inputs: dict[str, str] = {}  # fingerprints of the tables, and of all together
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Domain":
         """The application's stored pipeline over an input folder. Its tables are written when
-        a query first needs them and reused by every later one; they go with the application.
-        ``forget`` makes the next query build them anew."""
+        a query first needs them and reused by every later one, as long as the files they come
+        from are the same; they go with the application."""
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-        if key not in _KNOWN:
-            _KNOWN[key] = cls(spark, sf_dir)
-        return _KNOWN[key]
+        with _LOCK:
+            if key not in _KNOWN:
+                _KNOWN[key] = cls(spark, sf_dir)
+            _KNOWN[key].refresh()
+            return _KNOWN[key]
 
     @classmethod
     def forget(cls, spark: SparkSession, sf_dir: str) -> None:
-        """Drop the stored pipeline of an input folder that has changed."""
-        old = _KNOWN.pop((spark.sparkContext.applicationId, sf_dir.rstrip("/")), None)
-        for path in old.paths if old else ():
+        """Drop the stored pipeline of an input folder."""
+        with _LOCK:
+            old = _KNOWN.pop((spark.sparkContext.applicationId, sf_dir.rstrip("/")), None)
+        for path in list(old.paths.values()) if old else ():
             discard(spark, path)
 
-    @cached_property
-    def paths(self) -> list[str]:
-        return []
+    def refresh(self) -> None:
+        """Drop every step that comes from a table whose files have changed."""
+        at = {t: f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES}
+        all_ = fingerprint(self.spark, list(at.values()))
+        if self.inputs.get("all") == all_:
+            return
+        now = {t: fingerprint(self.spark, [path]) for t, path in at.items()}
+        changed = {t for t in TABLES if self.inputs.get(t) != now[t]}
+        for name in [n for n in self.__dict__ if isinstance(found := getattr(type(self), n, None), _Step) and changed & set(found.reads)]:
+            del self.__dict__[name]
+            if name in self.paths:
+                discard(self.spark, self.paths.pop(name))
+        self.inputs = {**now, "all": all_}
 
     def _store(self, df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+        """``name`` is the step's."""
         path = new_path(self.spark, name)
-        self.paths.append(path)
+        self.paths[name] = path
         return materialise(df, name, path, by)
 
     def _source(self, make) -> DataFrame:
@@ -61,37 +94,37 @@ class Domain:
             list(pool.map(lambda step: getattr(self, step), steps))
 
     # --- market ---------------------------------------------------------------------
-    @cached_property
+    @step("lineitem")
     def history(self) -> DataFrame:
         return self._source(fx.vendor_history)
 
-    @cached_property
+    @step("lineitem")
     def enriched(self) -> DataFrame:
         """Lazy: for queries that read the daily pass once."""
         return market.enriched_history(self.history)
 
-    @cached_property
+    @step("lineitem")
     def stored_history(self) -> DataFrame:
         """Written once: prices, splits, dividends and quarter closes all come from it."""
         return self._store(self.enriched.select(
             "ticker", "date", "close", "adj_close", "dividends", "ratio", "factor", "close_ok",
-            "as_traded"), "history")
+            "as_traded"), "stored_history")
 
-    @cached_property
+    @step("supplier")
     def currency(self) -> DataFrame:
         return self._source(fx.currency)
 
-    @cached_property
+    @step("lineitem", "supplier")
     def loaded_prices(self) -> DataFrame:
         return self._store(
             quality.drop_tiny_prices(market.price_quarterly(self.stored_history, self.currency)),
-            "price_quarterly")
+            "loaded_prices")
 
-    @cached_property
+    @step("lineitem", "supplier")
     def corrupt(self) -> DataFrame:
         return self._store(quality.corrupt_tickers(self.loaded_prices), "corrupt")
 
-    @cached_property
+    @step()
     def _purged(self) -> dict[str, DataFrame]:
         h = self.stored_history
         return quality.purge({
@@ -137,56 +170,56 @@ class Domain:
         return self._purged["ticker_map"]
 
     # --- reference lists --------------------------------------------------------------
-    @cached_property
+    @step("supplier", "nation")
     def loaded_ticker_map(self) -> DataFrame:
         return universe.ticker_map(self._source(fx.ticker_source), self._source(fx.exclusions))
 
-    @cached_property
+    @step("supplier", "nation")
     def stored_ticker_map(self) -> DataFrame:
-        return self._store(self.loaded_ticker_map, "ticker_map")
+        return self._store(self.loaded_ticker_map, "stored_ticker_map")
 
-    @cached_property
+    @step("supplier", "nation")
     def company(self) -> DataFrame:
         return universe.company(self._source(fx.ticker_source), self._source(fx.filing_names))
 
-    @cached_property
+    @step("supplier", "nation")
     def stored_company(self) -> DataFrame:
-        return self._store(self.company, "company")
+        return self._store(self.company, "stored_company")
 
     # --- filings ----------------------------------------------------------------------
     def _facts(self, make) -> DataFrame:
         return facts.earliest_filed(
             facts.parse_facts(facts.registry_filter(self._source(make)), fx.AS_OF))
 
-    @cached_property
+    @step("lineitem")
     def eps_facts(self) -> DataFrame:
         return self._facts(fx.eps_source)
 
-    @cached_property
+    @step("lineitem")
     def shares_facts(self) -> DataFrame:
         return self._facts(fx.shares_source)
 
-    @cached_property
+    @step("lineitem")
     def float_facts(self) -> DataFrame:
         return self._facts(fx.float_source)
 
-    @cached_property
+    @step("supplier")
     def fetch_log(self) -> DataFrame:
         return tables.ledger_latest(*[fx.fetch_log(self.spark, self.sf_dir, n) for n in (1, 2)])
 
-    @cached_property
+    @step("lineitem")
     def eps_quarterly(self) -> DataFrame:
         return earnings.eps_quarterly(self.eps_facts)
 
-    @cached_property
+    @step("lineitem")
     def stored_eps(self) -> DataFrame:
-        return self._store(self.eps_quarterly, "eps_quarterly")
+        return self._store(self.eps_quarterly, "stored_eps")
 
-    @cached_property
+    @step("lineitem")
     def reported_shares(self) -> DataFrame:
         return shares.shares_quarterly(self.stored_eps, self.shares_facts)
 
-    @cached_property
+    @step()
     def shares_quarterly(self) -> DataFrame:
         """On the basis of the quarter's price, with the fallback mark."""
         self._store_inputs()
@@ -195,32 +228,32 @@ class Domain:
             "shares_quarterly")
 
     # --- composites ---------------------------------------------------------------------
-    @cached_property
+    @step()
     def view_rows(self) -> DataFrame:
         """Partitioned by quarter and sorted by ticker, as it is read."""
         return self._store(fundamentals.view_rows(
             self.stored_eps, self.shares_quarterly, self.price_quarterly, self.dividend,
-            self.ticker_map), "view", ("quarter", "ticker"))
+            self.ticker_map), "view_rows", ("quarter", "ticker"))
 
-    @cached_property
+    @step()
     def view(self) -> DataFrame:
         return fundamentals.view_of(self.view_rows)
 
-    @cached_property
+    @step()
     def risk(self) -> DataFrame:
         return self._store(risk.stock_risk_quarter(self.price_daily), "risk")
 
-    @cached_property
+    @step()
     def raw_panel(self) -> DataFrame:
         return self._store(panel.raw_panel(
             self.view_rows, self.stored_eps, self.price_quarterly, self.dividend, self.risk,
             self.ticker_map, self.stored_company), "raw_panel")
 
-    @cached_property
+    @step()
     def value_panel(self) -> DataFrame:
         return panel.build_features(self.raw_panel, self.stock_split)
 
-    @cached_property
+    @step()
     def stored_panel(self) -> DataFrame:
         """Partitioned by quarter and sorted by ticker, as screens and backtests read it."""
-        return self._store(self.value_panel, "value_panel", ("qidx", "ticker"))
+        return self._store(self.value_panel, "stored_panel", ("qidx", "ticker"))

@@ -2,8 +2,10 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -17,21 +19,34 @@ def shared_folder(spark: SparkSession) -> str:
 def session_folder(spark: SparkSession) -> str:
     """This application's own part of the shared folder. It goes when the application ends."""
     path = f"{shared_folder(spark)}/quarterline-{spark.sparkContext.applicationId}"
-    jvm_path, fs = _handle(spark, path)
+    jvm_path, fs = path_handle(spark, path)
     if not fs.exists(jvm_path):
         fs.mkdirs(jvm_path)
         fs.deleteOnExit(jvm_path)
     return path
 
 
-def _handle(spark: SparkSession, path: str):
+def path_handle(spark: SparkSession, path: str):
+    """A path and its file system."""
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path, jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Those of a stated list of paths that are there."""
-    return [p for p in paths if (h := _handle(spark, p))[1].exists(h[0])]
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right under a path; none if it is not there."""
+    jvm_path, fs = path_handle(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """What the files under some paths are like: their number, bytes and a digest of names, sizes
+    and times. Spark lists them, nothing is opened; the order plays no part."""
+    if not paths:
+        return "no files"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([unquote(p) for p in paths])
+    row = files.select(F.xxhash64("path", "length", F.unix_micros("modificationTime")).alias("h"), "length").agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("size"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("x")).first()
+    return f"{row.n} files, {row.size} bytes, {row.x & (1 << 64) - 1:016x}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -40,7 +55,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table or folder of an earlier step that nothing reads any more."""
-    jvm_path, fs = _handle(spark, path)
+    jvm_path, fs = path_handle(spark, path)
     fs.delete(jvm_path, True)
 
 

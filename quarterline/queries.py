@@ -16,10 +16,14 @@ from quarterline.operators.returns import ticker_returns
 from quarterline.params import ScreenParams
 from quarterline.plans import backtest as bt
 from quarterline.plans import fundamentals as fn
+from quarterline.plans import load
 from quarterline.plans import panel as pn
 from quarterline.plans import validation as dq
 from quarterline.plans.domain import Domain
+from quarterline.plans.lineage import new_path
 from quarterline.sources import filings, tables as tb
+from quarterline.sources.market_history import read_history
+from quarterline.sources.versions import TableSet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,6 +141,25 @@ def _(d):
     return facts.earliest_filed(parsed).select("cik", "kind", "concept", "period_start", "period_end", "value", "accn", "filed")
 
 
+@q("filings_round_trip")
+def _(d):
+    """The same facts out of files: nested documents written and read back, some of them broken,
+    some without their company's number."""
+    folder = new_path(d.spark, "filings")
+    filings.write_documents(fx.filing_texts(d.spark, d.sf_dir), folder)
+    parsed = facts.parse_facts(filings.explode_facts(filings.read_documents(d.spark, folder)), fx.AS_OF)
+    return facts.earliest_filed(parsed).select("cik", "kind", "concept", "period_start", "period_end", "value", "accn", "filed")
+
+
+@q("filings_subset")
+def _(d):
+    """Files, errors and companies of every third number, many of which have no file."""
+    folder = new_path(d.spark, "filings")
+    filings.write_documents(fx.filing_texts(d.spark, d.sf_dir), folder)
+    asked = range(0, 2 * fx.table(d.spark, d.sf_dir, "supplier").count(), 3)
+    return filings.load_counts(filings.read_documents(d.spark, folder, list(asked)))
+
+
 @q("eps_concept_preference")
 def _(d):
     reported = earnings.prefer_diluted(earnings.eps_candidates(d.eps_facts)).where("not is_derived")
@@ -185,6 +208,24 @@ def _(d):
     return market.price_daily(d.enriched)
 
 
+def _from_files(d, fmt):
+    folder = new_path(d.spark, "history_files")
+    fx.history_files(d.spark, d.sf_dir, folder, fmt)
+    return market.daily_rows(read_history(d.spark, folder, fmt)).select("ticker", "date", "close", F.col("volume").cast("long").alias("volume"))
+
+
+@q("history_csv_days")
+def _(d):
+    """Days of a CSV history whose times carry offsets, the last row of the file for each."""
+    return _from_files(d, "csv")
+
+
+@q("history_parquet_days")
+def _(d):
+    """The same out of instants with the exchange's zone."""
+    return _from_files(d, "parquet")
+
+
 @q("stock_splits")
 def _(d):
     return market.stock_split(d.enriched)
@@ -234,6 +275,15 @@ def _(d):
     return market.load_counters(d.enriched)
 
 
+@q("load_observed_counts")
+def _(d):
+    """Counters of three loads, taken from the writes themselves."""
+    raw = fx.eps_source(d.spark, d.sf_dir).unionByName(fx.shares_source(d.spark, d.sf_dir))
+    eps = load.load_eps(d.eps_facts)
+    counts = {**load.load_market(d.history).counts, **load.load_facts(raw, fx.AS_OF).counts, **eps.counts}
+    return d.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
 # --- repairs ----------------------------------------------------------------------------------
 
 @q("corrupt_tickers")
@@ -489,16 +539,28 @@ def _(d):
     return tb.replaced_rows(old, new, new.select("ticker_yahoo")).select("ticker_yahoo", "status", "rows")
 
 
+def _replacement(d):
+    """The tables of a load, the rows that come anew, and the tickers they replace."""
+    since = {"price_daily": "date >= '1996-01-01'", "dividend": "ex_date >= '1996-01-01'", "stock_split": "split_date >= '1996-01-01'",
+             "price_quarterly": "quarter >= '1996Q1'", "yahoo_fetch_log": "true"}
+    stored = {n: d.purged[n] for n in since}
+    return stored, {n: stored[n].where(since[n]) for n in since}, _logs(d)[1].select("ticker_yahoo")
+
+
 @q("load_replace_all")
 def _(d):
     """Every third company's tickers loaded anew, from 1996 on, into the five tables of a load."""
-    stored = d.purged
-    names = ("price_daily", "dividend", "stock_split", "price_quarterly", "yahoo_fetch_log")
-    since = {"price_daily": "date >= '1996-01-01'", "dividend": "ex_date >= '1996-01-01'", "stock_split": "split_date >= '1996-01-01'",
-             "price_quarterly": "quarter >= '1996Q1'", "yahoo_fetch_log": "true"}
-    tickers = _logs(d)[1].select("ticker_yahoo")
-    out = tb.replaced_tables({n: stored[n] for n in names}, {n: stored[n].where(since[n]) for n in names}, tickers)
-    return dq.row_counts(out)
+    return dq.row_counts(tb.replaced_tables(*_replacement(d)))
+
+
+@q("load_replace_committed")
+def _(d):
+    """The same replacement in a stored set of tables, by one commit."""
+    stored, new, tickers = _replacement(d)
+    tables = TableSet(d.spark, new_path(d.spark, "tables"), 16)
+    tables.load(stored)
+    tables.replace(new, tickers)
+    return dq.row_counts(tables.read_all())
 
 
 @q("load_replace_todo")

@@ -1,4 +1,4 @@
-"""Reader of company filing documents: one JSON file per company.
+"""Reader and writer of company filing documents: one JSON file per company.
 
 The concept registry becomes the read schema, so the JSON parser materialises the few
 registered concepts and skips the hundreds of others while it scans; nothing is inferred.
@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterline.constants import CONCEPT_REGISTRY
-from quarterline.plans.lineage import existing
 
 _FACT = T.StructType([
     T.StructField(name, T.StringType())
     for name in ("start", "end", "val", "accn", "fy", "fp", "form", "filed", "frame")
 ])
 NAMESPACES = ("us-gaap", "dei")
+#: The partition column of a folder of documents that Spark has written.
+DOCUMENT = "document"
 
 
 def _document_schema() -> T.StructType:
@@ -46,31 +47,38 @@ def entry_name(cik: int) -> str:
 def read_documents(spark: SparkSession, directory: str, ciks: list[int] | None = None) -> DataFrame:
     """Documents with ``cik``, ``entity_name``, ``facts``, ``file_name`` and ``is_error``.
 
-    ``ciks`` lists the files to open, and only those are looked at; the ones that are missing
-    are passed over. A file that is no
-    JSON document yields one row with ``is_error``; it never stops the load.
+    A folder holds the files themselves, or a partition for each as ``write_documents`` makes
+    them. ``ciks`` lists the companies wanted: their names are a filter on the listing, which Spark
+    makes once, and no other file is opened; the ones that are missing are passed over. A file
+    that is no JSON document yields one row with ``is_error``; it never stops the load. A document
+    without ``cik`` has the first digits of its name, or 0.
     """
-    reader = (
+    docs = (
         spark.read.schema(_document_schema())
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .json(directory)
     )
-    if ciks is None:
-        docs = reader.json(directory)
-    else:
-        docs = reader.json(existing(spark, [f"{directory.rstrip('/')}/{entry_name(c)}" for c in sorted(set(ciks))]))
-    from_name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).try_cast("bigint")
+    name = F.col(DOCUMENT) if DOCUMENT in docs.columns else F.col("_metadata.file_name")
+    if ciks is not None:
+        docs = docs.where(name.isin(sorted({entry_name(c) for c in ciks})))
+    from_name = F.regexp_extract(name, r"(\d+)", 1).try_cast("bigint")
     return docs.select(
         F.coalesce(F.col("cik").try_cast("bigint"), from_name, F.lit(0)).alias("cik"),
         F.col("entityName").alias("entity_name"),
         "facts",
-        F.col("_metadata.file_name").alias("file_name"),
+        name.alias("file_name"),
         (F.col("_corrupt_record").isNotNull() & F.col("facts").isNull()
          & F.col("cik").isNull() & F.col("entityName").isNull()).alias("is_error"),
     )
 
 
+def write_documents(texts: DataFrame, directory: str) -> None:
+    """Write ``document`` (a file's name) and ``text``, each as a partition of its own."""
+    texts.select(DOCUMENT, "text").write.partitionBy(DOCUMENT).text(directory)
+
+
 def explode_facts(documents: DataFrame) -> DataFrame:
     """One row per reported fact of a registered concept in its required unit."""
     entries = F.array(*[

@@ -1,14 +1,13 @@
 """Stored tables: load semantics on catalog tables.
 
-Tables that are replaced ticker by ticker are partitioned by a hash bucket of the ticker, so a
-replacement reads and rewrites the buckets concerned and nothing else.
+Tables that are replaced ticker by ticker are cut by a hash bucket of the ticker (``versions``), so
+a replacement reads and rewrites the buckets concerned and nothing else.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarterline.plans.lineage import materialise
 
 BUCKET = "ticker_bucket"
 DONE = ("ok", "empty")
@@ -30,8 +29,12 @@ def bulk_append(df: DataFrame, table: str, columns: list[str] | None = None) ->
     rows.write.mode("append").format("parquet").saveAsTable(table)
 
 
-def full_refresh(df: DataFrame, table: str, partition_by: str | None = None) -> None:
-    """Replace the whole table by rows that do not come from it."""
+def full_refresh(df: DataFrame, table: str, partition_by: str | None = None, sort_by: tuple[str, ...] = ()) -> None:
+    """Replace the whole table by rows that do not come from it. With ``sort_by`` rows are dealt
+    by ranges of partition and sort columns, so that a large partition is written by several tasks."""
+    if sort_by:
+        keys = (partition_by, *sort_by) if partition_by else sort_by
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = df.write.mode("overwrite").format("parquet")
     (w.partitionBy(partition_by) if partition_by else w).saveAsTable(table)
 
@@ -61,34 +64,6 @@ def replaced_rows(stored: DataFrame, new: DataFrame, tickers: DataFrame, key: st
     return stored.join(tickers, key, "left_anti").unionByName(new.join(tickers, key, "left_semi"))
 
 
-def replace_tickers(new: DataFrame, table: str, tickers: DataFrame, buckets: int) -> None:
-    """Delete and re-ingest some tickers of a bucketed table.
-
-    Only the buckets of those tickers are read (partition filter) and overwritten, from a copy
-    in the checkpoint folder since Spark does not overwrite what it is reading. ``buckets`` is
-    the table's fixed bucket count, which bounds what comes to the driver here.
-    """
-    spark = new.sparkSession
-    stored = spark.table(table)
-    touched = [r[0] for r in with_bucket(tickers, buckets).select(BUCKET).distinct().collect()]
-    old = stored.where(F.col(BUCKET).isin(touched))
-    rows = materialise(
-        replaced_rows(old, with_bucket(new, buckets), tickers).select(*stored.columns), "replace")
-    # buckets that will hold nothing any more are not touched by a dynamic overwrite
-    left = {r[0] for r in rows.select(BUCKET).distinct().collect()}
-    # insertInto heeds the session's mode only; the static one would empty all other buckets
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        rows.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(mode, before)
-    for b in sorted(set(touched) - left):
-        spark.sql(f"alter table {table} drop if exists partition ({BUCKET} = {int(b)})")
-    spark.catalog.refreshTable(table)
-
-
 def replaced_tables(stored: dict[str, DataFrame], new: dict[str, DataFrame], tickers: DataFrame) -> dict[str, DataFrame]:
     """Some tickers replaced in every table of a load at once."""
     return {name: replaced_rows(df, new[name], tickers) for name, df in stored.items()}
@@ -121,9 +96,24 @@ def export_rows(df: DataFrame, path: str, fmt: str = "csv") -> None:
     (w.option("header", True) if fmt == "csv" else w).save(path)
 
 
-def materialise_table(spark: SparkSession, table: str, build, force: bool = False) -> bool:
-    """Build a derived table unless it is there and filled. Returns whether it was built."""
-    if not force and filled(spark, table):
+INPUTS = "quarterline.inputs"
+
+
+def stored_inputs(spark: SparkSession, table: str) -> str | None:
+    """The fingerprint of the files that a derived table was built from."""
+    rows = spark.sql(f"show tblproperties {table}").where(F.col("key") == INPUTS).collect()
+    return rows[0]["value"] if rows else None
+
+
+def materialise_table(spark: SparkSession, table: str, build, force: bool = False, inputs: str | None = None,
+                      partition_by: str | None = None, sort_by: tuple[str, ...] = ()) -> bool:
+    """Build a derived table unless it is there, filled and built from the same ``inputs`` (a
+    fingerprint; None: whatever they were). Returns whether it was built.
+
+    The fingerprint is noted after the rows, so a build that was cut off is done again."""
+    if not force and filled(spark, table) and inputs in (None, stored_inputs(spark, table)):
         return False
-    full_refresh(build(), table)
+    full_refresh(build(), table, partition_by, sort_by)
+    if inputs is not None:
+        spark.sql(f"alter table {table} set tblproperties ('{INPUTS}' = '{inputs}')")
     return True

@@ -60,6 +60,32 @@ def test_documents(spark, documents):
     assert sorted(r.cik for r in some.collect()) == [6, 320]
 
 
+def files_read(df):
+    """How many files a read has opened."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().apply("numFiles").value()
+
+
+def test_subset_by_one_listing(spark, documents, tmp_path, monkeypatch):
+    """Files of other companies are not opened, and the file system is not asked for each one."""
+    assert files_read(filings.read_documents(spark, documents)) == 4
+    some = filings.read_documents(spark, documents, ciks=[5, 77, *range(1000, 3000)])
+    assert files_read(some) == 2 and {r.cik for r in some.collect()} == {5, 77}
+    assert filings.read_documents(spark, documents, ciks=[]).collect() == []
+    # the layout that Spark writes: a partition for each document
+    texts = spark.createDataFrame([(filings.entry_name(c), json.dumps({"cik": c, "entityName": f"N{c}"}) if c != 3 else "{") for c in range(1, 9)],
+                                  "document string, text string")
+    folder = str(tmp_path / "written")
+    filings.write_documents(texts, folder)
+    every = filings.read_documents(spark, folder)
+    assert {(r.cik, r.entity_name, r.is_error, r.file_name) for r in every.collect()} == {
+        (c, f"N{c}" if c != 3 else None, c == 3, filings.entry_name(c)) for c in range(1, 9)}
+    some = filings.read_documents(spark, folder, ciks=[3, 4, 99])
+    assert files_read(some) == 2 and sorted(r.cik for r in some.collect()) == [3, 4]
+    assert "PartitionFilters: [document" in some._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fact_rows(spark, documents):
     rows = filings.explode_facts(filings.read_documents(spark, documents))
     parsed = facts.parse_facts(rows, AS_OF)

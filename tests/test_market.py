@@ -229,3 +229,26 @@ def test_cleaning(spark):
     assert tuple(r) == (2, None, None, None, None)
     df = spark.createDataFrame([(NAN, dt.date(2020, 1, 2), 1)], "x double, d date, n int")
     assert cleaning.to_json_rows(df).first().json == '{"x":null,"d":"2020-01-02","n":1}'
+
+
+def test_counts_come_from_the_write(spark, tmp_path):
+    """The same counters as of a second pass, with one scan of the history."""
+    from pyspark.sql import Observation
+
+    from quarterline.plans import load
+
+    rng = random.Random(8)
+    rows = [(f"T{rng.randrange(9)}", rng.randrange(400), rng.choice([None, 5.0, 2e7, 12.5]), rng.choice([0.0, 0.0, NAN, -1.0, 0.5, 90.0, None]),
+             rng.choice([0.0, 0.0, 2.0, NAN, -3.0]), k) for k in range(900)]
+    path = str(tmp_path / "h")
+    history(spark, rows).write.parquet(path)
+    h = spark.read.parquet(path)
+    got = load.load_market(h)
+    want = market.load_counters(market.enriched_history(h)).first().asDict()
+    assert got.counts == want and all(want.values())
+    assert got.tables["daily"].count() == want["prices"] and got.tables["price_quarterly"].count() == want["quarters"]
+    plan = market.observed_daily(market.enriched_history(h), Observation())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("CollectMetrics") == 1
+    # the counters' windows need no exchange of their own
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert load.load_market(h.where("false")).counts == {k: 0 for k in want}

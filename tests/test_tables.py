@@ -39,21 +39,6 @@ def test_append_and_refresh(spark, name):
     assert rows(spark, name) == [(1, "x")]
 
 
-def test_replace_tickers(spark, name):
-    d = dt.date(2020, 1, 1)
-    old = spark.createDataFrame([(f"T{i}", d, float(i)) for i in range(20)], PRICES)
-    tb.full_refresh(tb.with_bucket(old, 8), name, partition_by=tb.BUCKET)
-    new = spark.createDataFrame([("T1", d, 100.0), ("T1", dt.date(2020, 1, 2), 101.0), ("T9", d, 9.9)], PRICES)
-    gone = spark.createDataFrame([("T1",), ("T2",), ("T40",)], "ticker_yahoo string")
-    tb.replace_tickers(new, name, gone, 8)
-    got = {(r[0], r[2]) for r in rows(spark, name)}
-    assert got == {(f"T{i}", float(i)) for i in range(20) if i not in (1, 2)} | {("T1", 100.0), ("T1", 101.0)}
-    # removing all of a bucket leaves none of its rows behind
-    every = spark.createDataFrame([(f"T{i}",) for i in range(20)], "ticker_yahoo string")
-    tb.replace_tickers(new.limit(0), name, every, 8)
-    assert rows(spark, name) == []
-
-
 LOG = "ticker_yahoo string, status string, rows bigint, error string, fetched_at timestamp"
 
 
@@ -109,7 +94,7 @@ def test_stored_pipeline_is_reused_and_pruned(spark):
     folder = "/root/testdata/sf0.001"
     d = Domain.of(spark, folder)
     QUERIES["value_panel"](spark, folder)
-    written = list(d.paths)
+    written = dict(d.paths)
     pruned = {"top_dividend_payers": "quarter", "backtest_holdings": "qidx"}
     for query, column in pruned.items():
         plan = plan_of(QUERIES[query](spark, folder))
@@ -150,3 +135,83 @@ def test_prepare(spark):
     assert load.prepare(*args) == {load.RISK_TABLE: False, load.PANEL_TABLE: True}
     for t in (load.RISK_TABLE, load.PANEL_TABLE):
         spark.sql(f"drop table {t}")
+
+
+def copied(spark, tmp_path, *without):
+    """A folder of tables that a test may change."""
+    import shutil
+
+    for t in ("lineitem", "supplier", "nation", "orders"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", tmp_path / f"{t}.parquet")
+    return str(tmp_path)
+
+
+def test_changed_input_is_seen(spark, tmp_path):
+    """In one session: only what comes from the changed table is built again."""
+    import duckdb
+
+    from quarterline.plans.domain import Domain
+    from quarterline.queries import QUERIES
+
+    folder = copied(spark, tmp_path)
+    key = lambda df: sorted((r.ticker, r.quarter, r.px_adj, r.name) for r in df.collect())
+    first = key(QUERIES["value_panel"](spark, folder))
+    before = dict(Domain.of(spark, folder).paths)
+    assert key(QUERIES["value_panel"](spark, folder)) == first and Domain.of(spark, folder).paths == before
+    # fewer observations
+    duckdb.sql(f"copy (select * from '/root/testdata/sf0.001/lineitem.parquet' where l_orderkey % 5 <> 0) to '{folder}/lineitem.parquet'")
+    second = key(QUERIES["value_panel"](spark, folder))
+    after = dict(Domain.of(spark, folder).paths)
+    assert second != first and second
+    assert {n for n in before if before[n] == after[n]} == {"stored_ticker_map", "stored_company"}
+    # the same figures as of a folder that always was so
+    Domain.forget(spark, folder)
+    assert key(QUERIES["value_panel"](spark, folder)) == second
+    # other names: the history stays as it is
+    before = dict(Domain.of(spark, folder).paths)
+    duckdb.sql(f"copy (select * replace ('other ' || s_name as s_name) from '/root/testdata/sf0.001/supplier.parquet') to '{folder}/supplier.parquet'")
+    third = key(QUERIES["value_panel"](spark, folder))
+    assert {r[:3] for r in third} == {r[:3] for r in second} and third != second
+    after = dict(Domain.of(spark, folder).paths)
+    assert {"stored_history", "stored_eps"} <= {n for n in before if before[n] == after[n]}
+    Domain.forget(spark, folder)
+
+
+def test_derived_tables_follow_their_files(spark, tmp_path):
+    """Rebuilt if a file they come from changes, or if a build was cut off."""
+    src = str(tmp_path / "src")
+    spark.range(5).write.parquet(src)
+    inputs = lambda: load.inputs_of(spark, spark.read.parquet(src))
+    build = lambda: spark.read.parquet(src).selectExpr("id", "id % 2 as k")
+    make = lambda **k: tb.materialise_table(spark, "derived", build, inputs=inputs(), partition_by="k", sort_by=("id",), **k)
+    spark.sql("drop table if exists derived")
+    assert make() and not make()
+    assert inputs() == inputs() and tb.stored_inputs(spark, "derived") == inputs()
+    spark.range(7, 9).write.mode("append").parquet(src)
+    assert make() and not make() and spark.table("derived").count() == 7
+    # rows without a note of their inputs: written, then cut off
+    tb.full_refresh(build().where("id < 3"), "derived", "k")
+    assert tb.stored_inputs(spark, "derived") is None
+    assert make() and spark.table("derived").count() == 7 and not make()
+    # a table that shrinks to the same bytes is another one, too
+    spark.range(7).write.mode("overwrite").parquet(src)
+    assert make()
+    spark.sql("drop table derived")
+
+
+def test_prepared_panel_is_partitioned(spark):
+    """Quarters are partition filters, tickers sorted inside."""
+    from quarterline.plans.domain import Domain
+
+    d = Domain(spark, "/root/testdata/sf0.001")
+    for t in (load.RISK_TABLE, load.PANEL_TABLE):
+        spark.sql(f"drop table if exists {t}")
+    load.prepare(spark, d.price_daily, d.view_rows, d.stored_eps, d.price_quarterly, d.dividend, d.stock_split, d.ticker_map, d.stored_company)
+    panel = load.load_panel(spark, dt.date(2026, 1, 1)).where("qidx between 7980 and 7983 and ticker = 'S1-A'")
+    plan = plan_of(panel)
+    said = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert ">= 7980" in said and "<= 7983" in said
+    assert "EqualTo(ticker,S1-A)" in plan
+    assert all("qidx=" in f for f in panel.inputFiles())
+    for t in (load.RISK_TABLE, load.PANEL_TABLE):
+        spark.sql(f"drop table {t}")
