@@ -55,6 +55,7 @@ QUARTER_LABEL_PATTERN = "^(19|20)[0-9]{2}Q[1-4]$"
 
 # --- fixed values: column orders -------------------------------------------------
 VIEW_COLUMNS = ("quarter", "ticker symbol", "price", "shares outstanding", "EPS", "Dividends")
+VIEW_TYPES = ("string", "string", "double", "double", "double", "double")
 
 RAW_PANEL_COLUMNS = (
     "quarter", "ticker", "price_traded", "shares", "eps", "eps_filed", "eps_period_end",

@@ -46,7 +46,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = finite(c)
-        elif isinstance(f.dataType, T.TimestampType):
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = c.cast("date")
         return c.alias(f.name)
 

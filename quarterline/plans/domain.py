@@ -124,6 +124,11 @@ class Domain:
     def corrupt(self) -> DataFrame:
         return self._store(quality.corrupt_tickers(self.loaded_prices), "corrupt")
 
+    @step("lineitem", "supplier")
+    def purged_keys(self) -> DataFrame:
+        """Keys of the quarter closes that go with the corrupt tickers, noted at the load."""
+        return self._store(self.loaded_prices.join(self.corrupt, "ticker_yahoo", "left_semi").select("ticker_yahoo", "quarter"), "purged_keys")
+
     @step()
     def _purged(self) -> dict[str, DataFrame]:
         h = self.stored_history

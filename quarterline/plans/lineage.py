@@ -4,6 +4,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,22 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
 
 
+def claim(spark: SparkSession, draft: str, final: str) -> bool:
+    """Give what was written aside its name, unless somebody has it. One of several wins where the
+    file system renames atomically, as HDFS does."""
+    jvm = spark.sparkContext._jvm
+    source, _ = path_handle(spark, draft)
+    target, _ = path_handle(spark, final)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(source, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError as taken:
+        if "FileAlreadyExistsException" not in taken.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """What the files under some paths are like: their number, bytes and a digest of names, sizes
     and times. Spark lists them, nothing is opened; the order plays no part."""

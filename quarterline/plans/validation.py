@@ -3,16 +3,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterline.constants import (
     DIVIDEND_MAX, EPS_ABS_MAX, NUMERIC_MAX, PRICE_FLOOR, QUARTER_LABEL_PATTERN, SHARES_MAX,
-    TIER3_DAYS_AROUND, VIEW_COLUMNS,
+    TIER3_DAYS_AROUND, VIEW_COLUMNS, VIEW_TYPES,
 )
+from quarterline.functions.cleaning import finite
 from quarterline.functions.quarters import quarter_end, quarter_label
 from quarterline.operators.asof import asof_backward
-from quarterline.operators.quality import corrupt_jumps, shares_with_price_date
+from quarterline.operators.quality import company_ticker, corrupt_jumps, corrupt_tickers, shares_with_price_date
 from quarterline.operators.splits import with_factor_after
 
 TICKER = "`ticker symbol`"
@@ -27,6 +28,72 @@ def anchors(actual: DataFrame, expected: DataFrame, keys: list[str], value: str,
         F.col("actual").isNull() | (F.abs(F.col("actual") - F.col("expected")) > tolerance))
 
 
+def unlike(actual: DataFrame, expected: DataFrame, keys: list[str], value: str, relative: float = 1e-9) -> DataFrame:
+    """Rows whose value is not the expected one, or that nothing is expected for."""
+    got = actual.select(*keys, F.col(value).cast("double").alias("actual"))
+    want = expected.select(*keys, F.col(value).cast("double").alias("expected"))
+    return got.join(want, keys, "left").where(F.col("actual").isNotNull() & (
+        F.col("expected").isNull() | (F.abs(F.col("actual") - F.col("expected")) > relative * F.abs("expected"))))
+
+
+def fourth_quarters(quarters: DataFrame, years: DataFrame) -> DataFrame:
+    """``cik, year, amount`` of fourth quarters: the year's amount less that of three quarters
+    (``cik, year, q, amount``), where all are there; a fourth quarter that was filed itself counts
+    as it is."""
+    of = lambda q: F.max(F.when(F.col("q") == q, F.col("amount")))
+    by_year = quarters.groupBy("cik", "year").agg(
+        F.count_if(F.col("q") < 4).alias("n"), F.sum(F.when(F.col("q") < 4, F.col("amount"))).alias("three"), of(4).alias("filed"))
+    rest = by_year.join(years.select("cik", "year", F.col("amount").alias("whole")), ["cik", "year"], "left")
+    left = F.when(F.col("n") == 3, F.col("whole") - F.col("three"))
+    return rest.select("cik", "year", F.coalesce("filed", left).alias("amount")).where("amount is not null")
+
+
+def forward_basis(raw: DataFrame) -> DataFrame:
+    """Each day's close and dividend on that day's own basis, by the chain of splits read forwards
+    from the raw rows: what all splits make together, over what those up to the day make.
+
+    ``raw`` has ``ticker, date, pos, close, dividends, stock_splits``; the last row of a day counts,
+    and days without a close do not."""
+    last = raw.groupBy("ticker", "date").agg(F.max_by(F.struct("close", "dividends", "stock_splits"), "pos").alias("r")).select(
+        "ticker", "date", "r.*").where(finite(F.col("close")).isNotNull())
+    ratio = F.when((F.col("stock_splits") > 0) & (F.col("stock_splits") < NUMERIC_MAX), F.col("stock_splits")).otherwise(1.0)
+    chain = Window.partitionBy("ticker").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("ticker").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = last.withColumn("so_far", F.exp(F.sum(F.log(ratio)).over(chain)))
+    factor = F.last("so_far").over(whole) / F.col("so_far")
+    return so_far.withColumn("factor", factor).select(
+        F.col("ticker").alias("ticker_yahoo"), "date", (F.col("close") * F.col("factor")).alias("traded"), (F.col("dividends") * F.col("factor")).alias("paid"))
+
+
+def basis_mismatches(prices: DataFrame, dividends: DataFrame, raw: DataFrame) -> DataFrame:
+    """Stored as-traded closes and as-paid dividends that the forward chain does not give:
+    ``kind, ticker_yahoo, date, actual, expected``."""
+    basis = forward_basis(raw)
+    closes = unlike(prices.withColumnRenamed("price_date", "date"), basis.withColumnRenamed("traded", "close_as_traded"),
+                    ["ticker_yahoo", "date"], "close_as_traded")
+    paid = unlike(dividends.withColumnRenamed("ex_date", "date"), basis.withColumnRenamed("paid", "amount_as_reported"),
+                  ["ticker_yahoo", "date"], "amount_as_reported")
+    return closes.select(F.lit("close").alias("kind"), "*").unionByName(paid.select(F.lit("dividend").alias("kind"), "*"))
+
+
+def market_caps(view_rows: DataFrame, shares: DataFrame, ticker_map: DataFrame) -> DataFrame:
+    """Price times count where a split lies between the two: the count as filed, on the price's
+    basis, and the market value in billions."""
+    moved = shares.where("shares_at_price_basis <> shares").join(company_ticker(ticker_map), "cik")
+    return moved.join(view_rows.select(F.col("ticker").alias("ticker_yahoo"), "quarter", "price"), ["ticker_yahoo", "quarter"]).where(
+        "price is not null").select("ticker_yahoo", "quarter", "price", "shares", "shares_at_price_basis",
+                                    F.round(F.col("price") * F.col("shares_at_price_basis") / 1e9, 4).alias("market_cap_b"))
+
+
+def stale_rows(stored: DataFrame, purged_keys: DataFrame) -> DataFrame:
+    """Two counts of rows that a purge should have taken from the stored quarter closes: those of
+    a list of keys that the load kept, and those of tickers that the jump rule finds among the
+    stored rows themselves. Neither asks the purge what it has done."""
+    listed = stored.join(purged_keys.select("ticker_yahoo", "quarter").distinct(), ["ticker_yahoo", "quarter"], "left_semi")
+    jumping = stored.join(corrupt_tickers(stored), "ticker_yahoo", "left_semi")
+    return listed.agg(F.count("*").alias("n")).join(F.broadcast(jumping.agg(F.count("*").alias("jumping"))))
+
+
 def unnormalised_straddles(shares: DataFrame, ticker_map: DataFrame, price_quarterly: DataFrame,
                            splits: DataFrame) -> DataFrame:
     """Counts left as reported although a split lies between count and price date."""
@@ -67,8 +134,19 @@ def implausible_shares(shares: DataFrame) -> DataFrame:
     return shares.where((F.col("shares") <= 0) | (F.col("shares") > SHARES_MAX))
 
 
-def view_columns_match(view: DataFrame) -> bool:
-    return tuple(view.columns) == VIEW_COLUMNS
+def view_contract(view: DataFrame) -> DataFrame:
+    """The view's columns against those agreed on, as rows: position, names and types of both, how
+    many values the column has and whether it is as agreed. A column too many or too few is a row
+    as well."""
+    spark = view.sparkSession
+    schema = "position int, name string, type string"
+    has = spark.createDataFrame([(k, f.name, f.dataType.simpleString()) for k, f in enumerate(view.schema.fields, 1)], schema)
+    wanted = spark.createDataFrame([(k, *c) for k, c in enumerate(zip(VIEW_COLUMNS, VIEW_TYPES), 1)],
+                                   "position int, wanted_name string, wanted_type string")
+    counted = view.agg(*[F.count(F.col(f"`{c}`")).alias(str(k)) for k, c in enumerate(view.columns, 1)]).select(
+        F.inline(F.array(*[F.struct(F.lit(k).alias("position"), F.col(str(k)).alias("n_values")) for k in range(1, len(view.columns) + 1)])))
+    return has.join(wanted, "position", "full").join(counted, "position", "left").withColumn(
+        "ok", F.col("name").eqNullSafe(F.col("wanted_name")) & F.col("type").eqNullSafe(F.col("wanted_type")))
 
 
 def duplicates(table: DataFrame, *keys: str) -> DataFrame:
@@ -123,11 +201,6 @@ def price_bounds(price_quarterly: DataFrame) -> DataFrame:
     )
 
 
-def present_keys(table: DataFrame, unwanted: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that should have been removed and are still there."""
-    return table.join(unwanted.select(*keys), keys, "left_semi")
-
-
 def future_quarters(view: DataFrame, as_of: dt.date) -> DataFrame:
     return view.where(F.col("quarter") > quarter_label(F.lit(as_of)))
 

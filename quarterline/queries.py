@@ -4,6 +4,7 @@
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from quarterline.plans import validation as dq
 from quarterline.plans.domain import Domain
 from quarterline.plans.lineage import new_path
 from quarterline.sources import filings, tables as tb
+from quarterline.sources.ledger import Ledger
 from quarterline.sources.market_history import read_history
 from quarterline.sources.versions import TableSet
 
@@ -596,6 +598,67 @@ def _(d):
     return tb.ledger_latest(*_logs(d)).select("ticker_yahoo", "status", "rows", "error")
 
 
+def _folded(d):
+    """The attempts come in four parts, which two folds take into snapshots."""
+    ledger = Ledger(d.spark, new_path(d.spark, "ledger"), fold_after=2)
+    first, second = _logs(d)
+    for part in (*(first.where(f"pmod(xxhash64(ticker_yahoo), 3) = {k}") for k in range(3)), second):
+        ledger.append(part)
+    return ledger
+
+
+@q("load_ledger_folded")
+def _(d):
+    return _folded(d).latest().select("ticker_yahoo", "status", "rows", "error")
+
+
+@q("load_todo_folded")
+def _(d):
+    return _folded(d).todo(universe.universe(fx.ticker_source(d.spark, d.sf_dir), fx.exclusions(d.spark, d.sf_dir)))
+
+
+def _catalog(d):
+    """Daily prices and splits as bucketed tables: refreshed, appended to, and filled up with rows of
+    which many are there already."""
+    names = [f"quarterline_{n}_{uuid.uuid4().hex}" for n in ("price_daily", "stock_split")]
+    prices, splits = market.price_daily(d.enriched), market.stock_split(d.enriched)
+    by_date, by_split = tb.Buckets(8, "ticker_yahoo", ("ticker_yahoo", "date")), tb.Buckets(8, "ticker_yahoo", ("ticker_yahoo", "split_date"))
+    tb.full_refresh(prices.where("date < '1995-01-01'"), names[0], layout=by_date, path=new_path(d.spark, names[0]))
+    tb.bulk_append(prices.where("date >= '1995-01-01' and date < '1997-01-01'"), names[0], layout=by_date)
+    tb.insert_absent(prices.where("date >= '1996-01-01'"), names[0], ["ticker_yahoo", "date"], ["close"], by_date)
+    tb.full_refresh(splits, names[1], layout=by_split, path=new_path(d.spark, names[1]))
+    return d.spark.table(names[0]), d.spark.table(names[1])
+
+
+@q("catalog_prices")
+def _(d):
+    prices, _ = _catalog(d)
+    return prices.groupBy("ticker_yahoo").agg(
+        F.count("*").alias("n"), F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.sum("volume").alias("volume"))
+
+
+@q("catalog_days_after_split")
+def _(d):
+    """Days that follow each split; both tables are read as they lie in their buckets."""
+    prices, splits = _catalog(d)
+    after = prices.join(splits.hint("merge"), "ticker_yahoo").where("date > split_date")
+    return after.groupBy("ticker_yahoo", "split_date", "ratio").agg(F.count("*").alias("n"), F.max("close").alias("top_close"))
+
+
+@q("export_round_trip")
+def _(d):
+    """The vendor's rows as JSON lines, with values that JSON does not have, read by their schema."""
+    path = new_path(d.spark, "export")
+    rows = d.history.selectExpr("ticker", "ts as day", "pos", "if(close = 0, double('-Infinity'), close) as close", "volume", "dividends", "stock_splits")
+    return tb.read_json(d.spark, path, tb.export_json(rows, path))
+
+
+@q("export_series")
+def _(d):
+    path = new_path(d.spark, "export")
+    return tb.read_json(d.spark, path, tb.export_json(QUERIES["backtest_series"](d.spark, d.sf_dir), path))
+
+
 @q("load_failures")
 def _(d):
     return tb.failures(tb.ledger_latest(*_logs(d)))
@@ -636,6 +699,41 @@ def _(d):
     return missed.join(dq.anchors(d.dividend, paid, ["ticker_yahoo", "ex_date"], "amount").agg(F.count("*").alias("dividends")))
 
 
+@q("dq_q4_anchors")
+def _(d):
+    """Fourth quarters worked out from the order lines: the year's amount less three quarters, or
+    the one a company files itself. Companies whose annual figure is of no annual form have none."""
+    cents = fx.observations(d.spark, d.sf_dir).where("l_linenumber % 2 = 1").groupBy(
+        F.col("l_suppkey").alias("cik"), F.year("d").alias("year"), F.quarter("d").alias("q")).agg(
+        F.expr("sum(cents) div (sum(qty) * 1000) - 195").alias("v"))
+    quarters = cents.where("q < 4 or (cik + year) % 3 = 0").select("cik", "year", "q", (F.col("v") / 100).alias("amount"))
+    years = cents.groupBy("cik", "year").agg(((F.sum("v") + 1) / 100).alias("amount"), F.count("*").alias("n")).where(
+        "n = 4 and cik % 7 <> 0 and cik % 13 <> 0")
+    want = dq.fourth_quarters(quarters, years).select("cik", F.concat("year", F.lit("Q4")).alias("quarter"), F.col("amount").alias("eps"))
+    return dq.anchors(d.stored_eps, want, ["cik", "quarter"], "eps").select("cik", "quarter")
+
+
+@q("dq_basis_anchors")
+def _(d):
+    """As-traded closes and as-paid dividends as stored, against the chain of splits read forwards from
+    the vendor's rows: how many, and how many are not as they should be."""
+    raw = d.history.select("ticker", F.to_date("ts").alias("date"), "pos", "close", "dividends", "stock_splits")
+    wrong = dq.basis_mismatches(d.price_quarterly, d.dividend, raw).groupBy("kind").agg(F.count("*").alias("mismatches"))
+    both = d.price_quarterly.agg(F.lit("close").alias("kind"), F.count("close_as_traded").alias("n")).unionAll(
+        d.dividend.agg(F.lit("dividend").alias("kind"), F.count("amount_as_reported").alias("n")))
+    return both.join(wrong, "kind", "left").select("kind", "n", F.coalesce("mismatches", F.lit(0)).alias("mismatches"))
+
+
+@q("dq_market_caps")
+def _(d):
+    return dq.market_caps(d.view_rows, d.shares_quarterly, d.ticker_map)
+
+
+@q("dq_view_contract")
+def _(d):
+    return dq.view_contract(d.view)
+
+
 @q("dq_split_straddles")
 def _(d):
     raw = d.shares_quarterly.withColumn("shares_at_price_basis", F.col("shares"))
@@ -730,8 +828,9 @@ def _(d):
 
 @q("dq_stale_rows")
 def _(d):
-    gone = d.loaded_prices.join(d.corrupt, "ticker_yahoo", "left_semi")
-    return dq.present_keys(d.price_quarterly, gone, ["ticker_yahoo", "quarter"]).agg(F.count("*").alias("n"))
+    """Rows the purge should have taken: by the keys noted at the load, and by the jump rule over
+    what is stored."""
+    return dq.stale_rows(d.price_quarterly, d.purged_keys)
 
 
 @q("dq_corrupt_jumps")

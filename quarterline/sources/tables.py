@@ -5,8 +5,13 @@ a replacement reads and rewrites the buckets concerned and nothing else.
 """
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quarterline.functions.cleaning import nan_to_null
 
 
 BUCKET = "ticker_bucket"
@@ -21,22 +26,46 @@ def filled(spark: SparkSession, table: str) -> bool:
     return exists(spark, table) and not spark.table(table).isEmpty()
 
 
-def bulk_append(df: DataFrame, table: str, columns: list[str] | None = None) -> None:
-    """Append in declared column order."""
+@dataclass(frozen=True)
+class Buckets:
+    """Layout of a catalog table that is joined on ``key``: hashed into ``n`` buckets, each sorted, so
+    that a join of two such tables reads them as they lie, without an exchange."""
+    n: int
+    key: str
+    sort_by: tuple[str, ...]
+
+
+def _save(df: DataFrame, table: str, mode: str, layout: Buckets | None = None, path: str | None = None) -> None:
+    if layout:
+        df = df.repartition(layout.n, layout.key)  # a file for each bucket
+    w = df.write.mode(mode).format("parquet")
+    if layout:
+        w = w.bucketBy(layout.n, layout.key).sortBy(*layout.sort_by)
+    (w.option("path", path) if path else w).saveAsTable(table)
+
+
+def bulk_append(df: DataFrame, table: str, columns: list[str] | None = None, layout: Buckets | None = None) -> None:
+    """Append in declared column order. ``layout`` is the table's, if it is bucketed."""
     rows = df.select(*columns) if columns else df
     if exists(df.sparkSession, table):
         rows = rows.select(*df.sparkSession.table(table).columns)
-    rows.write.mode("append").format("parquet").saveAsTable(table)
+    _save(rows, table, "append", layout)
 
 
-def full_refresh(df: DataFrame, table: str, partition_by: str | None = None, sort_by: tuple[str, ...] = ()) -> None:
-    """Replace the whole table by rows that do not come from it. With ``sort_by`` rows are dealt
-    by ranges of partition and sort columns, so that a large partition is written by several tasks."""
+def full_refresh(df: DataFrame, table: str, partition_by: str | None = None, sort_by: tuple[str, ...] = (),
+                 layout: Buckets | None = None, path: str | None = None) -> None:
+    """Replace the whole table by rows that do not come from it, bucketed or partitioned. With
+    ``sort_by`` rows are dealt by ranges of partition and sort columns, so that a large partition is
+    written by several tasks. ``path`` is where a table outside the warehouse lies."""
+    if layout:
+        _save(df, table, "overwrite", layout, path)
+        return
     if sort_by:
         keys = (partition_by, *sort_by) if partition_by else sort_by
         df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = df.write.mode("overwrite").format("parquet")
-    (w.partitionBy(partition_by) if partition_by else w).saveAsTable(table)
+    w = w.partitionBy(partition_by) if partition_by else w
+    (w.option("path", path) if path else w).saveAsTable(table)
 
 
 def absent_rows(new: DataFrame, stored: DataFrame | None, keys: list[str], order: list[str]) -> DataFrame:
@@ -46,13 +75,13 @@ def absent_rows(new: DataFrame, stored: DataFrame | None, keys: list[str], order
     return rows if stored is None else rows.join(stored.select(*keys), keys, "left_anti")
 
 
-def insert_absent(new: DataFrame, table: str, keys: list[str], order: list[str]) -> None:
+def insert_absent(new: DataFrame, table: str, keys: list[str], order: list[str], layout: Buckets | None = None) -> None:
     """The first writer of a key wins."""
     spark = new.sparkSession
     stored = spark.table(table) if exists(spark, table) else None
     rows = absent_rows(new, stored, keys, order)
     rows = rows.select(*stored.columns) if stored is not None else rows
-    rows.write.mode("append").format("parquet").saveAsTable(table)
+    _save(rows, table, "append", layout)
 
 
 def with_bucket(df: DataFrame, buckets: int, key: str = "ticker_yahoo") -> DataFrame:
@@ -74,7 +103,9 @@ def ledger_latest(*attempts: DataFrame) -> DataFrame:
     rows = attempts[0]
     for more in attempts[1:]:
         rows = rows.unionByName(more)
-    last = Window.partitionBy("ticker_yahoo").orderBy(F.desc("fetched_at"), "status")
+    # all columns, so that an order of outcomes is total however they are put together
+    ties = [c for c in rows.columns if c not in ("ticker_yahoo", "fetched_at", "status")]
+    last = Window.partitionBy("ticker_yahoo").orderBy(F.desc("fetched_at"), "status", *sorted(ties))
     return rows.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
 
 
@@ -96,6 +127,19 @@ def export_rows(df: DataFrame, path: str, fmt: str = "csv") -> None:
     (w.option("header", True) if fmt == "csv" else w).save(path)
 
 
+def export_json(df: DataFrame, path: str) -> T.StructType:
+    """Write one JSON object a line: missing values, NaN and infinities as null, dates in ISO form.
+    Returns the schema that ``read_json`` reads it by."""
+    safe = nan_to_null(df)
+    safe.write.option("ignoreNullFields", False).option("dateFormat", "yyyy-MM-dd").json(path)
+    return safe.schema
+
+
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Read by a declared schema; a line that does not fit it ends the read."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd").json(path)
+
+
 INPUTS = "quarterline.inputs"
 
 

@@ -22,9 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from py4j.protocol import Py4JJavaError
 
-from quarterline.plans.lineage import children, discard, path_handle
+from quarterline.plans.lineage import children, claim, discard, path_handle
 from quarterline.sources.tables import BUCKET, replaced_rows, with_bucket
 
 COMMITS = "_commits"
@@ -63,21 +62,15 @@ class TableSet:
     def _publish(self, commit: Commit) -> bool:
         """Take the commit's number; False if another writer has it."""
         said = json.dumps({"buckets": self.buckets, "schemas": commit.schemas, "versions": commit.versions})
-        jvm = self.spark.sparkContext._jvm
-        final, fs = path_handle(self.spark, f"{self.folder}/{COMMITS}/{commit.number:010d}.json")
-        draft, _ = path_handle(self.spark, f"{self.folder}/{COMMITS}/_{uuid.uuid4().hex}")
-        out = fs.create(draft, False)
+        draft = f"{self.folder}/{COMMITS}/_{uuid.uuid4().hex}"
+        path, fs = path_handle(self.spark, draft)
+        out = fs.create(path, False)
         out.write(bytearray(said.encode()))
         out.close()
-        try:
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(
-                draft, final, self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
-        except Py4JJavaError as taken:
-            fs.delete(draft, False)
-            if "FileAlreadyExistsException" not in taken.java_exception.getClass().getName():
-                raise
-            return False
-        return True
+        if claim(self.spark, draft, f"{self.folder}/{COMMITS}/{commit.number:010d}.json"):
+            return True
+        discard(self.spark, draft)
+        return False
 
     # --- reading ----------------------------------------------------------------------
     def read(self, table: str, commit: Commit | None = None, buckets: set[str] | None = None) -> DataFrame:

@@ -213,7 +213,7 @@ def test_view(spark):
                                 "ticker_yahoo string, quarter string, amount double, amount_as_reported double")
     tm = spark.createDataFrame([(1, "A", "A"), (1, "B", "B"), (1, "B.", "B"), (2, "A2", "A")], "cik bigint, ticker_edgar string, ticker_yahoo string")
     v = fundamentals.quarterly_fundamentals(eps, sh, pq, div, tm)
-    assert validation.view_columns_match(v)
+    assert validation.view_contract(v).where("not ok").isEmpty()
     got = sorted([tuple(r) for r in v.collect()], key=str)
     assert got == sorted([
         ("2020Q1", "A", 6.0, 200.0, 1.0, None), ("2020Q1", "A", 6.0, None, None, None), ("2020Q1", "B", None, 200.0, 1.0, 1.25),
@@ -252,3 +252,61 @@ def test_counts_come_from_the_write(spark, tmp_path):
     # the counters' windows need no exchange of their own
     assert plan.count("Exchange hashpartitioning") == 2
     assert load.load_market(h.where("false")).counts == {k: 0 for k in want}
+
+
+def test_view_contract(spark):
+    """Another name, another type, a column too many or too few: each is a row."""
+    good = spark.createDataFrame([("2020Q1", "A", 1.0, 2.0, None, 0.0)], "quarter string, `ticker symbol` string, price double, `shares outstanding` double, EPS double, Dividends double")
+    rows = {r.position: r for r in validation.view_contract(good).collect()}
+    assert len(rows) == 6 and all(r.ok for r in rows.values()) and [rows[k].n_values for k in range(1, 7)] == [1, 1, 1, 1, 0, 1]
+    bad = lambda df: {r.position: (r.name, r.type, r.wanted_name) for r in validation.view_contract(df).where("not ok").collect()}
+    assert bad(good.withColumn("EPS", F.col("EPS").cast("decimal(18,6)"))) == {5: ("EPS", "decimal(18,6)", "EPS")}
+    assert bad(good.withColumnRenamed("EPS", "eps")) == {5: ("eps", "double", "EPS")}
+    assert bad(good.withColumn("more", F.lit(1))) == {7: ("more", "int", None)}
+    assert bad(good.drop("Dividends")) == {6: (None, None, "Dividends")}
+
+
+def test_wrong_figures_show_up(spark):
+    """A wrong as-traded close, as-paid dividend and fourth quarter, planted one at a time."""
+    h = history(spark, [("A", 0, 100.0, 0.0, 0.0, 1), ("A", 0, 90.0, 1.0, 0.0, 2), ("A", 30, 50.0, 0.5, 2.0, 3), ("A", 100, 20.0, 0.25, 3.0, 4),
+                        ("A", 120, None, 9.0, 7.0, 5), ("A", 200, 19.0, 0.0, NAN, 6), ("B", 3, 7.0, 0.0, 0.0, 1)])
+    raw = h.withColumn("date", F.to_date("ts"))
+    e = market.enriched_history(h)
+    prices, paid = market.price_quarterly(e), market.dividend(e)
+    kinds = lambda p, d: [(r.kind, r.ticker_yahoo, r.date.isoformat()) for r in validation.basis_mismatches(p, d, raw).collect()]
+    assert {(r.date.isoformat(), round(r.traded, 9)) for r in validation.forward_basis(raw).where("ticker_yahoo = 'A'").collect()} == {
+        ("2020-01-01", 540.0), ("2020-01-31", 150.0), ("2020-04-10", 20.0), ("2020-07-19", 19.0)}
+    assert kinds(prices, paid) == []
+    on = F.col("quarter") == "2020Q1"
+    wrong = lambda c: F.when(on & (F.col("ticker_yahoo") == "A"), F.col(c) * 2).otherwise(F.col(c))
+    assert kinds(prices.withColumn("close_as_traded", wrong("close_as_traded")), paid) == [("close", "A", "2020-01-31")]
+    on_day = F.when(F.col("ex_date") == "2020-01-31", F.col("amount")).otherwise(F.col("amount_as_reported"))
+    assert kinds(prices, paid.withColumn("amount_as_reported", on_day)) == [("dividend", "A", "2020-01-31")]
+    # a close on a day the vendor has no row for
+    other = prices.withColumn("price_date", F.date_add("price_date", 1))
+    assert {k for k, *_ in kinds(other, paid)} == {"close"}
+
+    quarters = spark.createDataFrame([(1, 2020, 1, 1.0), (1, 2020, 2, 2.0), (1, 2020, 3, 3.0), (2, 2020, 1, 1.0), (2, 2020, 2, 1.0), (2, 2020, 3, 1.0), (2, 2020, 4, 7.0),
+                                      (3, 2020, 1, 1.0), (3, 2020, 2, 1.0), (4, 2020, 1, 1.0), (4, 2020, 2, 1.0), (4, 2020, 3, 1.0)], "cik int, year int, q int, amount double")
+    years = spark.createDataFrame([(1, 2020, 10.0), (2, 2020, 99.0), (3, 2020, 5.0)], "cik int, year int, amount double")
+    want = validation.fourth_quarters(quarters, years).withColumn("quarter", F.concat("year", F.lit("Q4"))).withColumnRenamed("amount", "eps")
+    # the year less three, the filed one, two quarters only, no year
+    assert {(r.cik, r.eps) for r in want.collect()} == {(1, 4.0), (2, 7.0)}
+    stored = spark.createDataFrame([(1, "2020Q4", 4.0), (2, "2020Q4", 7.0)], "cik int, quarter string, eps double")
+    off = lambda df: {r.cik for r in validation.anchors(df, want, ["cik", "quarter"], "eps").collect()}
+    assert off(stored) == set()
+    assert off(stored.withColumn("eps", F.when(F.col("cik") == 1, F.col("eps") + 0.01).otherwise(F.col("eps")))) == {1}
+    assert off(stored.where("cik = 1")) == {2}
+
+
+def test_a_purge_left_out_shows_up(spark, monkeypatch):
+    from quarterline.plans.domain import Domain
+    from quarterline.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    done = QUERIES["dq_stale_rows"](spark, folder).first()
+    assert (done.n, done.jumping) == (0, 0) and not Domain.of(spark, folder).purged_keys.isEmpty()
+    d = Domain(spark, folder)
+    monkeypatch.setattr(quality, "purge", lambda tables, corrupt: tables)
+    left = validation.stale_rows(d.price_quarterly, d.purged_keys).first()
+    assert left.n == d.purged_keys.count() > 0 and left.jumping > 0

@@ -2,6 +2,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from frames import RAW, SPLITS, raw_rows
 from quarterline.plans import load
@@ -215,3 +216,86 @@ def test_prepared_panel_is_partitioned(spark):
     assert all("qidx=" in f for f in panel.inputFiles())
     for t in (load.RISK_TABLE, load.PANEL_TABLE):
         spark.sql(f"drop table {t}")
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from quarterline.plans.lineage import new_path as at
+
+    names = ["bucketed_prices", "bucketed_splits"]
+    for t in names:
+        spark.sql(f"drop table if exists {t}")
+    days = spark.createDataFrame([(f"T{i % 9}", dt.date(2020, 1, 1 + i // 9), float(i)) for i in range(90)], "ticker_yahoo string, date date, close double")
+    splits = spark.createDataFrame([(f"T{i}", dt.date(2020, 1, 3), 2.0) for i in range(9)], "ticker_yahoo string, split_date date, ratio double")
+    by = lambda c: tb.Buckets(4, "ticker_yahoo", ("ticker_yahoo", c))
+    tb.full_refresh(days.where("close < 30"), names[0], layout=by("date"), path=at(spark, "b"))
+    tb.full_refresh(splits, names[1], layout=by("split_date"), path=at(spark, "b"))
+    join = lambda: spark.table(names[0]).join(spark.table(names[1]).hint("merge"), "ticker_yahoo").where("date > split_date")
+    plan = plan_of(join())
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+    tb.bulk_append(days.where("close >= 30 and close < 60"), names[0], layout=by("date"))
+    tb.insert_absent(days.withColumn("close", F.col("close") + 0.5), names[0], ["ticker_yahoo", "date"], ["close"], by("date"))
+    # more than one file in a bucket: rows still need no exchange
+    plan = plan_of(join())
+    assert "Exchange" not in plan
+    assert join().count() == sum(1 for i in range(90) if i // 9 > 2)
+    got = {r.close for r in spark.table(names[0]).collect()}
+    assert got == {float(i) for i in range(60)} | {i + 0.5 for i in range(60, 90)}
+    # of one ticker the join reads one bucket of each table
+    assert plan_of(join().where("ticker_yahoo = 'T1'")).count("SelectedBucketsCount: 1 out of 4") == 2
+    for t in names:
+        spark.sql(f"drop table {t}")
+
+
+def test_ledger_folds(spark, monkeypatch):
+    from quarterline.sources import ledger as lg
+
+    t = lambda n: dt.datetime(2026, 1, 1) + dt.timedelta(hours=n)
+    tries = [[("A", "error", 0, "x", t(1)), ("B", "ok", 1, None, t(1))], [("A", "ok", 5, None, t(2))], [("C", "empty", 0, None, t(3)), ("B", "error", 0, "late", t(0))],
+             [("A", "error", 0, "y", t(4)), ("A", "ok", 1, None, t(4))], [("D", "ok", 2, None, t(5))], [("B", "error", 0, None, t(6))], []]
+    u = spark.createDataFrame([(x,) for x in "ABCDE"], "ticker string")
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    plain, folding, cut = (lg.Ledger(spark, new_path(spark, "ledger"), n) for n in (100, 2, 1))
+    with pytest.raises(ValueError, match="no attempts"):
+        plain.latest()
+    for k, outcomes in enumerate(tries):
+        df = spark.createDataFrame(outcomes, LOG)
+        plain.append(df)
+        folding.append(df)
+        # a fold that is cut off after its rows are written leaves no snapshot, and the next one makes it good
+        with monkeypatch.context() as m:
+            if k % 2:
+                m.setattr(lg, "claim", lambda s, draft, final, real=lg.claim: real(s, draft, final) if lg.ATTEMPTS in final else (_ for _ in ()).throw(KeyboardInterrupt()))
+                with pytest.raises(KeyboardInterrupt):
+                    cut.append(df)
+            else:
+                cut.append(df)
+        want = rows(tb.ledger_latest(spark.createDataFrame([r for o in tries[:k + 1] for r in o], LOG)))
+        assert rows(plain.latest()) == rows(folding.latest()) == rows(cut.latest()) == want
+        assert rows(plain.todo(u)) == rows(folding.todo(u)) == rows(cut.todo(u))
+    assert len(plain.latest().inputFiles()) > len(folding.latest().inputFiles())
+    assert folding._state() == (6, [7]) and plain._state()[0] == 0
+    before = rows(folding.latest())
+    assert folding.sweep() == 6 + 2 and rows(folding.latest()) == before and folding.sweep() == 0
+    assert folding.append(spark.createDataFrame(tries[0], LOG)) == 8
+    # a fold beside another of the same attempts
+    folding.fold()
+    folding.fold()
+    assert rows(folding.latest()) == before
+
+
+def test_json_export(spark, tmp_path):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(1, nan, "a\n\"é", dt.date(2020, 1, 2), dt.datetime(2020, 1, 2, 3), [1.5]), (2, -inf, None, None, None, None), (3, 0.1 + 0.2, "", dt.date(1, 1, 1), None, [])],
+                               "n long, x double, `a b` string, d date, t timestamp, l array<double>")
+    schema = tb.export_json(df, str(tmp_path / "j"))
+    lines = sorted(p for f in (tmp_path / "j").glob("part-*") for p in f.read_text().splitlines())
+    assert lines[0] == '{"n":1,"x":null,"a b":"a\\n\\"é","d":"2020-01-02","t":"2020-01-02","l":[1.5]}'
+    assert lines[1] == '{"n":2,"x":null,"a b":null,"d":null,"t":null,"l":null}'
+    back = tb.read_json(spark, str(tmp_path / "j"), schema)
+    assert dict(back.dtypes)["t"] == "date" and back.schema == schema
+    assert sorted(map(tuple, back.select("n", "x", "d").collect())) == [(1, None, dt.date(2020, 1, 2)), (2, None, None), (3, 0.1 + 0.2, dt.date(1, 1, 1))]
+    # another type than was declared is refused
+    with pytest.raises(Exception):
+        tb.read_json(spark, str(tmp_path / "j"), "n long, d double").collect()
+    tb.export_json(df.limit(0), str(tmp_path / "e"))
+    assert tb.read_json(spark, str(tmp_path / "e"), schema).collect() == []
