@@ -106,7 +106,8 @@ def _(spark, sf_dir):
 
 @q("op6_suffix_dedup")
 def _(spark, sf_dir):
-    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"), "doc_id", "text")
+    report = suffix_dedup.removal_report(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return report.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 @q("op3_maxscore_topk")

@@ -2,12 +2,15 @@
 
 A vector's components are terms: one for each dimension and sign, with the component's size as
 its weight in the posting list. A query meets, for each dimension, the term of its own sign,
-whose products are positive; the other sign only lowers a score. Terms are split by their score
-bounds: what the smallest of them can add together stays below the k-th best score so far, so a
-row needs the essential rest. Essential postings are added up first; rows whose sum and what the
-others could still add reach the k-th best are probed, on the essential dimensions' other sign
-and then on the others, while they stay competitive. Equal scores go to the smaller id, so a
-bound that equals the k-th best is still looked at.
+whose products are positive; the other sign only lowers a score. A first k-th best score comes from
+the heads of the query's strongest lists, a few rows each. Postings are then passed in blocks of
+rows, those first whose bounds promise most, until a block's bounds stay below the k-th best. For
+each block terms are split anew by their score bounds in it: what the smallest of them can add
+together stays below the k-th best score so far, so a row needs the essential rest. Essential
+postings are added up first; rows whose sum and what the others could still add reach the k-th best
+are probed, on the essential dimensions' other sign and then on the others, and those that stay
+competitive raise the k-th best for the next block. Equal scores go to the smaller id, so a bound
+that equals the k-th best is still looked at.
 
 Rows are dealt into shards by a hash of their ids, a shard is one task's index of bounded size,
 and the queries pass by it in blocks. Each shard's k best are merged by a window that keeps k of
@@ -29,7 +32,8 @@ from pyspark.sql import functions as F
 
 SHARD_ROWS = 100_000
 QUERY_BLOCK = 256
-FIRST = 1024  # rows of a shard scored in full for a first k-th best
+BLOCK_ROWS = 1024
+HEADS, LEADERS = 16, 4  # rows at the head of a list, lists whose heads give the first k-th best
 EXACT = 1 << 53
 
 
@@ -41,55 +45,66 @@ def whole_numbers(vector: Column, scale: int = 256) -> Column:
 
 
 class Shard:
-    """Posting lists of one shard, by dimension and sign, and their score bounds."""
+    """Posting lists of one shard, by dimension and sign, their heads, and their score bounds by
+    block of rows. ``probed`` and ``passed`` count rows whose scores were finished, and all."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, k: int = 5):
         order = np.argsort(ids, kind="stable")
         self.ids, self.rows = ids[order], rows[order]
-        self.dims = rows.shape[1]
+        self.dims, n = rows.shape[1], len(ids)
         self.postings = np.concatenate([np.maximum(self.rows, 0).T, np.maximum(-self.rows, 0).T])
-        self.bounds = self.postings.max(1) if len(ids) else np.zeros(2 * self.dims)
+        self.starts = np.arange(0, n, BLOCK_ROWS)
+        self.bounds = np.maximum.reduceat(self.postings, self.starts, axis=1) if n and self.dims else np.zeros((2 * self.dims, len(self.starts)), rows.dtype)
+        # one more than k, as the query's own row may be among them
+        self.heads = np.argsort(-self.postings, axis=1, kind="stable")[:, :max(HEADS, k + 1)]
+        self.probed = self.passed = 0
 
     def search(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """(score, id) of the k best rows, the best first."""
         dims = np.arange(self.dims)
         same, other = dims + self.dims * (query < 0), dims + self.dims * (query >= 0)
         size = np.abs(query)
-        best = self._best(np.arange(min(FIRST, len(self.ids))), None, own, query, k, [])
-        if len(self.ids) > FIRST:
+        self.passed += len(self.ids)
+        strongest = np.argsort(-(size * self.bounds[same].max(1, initial=0)), kind="stable")[:LEADERS]
+        led = np.unique(self.heads[same[strongest]])
+        self.probed += len(led)
+        best = self._better([], led, self.rows[led] @ query, own, k)
+        promise = size @ self.bounds[same] if self.dims else np.zeros(len(self.starts))
+        for block in np.argsort(-promise, kind="stable").tolist():
             least = best[-1][0] if len(best) == k else None
-            rest = np.arange(FIRST, len(self.ids))
-            best = self._best(*self._competitive(rest, least, query, size, same, other), own, query, k, best)
-        return best
-
-    def _competitive(self, rows, least, query, size, same, other):
-        if least is None:
-            return rows, None
-        bound = size * self.bounds[same]
+            if least is not None and promise[block] < least:
+                break
+            at = slice(int(self.starts[block]), min(int(self.starts[block]) + BLOCK_ROWS, len(self.ids)))
+            rows, scores = self._competitive(at, block, least, query, size, same, other)
+            self.probed += len(rows)
+            fresh = ~np.isin(rows, led)
+            best = self._better(best, rows[fresh], scores[fresh], own, k)
+        return [(score, i) for score, i in best]
+
+    def _competitive(self, at, block, least, query, size, same, other):
+        """Rows of a block that may reach ``least``, and their scores."""
+        bound = size * self.bounds[same, block]
         order = np.argsort(bound, kind="stable")
-        below = np.cumsum(bound[order]) < least
+        below = np.cumsum(bound[order]) < least if least is not None else np.zeros(self.dims, bool)
         spare, essential = order[below], order[~below]
         more = bound[spare].sum()
-        if not len(essential):  # nothing can reach the k-th best
-            return rows[:0], None
-        at = slice(rows[0], rows[-1] + 1)
         total = size[essential] @ self.postings[same[essential], at]
-        alive = np.flatnonzero(total + more >= least)
-        total = total[alive] - size[essential] @ self.postings[other[essential]][:, rows[alive]]
-        stay = total + more >= least
-        alive, total = alive[stay], total[stay]
-        return rows[alive], total + self.rows[rows[alive]][:, spare] @ query[spare]
-
-    def _best(self, rows, scores, own, query, k, before):
-        if scores is None:
-            scores = self.rows[rows] @ query
+        alive = np.arange(at.stop - at.start) if least is None else np.flatnonzero(total + more >= least)
+        rows = alive + at.start
+        total = total[alive] - size[essential] @ self.postings[other[essential]][:, rows]
+        if least is not None:
+            stay = total + more >= least
+            rows, total = rows[stay], total[stay]
+        return rows, total + self.rows[rows][:, spare] @ query[spare]
+
+    def _better(self, best, rows, scores, own, k):
         ids = self.ids[rows]
         keep = ids != own
         ids, scores = ids[keep], scores[keep]
         if len(ids) > k:
             cut = np.partition(scores, len(scores) - k)[len(scores) - k]
             ids, scores = ids[scores >= cut], scores[scores >= cut]
-        found = before + list(zip([int(s) for s in scores], ids.tolist()))
+        found = best + list(zip([int(s) for s in scores], ids.tolist()))
         return sorted(found, key=lambda x: (-x[0], x[1]))[:k]
 
 
@@ -133,7 +148,7 @@ def _search_shards(given: DataFrame, k: int) -> DataFrame:
             plain = _typed(rows[1][:1], tops, _largest(query))
             typed = plain.dtype == object
             if typed not in kept:
-                kept[typed] = rows[2].setdefault(typed, None) or Shard(rows[0], rows[1].astype(plain.dtype))
+                kept[typed] = rows[2].setdefault(typed, None) or Shard(rows[0], rows[1].astype(plain.dtype), k)
                 rows[2][typed] = kept[typed]
             whole = np.zeros(rows[1].shape[1], plain.dtype)
             whole[:len(query)] = query[:len(whole)]

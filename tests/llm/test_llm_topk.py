@@ -2,6 +2,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,3 +42,55 @@ def test_fewer_than_k(spark):
     got = topk.top_k(df, "vec_id", "embedding", F.col("vec_id") % 50 == 0).collect()
     assert [tuple(r) for r in got] == [(0, 1, 1, 256 * 512)]
     assert topk.top_k(df.where("false"), "vec_id", "embedding", F.col("vec_id") % 50 == 0).isEmpty()
+
+
+def vectors(seed, n, dims):
+    """Clustered, some sparse, with ties and copies."""
+    rnd = np.random.default_rng(seed)
+    centres = rnd.normal(size=(12, dims))
+    rows = np.floor(256 * (centres[rnd.integers(0, 12, n)] * rnd.uniform(0.2, 2, (n, 1)) + 0.2 * rnd.normal(size=(n, dims))))
+    rows[rnd.random((n, dims)) < 0.3] = 0
+    rows[n // 2:n // 2 + 200] = rows[7]
+    return rnd.permutation(np.arange(n)), rows
+
+
+def best_of(ids, rows, own, query, k):
+    scores = rows @ query
+    return sorted(((-int(s), int(i)) for s, i in zip(scores, ids) if i != own))[:k]
+
+
+@pytest.mark.parametrize("kind", [np.float64, object])
+def test_blocks_are_pruned(kind):
+    """Shards far above a block: the scores of most rows are never finished, and the rest is exact."""
+    n = 5000 if kind is np.float64 else 2300
+    ids, rows = vectors(3, n, 16)
+    shard = topk.Shard(ids, rows.astype(np.int64).astype(kind))
+    assert len(shard.starts) > 2
+    for own in range(0, n, 97):
+        query = rows[np.flatnonzero(ids == own)[0]]
+        for k in (1, 5):
+            got = shard.search(own, query.astype(np.int64).astype(kind), k)
+            assert [(-s, i) for s, i in got] == best_of(ids, rows, own, query, k)
+    assert 0 < shard.probed < shard.passed / 4
+
+
+def test_every_threshold():
+    """Small shards, few distinct scores, negative ones and queries of zeros."""
+    rnd = np.random.default_rng(5)
+    for n in (1, 2, 5, 6, 7, 40, 1500):
+        ids, rows = np.arange(n) * 3, rnd.integers(-2, 3, (n, 3)).astype(np.float64) - (rnd.random() < 0.5)
+        shard = topk.Shard(ids, rows)
+        for query in ([0, 0, 0], [1, 0, -1], [-2, -2, -2], [2, 1, 1]):
+            q = np.array(query, np.float64)
+            for own in (0, 1):
+                assert [(-s, i) for s, i in shard.search(own, q, 5)] == best_of(ids, rows, own, q, 5)
+
+
+def test_search_in_large_shards(spark):
+    """Four shards of over 2,000 rows."""
+    ids, rows = vectors(8, 9000, 8)
+    df = spark.createDataFrame([(int(i), (r / 256).tolist()) for i, r in zip(ids, rows)], "vec_id long, embedding array<double>")
+    got = topk.top_k(df, "vec_id", "embedding", F.col("vec_id") % 450 == 0)
+    want = [(own, n, i, -s) for own in range(0, 9000, 450)
+            for n, (s, i) in enumerate(best_of(ids, rows, own, rows[np.flatnonzero(ids == own)[0]], 5), 1)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
