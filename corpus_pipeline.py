@@ -19,24 +19,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that score below 0.7, by a model of the labels whose rows are not held out. Null and
+    empty texts stay, and so does everything where no label says toxic."""
     return toxicity.keep_clean(docs, _table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8: the first document of each group stays."""
+    """Five-word shingles, similarity 0.8: the first document of each group stays, by id, null ids
+    last. Rows are told apart by their texts, so a row goes for its own text only; rows without
+    words all stay."""
     return minhash_dedup.drop_near_duplicates(docs, "doc_id", "text")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that no item of the benchmark leaked into: tiles cover less than half of each. With an
+    empty benchmark all stay."""
     return decontaminate.keep_unleaked(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays, its secrets masked and its length counted anew."""
+    """Every document stays, its secrets masked and its length counted anew; a null text keeps its
+    length."""
     return secrets.redact(docs, "text").withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids' number and digest and the digest of what they decode to, a row for each document; a null
+    text has no ids."""
     return bpe.round_trip_digests(docs.select("doc_id", "text"), "text", bpe.default_tokenizer()).drop("text")
 
 

@@ -221,8 +221,22 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, width: int = 5, per
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str, text: str, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those that are not the first of their group. Rows of one id stay
-    or go together."""
-    _, found = links(docs, doc_id, text, width, percent)
-    gone = found.where("id <> component").select(F.col("id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti")
+    """One row of each group of near duplicates: that of the smallest id, null ids last.
+
+    Rows are told apart by their texts, whatever their ids: of rows of one text one stays, so
+    nothing goes because another row has its id, and copies without ids go as others do. Of equal ids
+    the smallest text's digest goes first, of rows of one id and text that with the smallest other
+    columns. Texts without words are no copies of each other; all their rows stay."""
+    names, others = docs.columns, [c for c in docs.columns if c not in (doc_id, text)]
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    marked = docs.withColumn("__digest", digest)
+    blank = F.coalesce(F.trim(F.translate(F.col(text), "\t\n\x0b\f\r", "     ")), F.lit("")) == ""
+    first = F.struct(F.col(doc_id).isNull(), F.col(doc_id), *[F.struct(F.col(c).isNull(), F.col(c)) for c in others])
+    # copies meet as partial aggregates: what travels is one row a text and map task
+    one = marked.where(~blank).groupBy("__digest").agg(F.min_by(F.struct(*[F.col(c) for c in names]), first).alias("__row"))
+    one = materialise(one.select("__digest", F.conv(F.substring("__digest", 1, 15), 16, 10).cast("long").alias("__key"), F.col(f"__row.`{doc_id}`").alias("__id"), "__row"), "distinct_texts")
+    _, found = links(one.select("__key", F.col(f"__row.`{text}`").alias("__text")), "__key", "__text", width, percent)
+    grouped = one.select("__key", "__digest", "__id").join(found.select(F.col("id").alias("__key"), "component"), "__key")
+    winner = grouped.groupBy("component").agg(F.min(F.struct(F.col("__id").isNull().alias("x"), "__id", "__digest")).alias("w")).select(F.col("w.__digest").alias("__digest"))
+    gone = grouped.select("__digest").join(winner, "__digest", "left_anti")
+    return one.join(gone, "__digest", "left_anti").select("__row.*").select(*names).unionByName(docs.where(blank))

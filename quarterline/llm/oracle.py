@@ -6,12 +6,12 @@ ORACLE: dict[str, str] = {}
 ORACLE["op2_warc_chunks"] = """
 WITH p AS (
     SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS payload_bytes
-    FROM pages WHERE page_id IS NOT NULL
+    FROM pages
 ), d AS (SELECT *, sha256(body) AS payload_digest FROM p),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+       CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
 FROM f
 """
 

@@ -52,25 +52,33 @@ def _(spark, sf_dir):
     """Totals after four batches: all documents come in under two tokenizers, later copies of
     a text go, the word counts of what is left are revised to a new version, and the second
     batch comes once more, which changes nothing. Rows without id come after all others of their
-    text, in the order of the stored rows."""
+    text; of those the one with the smallest source and language stays."""
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
     counted = materialise(docs.select(
-        "doc_id", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("nameless"), "source", "lang", F.sha2(text.cast("binary"), 256).alias("digest"),
+        "doc_id", "source", "lang", F.sha2(text.cast("binary"), 256).alias("digest"),
         tc.word_count("text").alias("words"), tc.piece_count("text").alias("pieces"),
         tc.bpe_count(docs, "text", bpe.default_tokenizer()).alias("bpe")), "counted")
-    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("nameless").alias("first_nameless"))
-    copy = F.when(F.col("doc_id").isNotNull(), F.col("doc_id") > F.col("first_id")).otherwise(
-        F.col("first_id").isNotNull() | (F.col("nameless") > F.col("first_nameless")))
-    counted = materialise(counted.join(first, "digest").select("source", "lang", "words", "pieces", "bpe", copy.alias("copy")), "counted_copies")
+    # rows alike in all that follows go together, with their number
+    alike = ["digest", "doc_id", "source", "lang", "words", "pieces", "bpe"]
+    groups = counted.groupBy(*alike).agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.col("source").isNull(), "source", F.col("lang").isNull(), "lang")
+    first = groups.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min(order).alias("first"))
+    # all rows of the smallest id stay, or one without id
+    stay = F.when(F.col("doc_id").isNotNull(), F.when(F.col("doc_id") == F.col("first_id"), F.col("n")).otherwise(0)).otherwise(
+        F.when(order.eqNullSafe(F.col("first")), 1).otherwise(0))
+    groups = groups.join(first, "digest").withColumn("stay", stay.cast("int"))
+    rows = lambda n, copy: groups.where(n > 0).select("*", F.explode(F.sequence(F.lit(1), n.cast("int")))).select(
+        "source", "lang", "words", "pieces", "bpe", F.lit(copy).alias("copy"))
+    left, gone = rows(F.col("stay"), False), rows(F.col("n") - F.col("stay"), True)
 
     def both(op: str, rows):
         line = lambda name, n: F.struct(F.lit(name).alias("tokenizer"), F.col(n).alias("n_tokens"))
         old = [F.lit(None).cast(t).alias(f"old_{c}") for c, t in (("source", "string"), ("lang", "string"), ("tokenizer", "string"), ("tokens", "long"))]
         return rows.select(F.lit(op).alias("op"), "source", "lang", F.explode(F.array(line("words-1", "words"), line("byte_bpe_50k-1", "bpe"))).alias("x"), *old).select("*", "x.*").drop("x")
 
-    copies = both("delete", counted.where("copy"))
-    revised = counted.where(~F.col("copy")).select(
+    copies = both("delete", gone)
+    revised = left.select(
         F.lit("revise").alias("op"), "source", "lang", F.lit("words-2").alias("tokenizer"), F.col("pieces").alias("n_tokens"),
         F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), F.lit("words-1").alias("old_tokenizer"), F.col("words").alias("old_tokens"))
     rollup = tc.Rollup(spark, new_path(spark, "token_rollup"))
@@ -95,8 +103,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_documents(docs, model).select(
-        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return toxicity.score_documents(docs, model, spans="toxic").select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.array_join(F.transform("toxic", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("toxic_offsets"))
 
 
 @q("op10_string_tiling")

@@ -149,27 +149,50 @@ def scan_table(df: DataFrame, path: str, text: str) -> DataFrame:
     return report(found, ledger.findings())
 
 
+BLOCK = 4096  # code points of a text that are cut out together
+
+
+def merged(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob`` and ``cuts``: its spans, those that overlap or touch as one, in order, each with the
+    end of the one before."""
+    own = findings.where(F.col("rule").isin([r.key for r in rules])).select("blob", "start", "end")
+    line = Window.partitionBy("blob").orderBy("start", "end")
+    reached = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    rows = own.withColumn("fresh", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int"))
+    rows = rows.withColumn("n", F.sum("fresh").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    spans = rows.groupBy("blob", "n").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    before = F.coalesce(F.lag("end").over(Window.partitionBy("blob").orderBy("n")), F.lit(0))
+    # a text's own spans
+    return spans.withColumn("before", before).groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end", "before"))).alias("cuts"))
+
+
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points from ``start`` to ``end`` of a text in blocks."""
+    i, j = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+    at, to = (start % BLOCK).cast("int"), (end % BLOCK).cast("int")
+    block = lambda k: F.coalesce(F.get(blocks, k), F.lit(""))
+    one = F.substring(block(i), at + 1, to - at)
+    several = F.concat(F.substring(block(i), at + 1, F.lit(BLOCK)), F.array_join(F.slice(blocks, i + 2, F.greatest(j - i - 1, F.lit(0))), ""), F.substring(block(j), F.lit(1), to))
+    return F.when(i == j, one).otherwise(several)
+
+
 def redact(df: DataFrame, text: str, mask: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Put ``mask`` in place of every span; spans that overlap or touch become one mask. Nulls
-    and texts without findings stay as they are."""
+    and texts without findings stay as they are. A text is cut once into blocks, and each piece
+    between spans comes out of its blocks, so the work goes with text and findings and not with their
+    product."""
     spark = df.sparkSession
     folder = new_path(spark, "secret_ledger")
     ledger = Ledger(spark, folder)
     names = df.columns
     ledger.scan(versions(df.select(F.lit(None).cast("long").alias("path"), F.col(text).alias("text")), "path", "text"), rules)
-    found = materialise(_by_blob(ledger.findings(), rules, len(rules)).select(
-        F.col("blob").alias("__secret_blob"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends")), "secret_spans")
+    found = materialise(merged(ledger.findings(), rules).select(F.col("blob").alias("__secret_blob"), F.col("cuts").alias("__cuts")), "secret_spans")
     discard(spark, folder)
     body = F.col(text)
-    cut = F.transform("__starts", lambda start, i: F.concat(
-        F.when(start > _end_before(i), F.concat(F.substring(body, _end_before(i) + 1, (start - _end_before(i)).cast("int")), F.lit(mask)))
-        .when(i == 0, F.lit(mask)).otherwise(F.lit(""))))
-    rest = F.substring(body, (F.array_max("__ends") + 1).cast("int"), F.length(body))
-    clean = F.when(F.col("__starts").isNull(), body).otherwise(F.concat(F.array_join(cut, ""), rest))
-    return df.withColumn("__secret_blob", F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256)).join(found, "__secret_blob", "left").select(
-        *[clean.alias(c) if c == text else F.col(c) for c in names])
-
-
-def _end_before(i: Column) -> Column:
-    """Where the spans before the i-th end."""
-    return F.coalesce(F.array_max(F.slice("__ends", F.lit(1), i)), F.lit(0)).cast("int")
+    rows = df.withColumn("__secret_blob", F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256)).join(found, "__secret_blob", "left")
+    # a column of its own, or the text is cut again for each span
+    rows = rows.withColumn("__blocks", F.when(F.col("__cuts").isNotNull(), F.regexp_extract_all(body, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
+    kept = F.array_join(F.transform("__cuts", lambda c: F.concat(_piece(F.col("__blocks"), c["before"], c["start"]), F.lit(mask))), "")
+    rest = _piece(F.col("__blocks"), F.element_at("__cuts", -1)["end"], F.length(body).cast("long"))
+    clean = F.when(F.col("__cuts").isNull(), body).otherwise(F.concat(kept, rest))
+    return rows.select(*[clean.alias(c) if c == text else F.col(c) for c in names])

@@ -154,8 +154,9 @@ def write(docs: DataFrame, doc_id: str, text: str, tokenizer_path: str, end_id:
         if writer is not None:
             yield row()
 
+    # many rows of one id, or without one, are several ranges: they go on by how their texts begin
     dealt = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    dealt = dealt.repartitionByRange("doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
     return materialise(dealt.mapInArrow(run, MANIFEST), "token_manifest")
 
 

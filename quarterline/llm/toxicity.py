@@ -10,8 +10,10 @@ and the maximum of its tokens' forward-backward marginals, fitted to the sample
 counts of all labels.
 
 Scoring is one narrow pass over whole texts with the model broadcast, whose size is bounded by
-the sample. A token is a run of letters, A-Z in lower case; a chain is a sentence, and one of
-over ``CHAIN`` tokens is cut.
+the sample. A token is a run of letters, A-Z in lower case; a chain is a sentence, however long: one of
+over ``CHAIN`` tokens is passed in blocks of so many at a time, whose messages are products of their
+moves and are handed on from block to block, which changes no marginal. A run of over ``SLICE`` bytes
+of letters counts as several tokens.
 
 Nulls and empty texts get the score of a text without evidence. Without a toxic label among the
 rows to learn from all scores are 0, without a clean one they are the share of toxic labels.
@@ -20,6 +22,7 @@ Other columns are never inputs. An empty table gives no rows.
 """
 from __future__ import annotations
 
+import math
 import pickle
 from dataclasses import dataclass
 
@@ -34,7 +37,7 @@ FIT_ROWS = 1500
 FIT_CHARS = 20_000
 LEAST = 5  # contexts of a feature
 MARKED = 30  # likelihood ratio from which a feature marks tokens
-CHAIN = 256
+CHAIN = 256  # tokens passed one by one; longer chains go in blocks of them
 STEPS, RATE = 40, 0.3
 PREFIXES = (4, 5, 6)
 CERTAIN = 0.3  # marginals below it don't add up, however long a text is
@@ -71,7 +74,7 @@ class Model:
 
 
 def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends, features and chain numbers of the tokens of at most ``SLICE`` bytes."""
+    """Starts, ends, features and sentence breaks before each of the tokens of at most ``SLICE`` bytes."""
     letter = LETTER[data]
     edge = np.flatnonzero(np.diff(np.r_[False, letter, False].astype(np.int8)))
     start, end = edge[::2], edge[1::2]
@@ -83,15 +86,69 @@ def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     for k, n in enumerate(PREFIXES, 1):
         cut = np.minimum(start + n, end)  # a shorter word is its own beginning
         features[:, k] = mix((total[cut] - total[start]) * INVERSE[start] + U(n))
-    breaks = np.cumsum(BREAK[data])
-    at = np.r_[0, breaks][start]
-    new = np.r_[True, at[1:] != at[:-1]] if len(at) else np.zeros(0, bool)
-    chain = np.cumsum(new) - 1
-    if len(chain):
-        first = np.flatnonzero(new)
-        part = (np.arange(len(chain)) - first[chain]) // CHAIN
-        chain = np.cumsum(np.r_[True, (chain[1:] != chain[:-1]) | (part[1:] != part[:-1])]) - 1
-    return start, end, features, chain
+    return start, end, features, np.r_[0, np.cumsum(BREAK[data])][start]
+
+
+def chains(breaks: np.ndarray) -> np.ndarray:
+    """Chain numbers of tokens: those with as many breaks before them are one."""
+    return np.cumsum(np.r_[True, breaks[1:] != breaks[:-1]][:len(breaks)]) - 1
+
+
+def _normal(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors or matrices by their sums, and the sums' logarithms."""
+    total = x.reshape(len(x), -1).sum(1)
+    return x / total.reshape(-1, *[1] * (x.ndim - 1)), np.log(total)
+
+
+def _long(emission: np.ndarray, moves: np.ndarray, pairs: np.ndarray | None):
+    """``marginals`` of one chain, in blocks."""
+    n, step = len(emission), np.exp(moves)
+    blocks = -(-n // CHAIN)
+    weight = np.ones(blocks * CHAIN)
+    weight[:n] = np.exp(np.clip(emission, -30, 30))
+    weight = weight.reshape(blocks, CHAIN)
+    there = (np.arange(blocks * CHAIN) < n).reshape(blocks, CHAIN)
+
+    def move(t: int) -> np.ndarray:
+        """Each block's matrix at its t-th token; none beyond the end and before the first."""
+        m = np.where(there[:, t, None, None], step, np.eye(2))
+        if t == 0:
+            m[0] = np.eye(2)
+        m = m.copy()
+        m[:, :, 1] *= np.where(there[:, t], weight[:, t], 1.0)[:, None]
+        return m
+
+    every = [move(t) for t in range(CHAIN)]
+    product, size = _normal(every[0])
+    for m in every[1:]:
+        product, more = _normal(product @ m)
+        size += more
+    before, after = np.ones((blocks, 2)), np.ones((blocks, 2))
+    logz = float(size.sum())
+    for k in range(1, blocks + 1):
+        ahead = before[k - 1] @ product[k - 1]
+        logz += math.log(ahead.sum())
+        if k < blocks:
+            before[k] = ahead / ahead.sum()
+    for k in range(blocks - 1, 0, -1):
+        behind = product[k] @ after[k]
+        after[k - 1] = behind / behind.sum()
+    alpha = np.empty((CHAIN + 1, blocks, 2))
+    alpha[0] = before
+    for t, m in enumerate(every):
+        alpha[t + 1] = _normal((alpha[t][:, None] @ m)[:, 0])[0]
+    beta, out = after, np.empty((blocks, CHAIN))
+    for t in range(CHAIN - 1, -1, -1):
+        p = alpha[t + 1] * beta
+        out[:, t] = p[:, 1] / p.sum(1)
+        if pairs is not None:
+            joint = alpha[t][:, :, None] * every[t] * beta[:, None]
+            joint /= joint.sum((1, 2), keepdims=True)
+            moved = there[:, t].copy()
+            moved[0] &= t > 0
+            pairs += joint[moved].sum(0)
+        beta = _normal((every[t] @ beta[:, :, None])[:, :, 0])[0]
+    return out.ravel()[:n], logz
 
 
 def marginals(emission: np.ndarray, chain: np.ndarray, moves: np.ndarray, pairs: np.ndarray | None = None):
@@ -104,6 +161,11 @@ def marginals(emission: np.ndarray, chain: np.ndarray, moves: np.ndarray, pairs:
     length = np.diff(np.r_[first, len(chain)])
     step = np.exp(moves)
     logz = 0.0
+    for k in np.flatnonzero(length > CHAIN).tolist():
+        at = slice(int(first[k]), int(first[k] + length[k]))
+        out[at], more = _long(emission[at], moves, pairs)
+        logz += more
+    first, length = first[length <= CHAIN], length[length <= CHAIN]
     size = np.ceil(np.log2(length)).astype(int)
     for s in np.unique(size):
         own = np.flatnonzero(size == s)
@@ -147,28 +209,40 @@ def marginals(emission: np.ndarray, chain: np.ndarray, moves: np.ndarray, pairs:
 
 
 def _pieces(texts: list[bytes]):
-    """Runs of whole texts of up to ``SLICE`` bytes, or slices of one text: first text, bytes
-    and the starts of the texts in them."""
+    """Runs of whole texts of up to ``SLICE`` bytes, or one longer text in slices: first text, the
+    starts of the texts in the run, and slices with their places."""
     at = 0
     while at < len(texts):
         if len(texts[at]) >= SLICE:
-            data, cut = np.frombuffer(texts[at], np.uint8), 0
+            data, cut, slices = np.frombuffer(texts[at], np.uint8), 0, []
             while cut < len(data):
                 end = min(cut + SLICE, len(data))
                 gaps = np.flatnonzero(~LETTER[data[cut:end]]) if end < len(data) else []
                 end = cut + int(gaps[-1]) + 1 if len(gaps) else end
-                yield at, data[cut:end], np.array([0]), cut
+                slices.append((cut, data[cut:end]))
                 cut = end
+            yield at, np.array([0]), slices
             at += 1
             continue
         end, size = at, 0
         while end < len(texts) and size + len(texts[end]) < SLICE:
             size += len(texts[end]) + 1
             end += 1
-        yield at, np.frombuffer(b"\n".join(texts[at:end]), np.uint8), np.cumsum([0, *(len(t) + 1 for t in texts[at:end - 1])]), 0
+        yield at, np.cumsum([0, *(len(t) + 1 for t in texts[at:end - 1])]), [(0, np.frombuffer(b"\n".join(texts[at:end]), np.uint8))]
         at = end
 
 
+def _tokens_of(slices, of_features):
+    """Starts, ends, what ``of_features`` makes of the features, and chains of a run's tokens."""
+    parts, breaks = [], 0
+    for shift, data in slices:
+        start, end, features, before = tokens(data)
+        parts.append((start + shift, end + shift, of_features(features), before + breaks))
+        breaks += int(BREAK[data].sum())
+    start, end, made, before = (np.concatenate(x) for x in zip(*parts))
+    return start, end, made, chains(before)
+
+
 def _document_features(total: np.ndarray, most: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Of the sum of the marginals that reach ``CERTAIN``, their maximum and the tokens' number."""
     share = 100 * total / np.maximum(size, 200)
@@ -179,17 +253,17 @@ def score(model: Model, texts: list[bytes], least: float | None = None):
     """Scores of texts and, with ``least``, the tokens whose marginal reaches it: text, start
     and end in bytes, marginal."""
     total, most, size, spans = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts)), []
-    for base, data, bounds, shift in _pieces(texts):
-        start, end, features, chain = tokens(data)
-        p, _ = marginals(model.emission(features), chain, model.moves)
+    for base, bounds, slices in _pieces(texts):
+        start, end, emission, chain = _tokens_of(slices, model.emission)
+        p, _ = marginals(emission, chain, model.moves)
         text = base + np.searchsorted(bounds, start, side="right") - 1
         total += np.bincount(text, np.where(p >= CERTAIN, p, 0), len(texts))
         size += np.bincount(text, minlength=len(texts))
         np.maximum.at(most, text, p)
         if least is not None:
             for i in np.flatnonzero(p >= least).tolist():
-                at = shift - int(bounds[text[i] - base])
-                spans.append((int(text[i]), int(start[i]) + at, int(end[i]) + at, float(p[i])))
+                at = int(bounds[text[i] - base])
+                spans.append((int(text[i]), int(start[i]) - at, int(end[i]) - at, float(p[i])))
     if model.constant is not None:
         return np.full(len(texts), model.constant), spans
     return 1 / (1 + np.exp(-np.clip(_document_features(total, most, size) @ model.document, -30, 30))), spans
@@ -237,8 +311,8 @@ def fit(texts: list[bytes], labels: list[int], counts: tuple[int, int]) -> Model
     if not toxic.any() or toxic.all():
         return Model(*empty, constant=counts[1] / max(1, sum(counts)) if toxic.any() else 0.0)
     parts, docs, chains = [], [], []
-    for base, data, bounds, _ in _pieces(texts):
-        start, _, features, chain = tokens(data)
+    for base, bounds, slices in _pieces(texts):
+        start, _, features, chain = _tokens_of(slices, lambda f: f)
         parts.append(features)
         docs.append(base + np.searchsorted(bounds, start, side="right") - 1)
         chains.append(chain + (chains[-1][-1] + 1 if chains and len(chains[-1]) else 0))
@@ -336,9 +410,11 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", into: str
             columns = [b.column(b.schema.get_field_index(c)) for c in kept] + [pa.array(found)]
             if spans is not None:
                 rows: list[list] = [[] for _ in texts]
+                own, before = -1, np.empty(0, np.int64)
                 for i, start, end, p in toxic:
-                    chars = lambda n: len(texts[i][:n].decode("utf-8", "replace"))  # noqa: B023, E731
-                    rows[i].append({"start": chars(start), "end": chars(end), "p": p})
+                    if i != own:  # characters before each byte: bytes that go on with one don't count
+                        own, before = i, np.cumsum(np.r_[0, (np.frombuffer(texts[i], np.uint8) & 0xC0) != 0x80])
+                    rows[i].append({"start": int(before[start]), "end": int(before[end]), "p": p})
                 columns.append(pa.array(rows, kind))
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
 

@@ -9,9 +9,11 @@ are revisits that name it; the choice is made on digests, the payloads are never
 Files are gzip, one member for each record, and get names of their own; the manifest, a written
 table, lists those that count. A lost executor's files are therefore never read.
 
-A null payload counts as empty. Null ids are not archived. Records of one id and equal payloads
-are all kept; the first id being equal, all of them are responses. Very long payloads are cut
-into chunks. Other columns are not read. An empty table gives no archive and no rows.
+A null payload counts as empty. A row without id is archived under a record id made up for it, a
+random urn:uuid, and is read back with a null id; it is never the response that others name, and
+revisits one that has an id. Records of one id and equal payloads are all kept; the first id being
+equal, all of them are responses. Very long payloads are cut into chunks. Other columns are not
+read. An empty table gives no archive and no rows.
 """
 from __future__ import annotations
 
@@ -39,20 +41,23 @@ MANIFEST = "path string, records long, bytes long"
 def records(pages: DataFrame, record_id: str, uri: str, payload: str, least: int = 100) -> DataFrame:
     """``record_id``, ``uri``, ``payload``, ``payload_digest``, ``record_type`` and ``refers_to``."""
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.where(F.col(record_id).isNotNull()).select(
+    rows = pages.select(
         F.col(record_id).cast("long").alias("record_id"), F.col(uri).cast("string").alias("uri"), body.alias("payload"),
         F.sha2(body, 256).alias("digest"))
     first = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(
-        F.min("record_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    again = rows.select("record_id", "digest").join(first.select("digest", "first_id"), "digest").where("record_id <> first_id").select("record_id", "digest", "first_id").distinct()
-    return rows.join(again, ["record_id", "digest"], "left").select(
+        F.min("record_id").alias("first_id"), F.count("*").alias("n")).where("n > 1 AND first_id IS NOT NULL")
+    again = rows.select("record_id", "digest").join(first.select("digest", "first_id"), "digest").where(
+        "record_id IS NULL OR record_id <> first_id").select("record_id", "digest", "first_id").distinct().select(
+        F.col("record_id").alias("again_id"), F.col("digest").alias("again_digest"), "first_id")
+    same = F.col("record_id").eqNullSafe(F.col("again_id")) & (F.col("digest") == F.col("again_digest"))
+    return rows.join(again, same, "left").select(
         "record_id", "uri", "payload", F.col("digest").alias("payload_digest"), F.when(F.col("first_id").isNull(), "response").otherwise("revisit").alias("record_type"),
         F.col("first_id").alias("refers_to"))
 
 
-def _head(record_id: int, uri: str, kind: str, refers: int | None, digest: str, size: int) -> bytes:
+def _head(record_id: int | None, uri: str, kind: str, refers: int | None, digest: str, size: int) -> bytes:
     lines = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:record:{record_id}>",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:{f'uuid:{uuid.uuid4()}' if record_id is None else f'record:{record_id}'}>",
         "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha256:{digest}",
         f"WARC-Payload-Length: {size}"]
     if kind == "revisit":
@@ -207,7 +212,7 @@ def _read_file(path: str, chunk: int):
             if not version.startswith("WARC/"):
                 raise ValueError(f"{path}: no record where one should start")
             field = dict(line.split(": ", 1) for line in lines)
-            number = lambda name: int(field[name].rpartition(":")[2].rstrip(">")) if name in field else None
+            number = lambda name: int(field[name][12:-1]) if field.get(name, "").startswith("<urn:record:") else None
             size, digest = int(field["Content-Length"]), field["WARC-Payload-Digest"].removeprefix("sha256:")
             base = (number("WARC-Record-ID"), field["WARC-Type"], number("WARC-Refers-To"), field["WARC-Target-URI"])
             whole = int(field["WARC-Payload-Length"])

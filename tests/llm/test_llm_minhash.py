@@ -88,6 +88,21 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert md.near_duplicates(no_documents, "doc_id", "text").isEmpty() and md.drop_near_duplicates(no_documents, "doc_id", "text").isEmpty()
 
 
+def test_rows_are_dropped_by_their_texts(spark):
+    """Repeated rows, ids of several texts and rows without id."""
+    a, b, c = ("one two three four five six seven eight nine ten eleven twelve " * 2, "another text altogether with nothing of the first in it at all",
+               "unique words only here that no other row of the table has")
+    near = a.replace("twelve ", "twelve and ", 1)[:-1]
+    rows = [(5, a, "x"), (5, a, "x"), (5, a, "b"), (7, a, "x"), (None, a, "x"), (7, c, "x"), (9, near, "x"), (None, b, "y"), (None, b, None), (None, b, "z"),
+            (3, " \n", "x"), (3, " \n", "x"), (None, None, "x"), (4, "", "x")]
+    df = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, source string, __n long, component string").repartition(3)
+    left = md.drop_near_duplicates(df, "doc_id", "text", 2, 70)
+    assert left.columns == df.columns
+    # the copy with the smallest id and source; the text that shares its id with a copy; one row without id
+    assert sorted((tuple(r)[:3] for r in left.collect()), key=str) == sorted(
+        [(5, a, "b"), (7, c, "x"), (None, b, "y"), (3, " \n", "x"), (3, " \n", "x"), (None, None, "x"), (4, "", "x")], key=str)
+
+
 @pytest.mark.parametrize("sizes, j", [((40, 40, 10), 4 / 9), ((3, 1, 0), 0.75), ((500, 100, 100), 5 / 7)])
 def test_sketches(sizes, j):
     """Every coordinate fills, whatever the set's size, and agrees as often as sets are alike."""

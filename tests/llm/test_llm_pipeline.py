@@ -90,3 +90,18 @@ def test_rows_of_each_stage(spark, tmp_path):
         ids = library.encode(t or "", add_special_tokens=False).ids
         want.append((i, len(ids), sha(",".join(map(str, ids))), sha(t or "")))
     assert sorted(map(tuple, corpus_pipeline.run(spark, folder).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect())) == sorted(want)
+
+
+def test_rows_without_id_and_of_one_id(spark, tmp_path):
+    """Each text goes its own way: of copies one row stays, and a namesake takes nobody with it."""
+    folder = str(tmp_path)
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(f"{folder}/{t}.parquet")
+    word = lambda k: " ".join(f"word{k}x{n}" for n in range(20))
+    rows = [(None, word(1), "en", "a", 1), (None, word(1), "en", "a", 1), (3, word(2), "en", "a", 1), (3, word(2), "en", "a", 1), (2, word(2), "en", "a", 1),
+            (3, word(3), "en", None, None), (None, word(3), "en", "b", 1), (None, None, None, None, None), (8, "password = hunter2hunter2", "en", "a", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4).write.parquet(f"{folder}/documents.parquet")
+    got = corpus_pipeline.run(spark, folder).collect()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = [(None, word(1)), (2, word(2)), (3, word(3)), (None, ""), (8, "[SECRET]")]
+    assert sorted(((r.doc_id, r.decoded_sha256) for r in got), key=str) == sorted(((i, sha(t)) for i, t in want), key=str)

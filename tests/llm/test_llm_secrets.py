@@ -90,3 +90,25 @@ def test_masks(spark, odd_documents, no_documents):
 def test_no_python_on_the_way(spark, odd_documents):
     plan = secrets.scan_table(odd_documents, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_many_findings_in_one_text(spark, monkeypatch):
+    """Spans in, across and at the edges of blocks; characters of all widths; 80,000 findings in one text."""
+    import random
+    import time
+
+    rnd = random.Random(2)
+    part = lambda: rnd.choice(["é𝄞 ", "password=hunter2hunter2", " x ", "AKIA" + "Q" * 16, "\n\n", "deadbeef" * 5, "token: abcdefgh1 ", "AKIAQQ "])
+    texts = ["".join(part() for _ in range(rnd.randrange(60))) for _ in range(150)] + ["AKIA" + "Q" * 16, "", "é" * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (1, 7, 64, 4096):
+        monkeypatch.setattr(secrets, "BLOCK", block)
+        got = {r.doc_id: r.text for r in secrets.redact(df, "text").collect()}
+        assert got == {i: masked(t) for i, t in enumerate(texts)}
+    took = []
+    for n in (20_000, 80_000):
+        big = spark.createDataFrame([(1, "secret=abcdefgh12 " * n)], "doc_id long, text string")
+        start = time.time()
+        assert secrets.redact(big, "text").first().text == "[SECRET] " * n
+        took.append(time.time() - start)
+    assert took[1] < 4 * took[0] + 10

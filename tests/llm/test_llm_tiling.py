@@ -102,3 +102,76 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert dc.find_leaks(odd_documents, bench).isEmpty() and dc.keep_unleaked(odd_documents, bench).count() == odd_documents.count()
     assert dc.find_leaks(no_documents, bench).isEmpty() and dc.keep_unleaked(no_documents, bench).isEmpty()
     assert dc.find_leaks(odd_documents, bench.where("false")).isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repetitive_tiles(monkeypatch, seed):
+    """Common runs found token by token are the ones that windows find."""
+    monkeypatch.setattr(dc, "PAIRS", 0)
+    test_tiles(seed)
+    rnd = random.Random(seed)
+    for _ in range(40):
+        unit = [rnd.randrange(3) for _ in range(rnd.randrange(1, 4))]
+        a, b = (unit * 20)[:rnd.randrange(5, 30)], (unit * 30)[:rnd.randrange(5, 60)]
+        b[rnd.randrange(len(b))] = 9
+        assert sorted(dc.tile(np.array(a, np.uint64), np.array(b, np.uint64), 3)) == brute(a, b, 3)
+
+
+def leaks_by_definition(text, items, coverage=0.5, seed=5):
+    """(item, matched tokens, tiles, longest) by tiles of the whole text."""
+    own, out = dc.spaced(text.encode()).decode().lower().split(), []
+    for i, item in items:
+        t = dc.spaced((item or "").encode()).decode().lower().split()
+        least = min(seed, len(t))
+        tiles = brute(t, own, least) if t else []
+        if len(t) < seed:
+            tiles = tiles[:1]
+        matched = sum(n for *_, n in tiles)
+        if t and matched and matched >= coverage * len(t):
+            out.append((i, matched, len(tiles), max(n for *_, n in tiles)))
+    return out
+
+
+def test_leaks_by_definition(spark):
+    """``find_leaks``' matched tokens, tiles and longest tile on random texts of items' parts."""
+    rnd = random.Random(9)
+    word = lambda n: f"w{rnd.randrange(n)}"
+    items = [(i, " ".join(word(12 if i % 3 else 300) for _ in range(rnd.choice([3, 12, 25])))) for i in range(12)] + [(50, "a " * 30), (51, "a b " * 12)]
+    texts = []
+    for k in range(90):
+        parts = []
+        for _ in range(rnd.randrange(1, 5)):
+            t = rnd.choice(items)[1].split()
+            a = rnd.randrange(len(t))
+            parts += t[a:a + rnd.randrange(2, 30)] if rnd.random() < 0.7 else [word(300) for _ in range(9)]
+        texts.append((k, " ".join(parts)))
+    texts.append((99, "a " * 70))
+    want = sorted((k, *r) for k, t in texts for r in leaks_by_definition(t, items))
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = dc.find_leaks(docs, bench)
+    assert sorted((r.doc_id, r.item_id, r.matched_tokens, r.tiles, r.longest) for r in got.collect()) == want and len(want) > 40
+    assert {r.doc_id for r in dc.keep_unleaked(docs, bench).collect()} == {k for k, _ in texts} - {r[0] for r in want}
+
+
+def test_repetitive_texts_take_memory_as_they_are_long():
+    """An item of 200 equal words against a megabyte of them: no list of all pairs of windows."""
+    import tracemalloc
+
+    index = dc.build_index([(1, b"word " * 200), (2, b"to be or not " * 50)], 5)
+    texts = [b"word " * 210_000, b"to be or not " * 16_000]
+    tracemalloc.start()
+    found = [(t, k, m, n, longest) for t, k, m, n, longest in dc.leaks(index, texts, 0.5)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, 0, 200, 1, 200), (1, 1, 200, 1, 200)]
+    assert peak < 400 << 20
+
+
+def test_equal_items_and_blocks(spark):
+    """Items of one text are met once and leak each; a block is no larger than it may be."""
+    bench = spark.createDataFrame([(i, ITEM) for i in range(300)] + [(1000 + i, f"{ITEM} {i}") for i in range(60)] + [(None, ITEM)], "item_id long, text string")
+    paths, items = dc.index_files(bench, "item_id", "text", 5, 800)
+    assert len(paths) > 4 and items.count() == 361
+    docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
+    got = {r.item_id for r in dc.find_leaks(docs, bench, block_bytes=800).collect()}
+    assert got == {None, *range(300), *range(1000, 1060)}

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quarterline.llm import toxicity as tox
@@ -35,6 +36,48 @@ def test_marginals():
     assert np.allclose(got, want) and np.allclose(pairs, want_pairs) and np.isclose(logz, want_logz)
 
 
+@pytest.mark.parametrize("block", [1, 2, 3, 64])
+def test_blocks_change_nothing(monkeypatch, block):
+    """Chains passed in blocks, against the same chains passed token by token."""
+    rnd = np.random.default_rng(block)
+    lengths = rnd.integers(1, 200, 40)
+    emission, moves = rnd.normal(size=lengths.sum()) * 6, rnd.normal(size=(2, 2)) * 3
+    chain = np.repeat(np.arange(len(lengths)), lengths)
+    want_pairs, got_pairs = np.zeros((2, 2)), np.zeros((2, 2))
+    want, want_logz = tox.marginals(emission, chain, moves, want_pairs)
+    monkeypatch.setattr(tox, "CHAIN", block)
+    got, got_logz = tox.marginals(emission, chain, moves, got_pairs)
+    assert np.allclose(got, want) and np.allclose(got_pairs, want_pairs) and np.isclose(got_logz, want_logz)
+
+
+def test_slices_change_nothing(monkeypatch):
+    """A sentence across slices of a text is one chain, and offsets are the text's."""
+    rows = corpus(400)
+    model = tox.fit([t.encode() for _, t, _ in rows], [y for _, _, y in rows], (280, 120))
+    text = " ".join(t if i % 7 else t.replace(".", "") for i, t, _ in rows).encode()
+    want, spans = tox.score(model, [text], 0.5)
+    monkeypatch.setattr(tox, "SLICE", 300)
+    got, again = tox.score(model, [text], 0.5)
+    assert np.allclose(got, want) and len(spans) > 100
+    assert [s[:3] for s in again] == [s[:3] for s in spans] and np.allclose([s[3] for s in again], [s[3] for s in spans])
+
+
+def test_query_gives_offsets(spark, tmp_path):
+    from quarterline.llm.queries import QUERIES
+
+    rows = [(i, "été à " + t, y) for i, t, y in corpus(300)]
+    spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op5_toxicity_crf"](spark, str(tmp_path)).collect()}
+    assert list(next(iter(got.values())).asDict()) == ["doc_id", "held_out", "score", "predicted", "toxic_offsets"]
+    marked = 0
+    for i, text, y in rows:
+        words = [text[int(a):int(b)].lower() for a, b in (x.split(":") for x in got[i].toxic_offsets.split(",") if x)]
+        assert all(w in ("vile", "grotty") or w.startswith("blargh") for w in words)
+        marked += len(words)
+    assert marked > 150
+
+
 def corpus(n, seed=1):
     rnd = random.Random(seed)
     plain = ["".join(rnd.choice("aeioulmnrst") for _ in range(rnd.randrange(2, 8))) for _ in range(400)]
