@@ -46,7 +46,8 @@ def whole_numbers(vector: Column, scale: int = 256) -> Column:
 
 class Shard:
     """Posting lists of one shard, by dimension and sign, their heads, and their score bounds by
-    block of rows. ``probed`` and ``passed`` count rows whose scores were finished, and all."""
+    block of rows. ``probed`` and ``passed`` count pairs of query and row whose scores were finished,
+    and all."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, k: int = 5):
         order = np.argsort(ids, kind="stable")
@@ -59,43 +60,53 @@ class Shard:
         self.heads = np.argsort(-self.postings, axis=1, kind="stable")[:, :max(HEADS, k + 1)]
         self.probed = self.passed = 0
 
-    def search(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """(score, id) of the k best rows, the best first."""
-        dims = np.arange(self.dims)
-        same, other = dims + self.dims * (query < 0), dims + self.dims * (query >= 0)
-        size = np.abs(query)
-        self.passed += len(self.ids)
-        strongest = np.argsort(-(size * self.bounds[same].max(1, initial=0)), kind="stable")[:LEADERS]
-        led = np.unique(self.heads[same[strongest]])
-        self.probed += len(led)
-        best = self._better([], led, self.rows[led] @ query, own, k)
-        promise = size @ self.bounds[same] if self.dims else np.zeros(len(self.starts))
-        for block in np.argsort(-promise, kind="stable").tolist():
-            least = best[-1][0] if len(best) == k else None
-            if least is not None and promise[block] < least:
-                break
-            at = slice(int(self.starts[block]), min(int(self.starts[block]) + BLOCK_ROWS, len(self.ids)))
-            rows, scores = self._competitive(at, block, least, query, size, same, other)
+    def search(self, own: np.ndarray, queries: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+        """For each query, a row of ``queries``, (score, id) of the k best rows, the best first."""
+        self.passed += len(queries) * len(self.ids)
+        # a query's weights on the terms of its own sign, and on the others, which lower a score
+        same = np.concatenate([np.maximum(queries, 0), np.maximum(-queries, 0)], 1)
+        other = np.roll(same, self.dims, 1)
+        strongest = np.argsort(-(same * self.bounds.max(1, initial=0)), axis=1, kind="stable")[:, :LEADERS]
+        best, led = [], []
+        for q, terms in enumerate(strongest):
+            rows = np.unique(self.heads[terms])
+            led.append(rows)
+            best.append(self._better([], rows, self.rows[rows] @ queries[q], own[q], k))
             self.probed += len(rows)
-            fresh = ~np.isin(rows, led)
-            best = self._better(best, rows[fresh], scores[fresh], own, k)
-        return [(score, i) for score, i in best]
-
-    def _competitive(self, at, block, least, query, size, same, other):
-        """Rows of a block that may reach ``least``, and their scores."""
-        bound = size * self.bounds[same, block]
-        order = np.argsort(bound, kind="stable")
-        below = np.cumsum(bound[order]) < least if least is not None else np.zeros(self.dims, bool)
-        spare, essential = order[below], order[~below]
-        more = bound[spare].sum()
-        total = size[essential] @ self.postings[same[essential], at]
-        alive = np.arange(at.stop - at.start) if least is None else np.flatnonzero(total + more >= least)
-        rows = alive + at.start
-        total = total[alive] - size[essential] @ self.postings[other[essential]][:, rows]
-        if least is not None:
-            stay = total + more >= least
-            rows, total = rows[stay], total[stay]
-        return rows, total + self.rows[rows][:, spare] @ query[spare]
+        promise = same @ self.bounds
+        for block in np.argsort(-promise.max(0, initial=0), kind="stable").tolist():
+            at = slice(int(self.starts[block]), min(int(self.starts[block]) + BLOCK_ROWS, len(self.ids)))
+            open_ = [q for q in range(len(queries)) if len(best[q]) < k or promise[q, block] >= best[q][-1][0]]
+            if not open_:
+                continue
+            least = np.array([best[q][-1][0] if len(best[q]) == k else -np.inf for q in open_], dtype=same.dtype)
+            for q, rows, scores in self._competitive(at, block, least, same[open_], other[open_]):
+                q = open_[q]
+                fresh = ~np.isin(rows, led[q])
+                best[q] = self._better(best[q], rows[fresh], scores[fresh], own[q], k)
+        return [[(score, i) for score, i in found] for found in best]
+
+    def _competitive(self, at: slice, block: int, least: np.ndarray, same: np.ndarray, other: np.ndarray):
+        """For each query with such rows, its place, the block's rows that reach ``least``, and their scores.
+        A spare term is one of the query's own sign; its dimension's other sign is left for the end as well."""
+        bound = same * self.bounds[:, block]
+        order = np.argsort(bound, axis=1, kind="stable")
+        spare = np.zeros(bound.shape, bool)
+        np.put_along_axis(spare, order, np.cumsum(np.take_along_axis(bound, order, 1), 1) < least[:, None], 1)
+        spare &= same > 0
+        more = np.where(spare, bound, 0).sum(1)
+        postings = self.postings[:, at]
+        total = np.where(spare, 0, same) @ postings
+        alive = total + more[:, None] >= least[:, None]
+        late = np.roll(spare, self.dims, 1)  # the other signs of the spare terms' dimensions
+        _add(total, alive, np.where(late, 0, -other), postings)
+        alive &= total + more[:, None] >= least[:, None]
+        self.probed += int(np.count_nonzero(alive))
+        _add(total, alive, np.where(spare, same, 0) - np.where(late, other, 0), postings)
+        alive &= total >= least[:, None]
+        for q in np.flatnonzero(alive.any(1)).tolist():
+            rows = np.flatnonzero(alive[q])
+            yield q, rows + at.start, total[q, rows]
 
     def _better(self, best, rows, scores, own, k):
         ids = self.ids[rows]
@@ -108,6 +119,19 @@ class Shard:
         return sorted(found, key=lambda x: (-x[0], x[1]))[:k]
 
 
+def _add(total: np.ndarray, alive: np.ndarray, weights: np.ndarray, postings: np.ndarray) -> None:
+    """Add the postings of some weights to the sums of pairs that are alive; where most are, to all
+    of their queries'."""
+    if np.count_nonzero(alive) * 8 > alive.size:
+        some = np.flatnonzero(alive.any(1))
+        total[some] += weights[some] @ postings
+        return
+    q, r = np.nonzero(alive)
+    for a in range(0, len(q), BLOCK_ROWS):
+        part = slice(a, a + BLOCK_ROWS)
+        total[q[part], r[part]] += (weights[q[part]] * postings[:, r[part]].T).sum(1)
+
+
 def _matrix(parts: list[tuple[np.ndarray, np.ndarray]], dims: int) -> np.ndarray:
     """Rows of ``dims`` components from (components one after the other, lengths)."""
     lengths = np.concatenate([n for _, n in parts])
@@ -136,23 +160,24 @@ def _segments(batch: pa.RecordBatch):
         yield int(shard[a]), int(kind[a]), ids[a:b], values[ends[a]:ends[b]], lengths[a:b]
 
 
-def _search_shards(given: DataFrame, k: int) -> DataFrame:
+def _search_shards(given: DataFrame, k: int, shards: int) -> DataFrame:
     """``given``: shard, query flag, id and vector; a shard's rows before its queries."""
     def answers(index, ids, values, lengths):
         rows, tops = index
-        kept: dict[bool, Shard] = {}
         ends = np.r_[0, np.cumsum(lengths)]
+        kinds: dict[np.dtype, list[int]] = {}
+        for n in range(len(ids)):
+            kinds.setdefault(_typed(rows[1][:1], tops, _largest(values[ends[n]:ends[n + 1]])).dtype, []).append(n)
         out = []
-        for n, own in enumerate(ids.tolist()):
-            query = values[ends[n]:ends[n + 1]]
-            plain = _typed(rows[1][:1], tops, _largest(query))
-            typed = plain.dtype == object
-            if typed not in kept:
-                kept[typed] = rows[2].setdefault(typed, None) or Shard(rows[0], rows[1].astype(plain.dtype), k)
-                rows[2][typed] = kept[typed]
-            whole = np.zeros(rows[1].shape[1], plain.dtype)
-            whole[:len(query)] = query[:len(whole)]
-            out += [(own, i, s) for s, i in kept[typed].search(own, whole, k)]
+        for kind, chosen in kinds.items():
+            shard = rows[2].setdefault(kind, None) or Shard(rows[0], rows[1].astype(kind), k)
+            rows[2][kind] = shard
+            whole = np.zeros((len(chosen), rows[1].shape[1]), kind)
+            for m, n in enumerate(chosen):
+                query = values[ends[n]:ends[n + 1]][:whole.shape[1]]
+                whole[m, :len(query)] = query
+            own = ids[chosen]
+            out += [(i, j, s) for i, found in zip(own.tolist(), shard.search(own, whole, k)) for s, j in found]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["query_id", "vec_id", "score"]) if out else None
 
     def run(batches):
@@ -179,7 +204,7 @@ def _search_shards(given: DataFrame, k: int) -> DataFrame:
                         yield found
                     at = end
 
-    return given.repartition("shard").sortWithinPartitions("shard", "is_query").mapInArrow(run, "query_id long, vec_id long, score long")
+    return given.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "is_query").mapInArrow(run, "query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, vec_id: str, vector: str, is_query: Column, k: int = 5, scale: int = 256, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -191,6 +216,6 @@ def top_k(vectors: DataFrame, vec_id: str, vector: str, is_query: Column, k: int
     data = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), F.lit(0).alias("is_query"), "id", "v")
     queries = rows.where("asks").groupBy("id").agg(F.min("v").alias("v")).select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("is_query"), "id", "v")
-    found = _search_shards(data.unionByName(queries), k)
+    found = _search_shards(data.unionByName(queries), k, shards)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

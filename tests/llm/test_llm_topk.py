@@ -66,11 +66,11 @@ def test_blocks_are_pruned(kind):
     ids, rows = vectors(3, n, 16)
     shard = topk.Shard(ids, rows.astype(np.int64).astype(kind))
     assert len(shard.starts) > 2
-    for own in range(0, n, 97):
-        query = rows[np.flatnonzero(ids == own)[0]]
-        for k in (1, 5):
-            got = shard.search(own, query.astype(np.int64).astype(kind), k)
-            assert [(-s, i) for s, i in got] == best_of(ids, rows, own, query, k)
+    own = np.arange(0, n, 97)
+    queries = np.stack([rows[np.flatnonzero(ids == i)[0]] for i in own]).astype(np.int64).astype(kind)
+    for k in (1, 5):
+        for i, q, got in zip(own, queries, shard.search(own, queries, k), strict=True):
+            assert [(-s, j) for s, j in got] == best_of(ids, rows, i, q, k)
     assert 0 < shard.probed < shard.passed / 4
 
 
@@ -80,10 +80,10 @@ def test_every_threshold():
     for n in (1, 2, 5, 6, 7, 40, 1500):
         ids, rows = np.arange(n) * 3, rnd.integers(-2, 3, (n, 3)).astype(np.float64) - (rnd.random() < 0.5)
         shard = topk.Shard(ids, rows)
-        for query in ([0, 0, 0], [1, 0, -1], [-2, -2, -2], [2, 1, 1]):
-            q = np.array(query, np.float64)
-            for own in (0, 1):
-                assert [(-s, i) for s, i in shard.search(own, q, 5)] == best_of(ids, rows, own, q, 5)
+        queries = np.array([[0, 0, 0], [1, 0, -1], [-2, -2, -2], [2, 1, 1]], np.float64)
+        for own in (0, 1):
+            for q, got in zip(queries, shard.search(np.full(4, own), queries, 5), strict=True):
+                assert [(-s, i) for s, i in got] == best_of(ids, rows, own, q, 5)
 
 
 def test_search_in_large_shards(spark):
