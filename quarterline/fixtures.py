@@ -295,3 +295,24 @@ def filing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.when(F.col("cik") % 7 != 0, F.concat(F.lit("Filer "), "cik")).alias("entityName"), "facts")).alias("whole"))
     half = F.expr("substring(whole, 1, cast(length(whole) / 2 as int))")
     return said.select("document", F.when(F.col("cik") % 41 == 0, half).otherwise(F.col("whole")).alias("text"))
+
+
+def ticker_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The ticker map as JSON documents of some thousand rows, in both layouts: rows as lists under
+    named fields, and as objects. Some rows have a number that is none."""
+    source = ticker_source(spark, sf_dir)
+    documents = 1 + source.count() // 1000
+    number = F.when(F.col("cik") % 23 == 1, F.concat(F.lit("x"), "cik")).otherwise(F.col("cik").cast("string"))
+    rows = source.select(F.pmod(F.xxhash64("cik"), F.lit(documents)).alias("n"), number.alias("cik"), "name", "ticker", "exchange")
+    of = rows.groupBy("n", (F.col("n") % 2 == 0).alias("listed"))
+    lists = of.agg(F.collect_list(F.array("name", "cik", "exchange", "ticker")).alias("data")).where("listed").select(
+        F.to_json(F.struct(F.array(*map(F.lit, ("name", "cik", "exchange", "ticker"))).alias("fields"), "data"), {"ignoreNullFields": "false"}).alias("value"))
+    objects = of.agg(F.collect_list(F.struct("cik", "name", "ticker", "exchange")).alias("data")).where("not listed").select(F.to_json(F.struct("data")).alias("value"))
+    lists.unionByName(objects).repartition(documents).write.text(folder)
+
+
+def exclusion_file(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The exclusion list as people keep it: comments, blank lines, other cases, repeats."""
+    listed = exclusions(spark, sf_dir).select(F.explode(F.array(
+        F.lower("ticker"), F.concat(F.lit("  "), "ticker", F.lit(" ")), F.concat(F.lit("# "), "ticker", F.lit(" and why")), F.lit(""))).alias("value"))
+    listed.write.text(folder)

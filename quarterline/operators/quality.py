@@ -35,6 +35,17 @@ def corrupt_tickers(price_quarterly: DataFrame) -> DataFrame:
     return corrupt_jumps(price_quarterly).select("ticker_yahoo").distinct()
 
 
+def with_corrupt_mark(price_quarterly: DataFrame) -> DataFrame:
+    """``corrupt``: whether the ticker is one of ``corrupt_tickers``. One shuffle on the ticker."""
+    line = Window.partitionBy("ticker_yahoo").orderBy("quarter")
+    back = line.rowsBetween(Window.unboundedPreceding, -1)
+    close = F.when(F.col("close_raw") > 0, F.col("close_raw"))
+    r = close / F.last(close, ignorenulls=True).over(back)
+    jump = F.coalesce((r > JUMP_UP) | (r < JUMP_DOWN), F.lit(False))
+    marked = price_quarterly.withColumn("_jump", jump)
+    return marked.withColumn("corrupt", F.max("_jump").over(Window.partitionBy("ticker_yahoo"))).drop("_jump")
+
+
 def purge(tables: dict[str, DataFrame], corrupt: DataFrame) -> dict[str, DataFrame]:
     """Remove corrupt tickers from every table that names tickers."""
     out = {}

@@ -86,12 +86,17 @@ class Domain:
     def _source(self, make) -> DataFrame:
         return make(self.spark, self.sf_dir)
 
+    def _side_by_side(self, *steps: str) -> None:
+        """Write steps that do not depend on each other together, as none of them keeps a cluster
+        busy to its end. What they share has to be there."""
+        todo = [s for s in steps if s not in self.__dict__]
+        if todo:
+            with ThreadPoolExecutor(len(todo)) as pool:
+                list(pool.map(lambda step: getattr(self, step), todo))
+
     def _store_inputs(self) -> None:
-        """Write the steps that do not depend on each other side by side, as none of them keeps
-        a cluster busy to its end."""
-        steps = ("stored_history", "stored_eps", "stored_ticker_map")
-        with ThreadPoolExecutor(len(steps)) as pool:
-            list(pool.map(lambda step: getattr(self, step), steps))
+        self._side_by_side("stored_history", "stored_eps", "stored_ticker_map", "stored_company")
+        self.purged
 
     # --- market ---------------------------------------------------------------------
     @step("lineitem")
@@ -114,20 +119,24 @@ class Domain:
     def currency(self) -> DataFrame:
         return self._source(fx.currency)
 
+    @step("lineitem", "supplier")
+    def marked_prices(self) -> DataFrame:
+        """Quarter closes as loaded, each with whether its ticker is corrupt; one write for both."""
+        return self._store(quality.with_corrupt_mark(
+            quality.drop_tiny_prices(market.price_quarterly(self.stored_history, self.currency))), "marked_prices")
+
     @step("lineitem", "supplier")
     def loaded_prices(self) -> DataFrame:
-        return self._store(
-            quality.drop_tiny_prices(market.price_quarterly(self.stored_history, self.currency)),
-            "loaded_prices")
+        return self.marked_prices.drop("corrupt")
 
     @step("lineitem", "supplier")
     def corrupt(self) -> DataFrame:
-        return self._store(quality.corrupt_tickers(self.loaded_prices), "corrupt")
+        return self.marked_prices.where("corrupt").select("ticker_yahoo").distinct()
 
     @step("lineitem", "supplier")
     def purged_keys(self) -> DataFrame:
         """Keys of the quarter closes that go with the corrupt tickers, noted at the load."""
-        return self._store(self.loaded_prices.join(self.corrupt, "ticker_yahoo", "left_semi").select("ticker_yahoo", "quarter"), "purged_keys")
+        return self._store(self.marked_prices.where("corrupt").select("ticker_yahoo", "quarter"), "purged_keys")
 
     @step()
     def _purged(self) -> dict[str, DataFrame]:
@@ -250,9 +259,11 @@ class Domain:
 
     @step()
     def raw_panel(self) -> DataFrame:
-        return self._store(panel.raw_panel(
+        self._store_inputs()
+        self._side_by_side("view_rows", "risk")
+        return panel.raw_panel(
             self.view_rows, self.stored_eps, self.price_quarterly, self.dividend, self.risk,
-            self.ticker_map, self.stored_company), "raw_panel")
+            self.ticker_map, self.stored_company)
 
     @step()
     def value_panel(self) -> DataFrame:

@@ -4,6 +4,7 @@
 """
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -22,7 +23,7 @@ from quarterline.plans import panel as pn
 from quarterline.plans import validation as dq
 from quarterline.plans.domain import Domain
 from quarterline.plans.lineage import new_path
-from quarterline.sources import filings, tables as tb
+from quarterline.sources import filings, reference_lists, tables as tb
 from quarterline.sources.ledger import Ledger
 from quarterline.sources.market_history import read_history
 from quarterline.sources.versions import TableSet
@@ -113,6 +114,21 @@ def _(d):
     return universe.excluded_found(fx.ticker_source(d.spark, d.sf_dir), fx.exclusions(d.spark, d.sf_dir))
 
 
+@q("ticker_map_files")
+def _(d):
+    """The map's rows out of JSON documents of both layouts; a number that is none drops its row."""
+    folder = new_path(d.spark, "ticker_map")
+    fx.ticker_files(d.spark, d.sf_dir, folder)
+    return reference_lists.read_ticker_map(d.spark, folder).select("cik", "name", "ticker", "exchange")
+
+
+@q("exclusion_file")
+def _(d):
+    folder = new_path(d.spark, "exclusions")
+    fx.exclusion_file(d.spark, d.sf_dir, folder)
+    return universe.excluded_found(fx.ticker_source(d.spark, d.sf_dir), reference_lists.read_exclusions(d.spark, folder))
+
+
 # --- filings -----------------------------------------------------------------------------
 
 @q("facts_registry_filter")
@@ -425,6 +441,14 @@ def _(d):
     return _returns(d, "writeoff")
 
 
+@q("panel_trimmed")
+def _(d):
+    """The stored panel as a run on a given day reads it: complete quarters only."""
+    last = Q.last_complete_qidx(dt.date(1997, 6, 30))
+    return pn.trim_partial(d.stored_panel, last).groupBy("quarter").agg(
+        F.count("*").alias("n"), F.count("px_adj").alias("prices"), F.max("qidx").cast("long").alias("qidx"))
+
+
 @q("backtest_series")
 def _(d):
     return _r(bt.run_backtest(d.stored_panel, SCREEN).series, 4, "portfolio", "benchmark")
@@ -842,7 +866,6 @@ def _(d):
 
 @q("dq_future_quarters")
 def _(d):
-    import datetime as dt
     return dq.future_quarters(d.view, dt.date(2001, 8, 1)).agg(
         F.count("*").alias("n"), F.max("quarter").alias("max_quarter"))
 

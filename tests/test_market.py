@@ -299,6 +299,16 @@ def test_wrong_figures_show_up(spark):
     assert off(stored.where("cik = 1")) == {2}
 
 
+def test_corrupt_marks_are_the_jumps(spark):
+    rng = random.Random(12)
+    rows = [(f"T{t}", f"{2000 + q // 4}Q{q % 4 + 1}", rng.choice([None, 0.0, -1.0, 1.0, 5.0, 90.0, 101.0, 0.05])) for t in range(40) for q in range(9) if rng.random() < 0.8]
+    pq = spark.createDataFrame(rows, "ticker_yahoo string, quarter string, close_raw double")
+    marked = quality.with_corrupt_mark(pq)
+    assert marked.count() == len(rows)
+    want = {r.ticker_yahoo for r in quality.corrupt_tickers(pq).collect()}
+    assert {(r.ticker_yahoo, r.corrupt) for r in marked.collect()} == {(t, t in want) for t, *_ in rows} and 0 < len(want) < 40
+
+
 def test_a_purge_left_out_shows_up(spark, monkeypatch):
     from quarterline.plans.domain import Domain
     from quarterline.queries import QUERIES
