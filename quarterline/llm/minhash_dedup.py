@@ -9,10 +9,11 @@ Candidates: sets that are equal are one class from the start. Classes that share
 bands of ``ROWS`` coordinates are candidates; a pair at 0.85 shares none with a chance of 6e-11
 (at 0.8: 5e-8). A bucket is never paired up. Its member that shares the most with others is its
 hub, and members are compared with their hubs. What the hubs connect needs no comparing any
-more; of the rest, a text is out where too few of its shingles occur in any other component to
-reach the threshold with a partner of any size in its bucket. What then still shares a bucket
-across components becomes a pair if bitmaps of those shingles allow it, and is compared in full. So no link between different texts is lost, and a group of near copies of any size costs
-about one comparison for each member and band.
+more; of the rest, members of buckets where several components meet are joined on the rarest
+shingles that they would have to share to reach the threshold (``_rest``), and those pairs are
+compared in full. So no link between different texts is lost, a group of near copies of any size costs
+about one comparison for each member and band, and a family whose members are too unlike to be
+linked costs no pairs.
 
 Nulls and texts without words have no shingles and are linked with nothing; a null id likewise,
 its component is null and it is kept. Repeated rows are one document. Rows of one id with
@@ -22,10 +23,11 @@ whole. Other columns, whatever their names, are not touched. An empty table give
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterline.llm.graph import components
@@ -34,7 +36,7 @@ from quarterline.plans.lineage import materialise
 
 T = 128  # coordinates
 ROWS, BANDS = 4, 32
-MAP = 16  # longs of a bitmap of shingles
+RATIO = 1.02  # of neighbouring classes of set sizes
 ROUND = randoms(2 * T, 11)
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 
@@ -137,11 +139,20 @@ def _several(rows: DataFrame) -> DataFrame:
     return rows.join(several, "key", "left_semi")
 
 
-def _reachable(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The members, with ``x`` and a bitmap of what it counts, that can link across components:
-    the number of a member's
-    shingles that occur in several components bounds what it shares with a member of another,
-    and so the size of any partner. Who finds no member that small in its bucket is out."""
+def _size_class(n):
+    """Geometric classes of set sizes."""
+    return F.floor(F.log(n) / math.log(RATIO)).cast("int")
+
+
+def _rest(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components that may reach the threshold, by the rarest shingles they share.
+
+    What two members of different components share are shingles that several components have. Two
+    sets that reach the threshold share at least percent / (100 + percent) of their sizes' sum; so of
+    a member's x such shingles, the rarest first, one of the first x + 1 less that many is among the
+    partner's first ones as well. The sum is taken from classes of the partner's size, each a key of
+    its own with the shingle: texts of one family that are too unlike to be linked have no such
+    shingles left for partners of their size, and no pairs are made of them."""
     own = mixed.select("id", "component", "n").distinct()
     listed = own.join(sets, "id")
 
@@ -153,14 +164,27 @@ def _reachable(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     [pa.array(np.full(len(s), b.column(k)[i].as_py())) for k in range(3)] + [pa.array(s)], ["id", "component", "n", "s"])
 
     rows = listed.select("id", "component", "n", "packed").mapInArrow(run, "id long, component long, n long, s long")
-    shared = rows.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("s")
-    bit = F.expr("shiftleft(1L, cast(s & 63 as int))")
-    own = lambda k: F.expr(f"shiftrightunsigned(s, 6) & {MAP - 1} = {k}")
-    able = rows.join(shared, "s", "left_semi").groupBy("id").agg(
-        F.count("*").alias("x"), *[F.coalesce(F.bit_or(F.when(own(k), bit)), F.lit(0).cast("long")).alias(f"m{k}") for k in range(MAP)])
-    kept = mixed.join(able, "id").where(F.col("x") * 100 >= F.col("n") * percent)
-    least = kept.groupBy("key").agg(F.min("n").alias("least"))
-    return kept.join(least, "key").where(F.col("least") * percent <= F.col("x") * (100 + percent) - F.col("n") * percent).drop("least")
+    shared = rows.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("f")).where("x <> y").select("s", "f")
+    of_id = Window.partitionBy("id")
+    ranked = rows.join(shared, "s").withColumn("x", F.count("*").over(of_id)).withColumn("rank", F.row_number().over(of_id.orderBy("f", "s")))
+    n, x = F.col("n"), F.col("x")
+    # with the smallest partner there can be
+    ranked = materialise(ranked.where(F.col("rank") <= x + 1 - F.ceil(n * percent / 100)).select("id", "component", "n", "x", "rank", "s"), "rare_shingles")
+
+    def reached(c):  # partners of class c have this many shingles at least
+        return F.greatest(F.floor(F.pow(F.lit(RATIO), c)) - 1, F.lit(0))
+
+    def classes(low, high):
+        return F.explode(F.filter(F.sequence(low, high), lambda c: F.col("rank") <= x + 1 - F.ceil((n + reached(c)) * percent / (100 + percent))))
+
+    mine = _size_class(n)
+    larger = ranked.select("s", mine.alias("large"), classes(_size_class(F.greatest(F.floor(n * percent / 100) - 1, F.lit(1))), mine).alias("small"),
+                           F.col("id").alias("a"), F.col("component").alias("component_a"), n.alias("n_a"))
+    smaller = ranked.select("s", classes(mine, _size_class(F.ceil(n * 100 / percent) + 1)).alias("large"), mine.alias("small"),
+                            F.col("id").alias("b"), F.col("component").alias("component_b"), n.alias("n_b"))
+    in_order = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") > F.col("b")))
+    met = larger.join(smaller, ["s", "large", "small"]).where(in_order & (F.col("component_a") != F.col("component_b")) & (F.col("n_b") * 100 >= F.col("n_a") * percent))
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def links(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -192,17 +216,7 @@ def links(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) ->
 
     # what hubs did not connect: compared across components
     placed = buckets.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-    able = materialise(_several(_reachable(materialise(_several(placed), "mixed"), sets, percent)), "able")
-    columns = ("id", "n", "x", "component", *[f"m{k}" for k in range(MAP)])
-    left, right = (able.select("key", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
-
-    def missing(one, two):  # shingles of one that the other surely lacks: a bit of theirs is not set
-        return sum(F.bit_count(F.col(f"m{k}_{one}").bitwiseAND(F.bitwise_not(f"m{k}_{two}"))) for k in range(MAP))
-
-    common = F.least(F.col("x_a") - missing("a", "b"), F.col("x_b") - missing("b", "a"))
-    could = common * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    rest = left.join(right, "key").where("id_a > id_b AND component_a <> component_b").where(close(F.col("n_a"), F.col("n_b")) & could).select(
-        F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    rest = _rest(materialise(_several(placed), "mixed"), sets, percent)
     more = materialise(_verified(rest, sets, percent), "more_links")
     edges = linked.unionByName(more).unionByName(equal)
     return sketch, materialise(components(edges), "components")

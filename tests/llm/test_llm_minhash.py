@@ -72,6 +72,45 @@ def test_families(spark):
     check(spark, list(enumerate(rows)), 5, 80)
 
 
+def test_families_of_unlike_texts(spark, monkeypatch):
+    """Texts that share most of a template and are still too unlike: the template's shingles are the
+    only ones they could be joined on, and no pairs are made of them. A few that are close enough
+    to each other are found among them."""
+    rnd = random.Random(11)
+    word = lambda: f"v{rnd.randrange(10**9)}"
+    template = [word() for _ in range(100)]
+    rows = []
+    for k in range(600):
+        own = [word() for _ in range(24)]
+        rows.append(" ".join(template + own))
+        if k % 60 == 0:  # two words of its own are others: 80 % of the shingles and more are shared
+            rows.append(" ".join(template + own[:-2] + [word(), word()]))
+    made = []
+    real = md._rest
+    monkeypatch.setattr(md, "_rest", lambda *a: made.append(real(*a)) or made[-1])
+    want = check(spark, list(enumerate(rows)), 2, 85)
+    assert len(set(want.values())) == 600
+    assert all(pairs.count() < 200 for pairs in made)
+
+
+def test_no_link_is_lost_without_hubs(spark, monkeypatch):
+    """All links come from the join on rare shingles when hubs link nobody."""
+    rnd = random.Random(13)
+    pool = [f"p{k}" for k in range(60)]
+    rows = []
+    for _ in range(25):
+        base = [rnd.choice(pool) for _ in range(rnd.choice([6, 12, 30, 80]))]
+        for _ in range(5):
+            copy = list(base)
+            for _ in range(rnd.randrange(0, 4)):
+                copy[rnd.randrange(len(copy))] = rnd.choice(pool)
+            rows.append(" ".join(copy[:len(copy) - rnd.randrange(0, 3)]))
+    verified, calls = md._verified, []
+    monkeypatch.setattr(md, "_verified", lambda pairs, *a: verified(pairs.where("false") if not calls.append(1) and len(calls) % 2 else pairs, *a))
+    for width, percent in ((1, 80), (2, 80), (3, 85)):
+        check(spark, list(enumerate(rows)), width, percent)
+
+
 def test_one_id_twice(spark):
     rows = [(5, "a b c d e f g"), (5, "q r s t u v w"), (7, "a b c d e f g"), (3, "q r s t u v w")]
     assert set(check(spark, rows, 3, 85).values()) == {3}
