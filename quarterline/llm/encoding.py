@@ -201,7 +201,7 @@ class SegmentTreeWords:
 class LibraryWords:
     """Asks the tokenizers library's model for the ids of a word."""
 
-    MEMORY = 300_000
+    MEMORY = 600_000
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
