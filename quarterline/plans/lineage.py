@@ -81,12 +81,12 @@ def materialise(df: DataFrame, name: str, path: str | None = None, by: tuple[str
 
     Unlike cached blocks the table survives lost executors, and later reads prune columns and
     push filters into it. The first column of ``by`` is the table's partition, inside which rows
-    are sorted by the others; ranges of all of them are dealt out, so a large partition is
-    written by several tasks.
+    are sorted by the others; adaptive execution has a large partition written by several tasks.
+    (Ranges would need a sample, for which Spark works the whole table out a first time.)
     """
     path = path or new_path(df.sparkSession, name)
     if by:
-        df.repartitionByRange(*by).sortWithinPartitions(*by).write.partitionBy(by[0]).parquet(path)
+        df.hint("rebalance", by[0]).sortWithinPartitions(*by).write.partitionBy(by[0]).parquet(path)
     else:
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -55,14 +55,14 @@ def bulk_append(df: DataFrame, table: str, columns: list[str] | None = None, lay
 def full_refresh(df: DataFrame, table: str, partition_by: str | None = None, sort_by: tuple[str, ...] = (),
                  layout: Buckets | None = None, path: str | None = None) -> None:
     """Replace the whole table by rows that do not come from it, bucketed or partitioned. With
-    ``sort_by`` rows are dealt by ranges of partition and sort columns, so that a large partition is
-    written by several tasks. ``path`` is where a table outside the warehouse lies."""
+    ``sort_by`` the rows of a partition come together and are sorted; adaptive execution has a large
+    one written by several tasks. ``path`` is where a table outside the warehouse lies."""
     if layout:
         _save(df, table, "overwrite", layout, path)
         return
     if sort_by:
         keys = (partition_by, *sort_by) if partition_by else sort_by
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        df = df.hint("rebalance", keys[0]).sortWithinPartitions(*keys)
     w = df.write.mode("overwrite").format("parquet")
     w = w.partitionBy(partition_by) if partition_by else w
     (w.option("path", path) if path else w).saveAsTable(table)
