@@ -2,7 +2,9 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from quarterline.llm import suffix_dedup
@@ -81,3 +83,35 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert {k[0] for k, r in got.items() if r.n_removed} == {6, 7, 10}
     assert all(r.n_removed == r.n_bytes and r.n_spans == 1 for r in got.values() if r.n_removed)
     assert suffix_dedup.removal_report(no_documents, "doc_id", "text").isEmpty()
+
+
+class Task:
+    """Catches what a step runs in its tasks."""
+    def __getattr__(self, name):
+        return lambda *a: self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def peak(run, batch):
+    tracemalloc.start()
+    try:
+        for _ in run(iter([batch])):
+            pass
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_task():
+    """Six tasks of an executor hold some ten MB each, however many texts a batch has."""
+    rnd = random.Random(3)
+    texts = [rnd.randbytes(3000) for _ in range(1000)]
+    docs = pa.RecordBatch.from_pydict({"text": pa.array(range(1000), pa.int64()), "body": pa.array(texts, pa.binary())})
+    assert peak(suffix_dedup._anchors(Task(), 128, 400), docs) < 40
+    n = 4000
+    spots = {k: pa.array(v, pa.int64()) for k, v in {
+        "gram": [i // 2 for i in range(n)], "text": range(n), "place": [272] * n, "low": [0] * n, "high": [272] * n}.items()}
+    contexts = pa.RecordBatch.from_pydict({**spots, "context": pa.array([rnd.randbytes(672) for _ in range(n)], pa.binary())})
+    assert peak(suffix_dedup._small_buckets(Task(), 128, 400), contexts) < 60
