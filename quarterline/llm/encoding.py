@@ -5,8 +5,9 @@ byte-level pre-token never reaches over a single space, so such pieces encode al
 text. Pieces where that doesn't hold (white space beside a space) send their text through the
 plain path. The memory is emptied when it reaches its bound, which costs time only.
 
-Two ways of encoding a word stand behind it: ``SegmentTreeWords`` applies the merges itself,
-``LibraryWords`` asks the tokenizers library's model.
+Two ways of encoding a word stand behind it: ``SegmentTreeWords`` applies the merges itself, to
+the new words of many texts together; ``LibraryWords`` asks the tokenizers library's model for one
+word, when a text first comes to it.
 """
 from __future__ import annotations
 
@@ -207,11 +208,29 @@ class LibraryWords:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(tokenizer_json).model
-        self.shown = {b: c for b, c in enumerate(byte_characters())}
+        self.shown = dict(enumerate(byte_characters()))
+        self.space = self.shown[0x20]
 
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        tokenize = self.model.tokenize
-        return [pack(f"<{len(t)}I", *[x.id for x in t]) for t in (tokenize(w.decode("latin-1").translate(self.shown)) for w in words)]
+    def one(self, word: str) -> bytes:
+        """The ids of a pre-token as little-endian unsigned 32-bit integers."""
+        if word.isascii() and word.isprintable():
+            shown = word.replace(" ", self.space)
+        else:
+            shown = word.encode().decode("latin-1").translate(self.shown)
+        ids = [x.id for x in self.model.tokenize(shown)]
+        return pack(f"<{len(ids)}I", *ids)
+
+
+class _Learnt(dict):
+    """Remembers what ``learn`` says of a key that is new."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, key):
+        found = self[key] = self.learn(key)
+        return found
 
 
 class TextEncoder:
@@ -225,14 +244,17 @@ class TextEncoder:
         if kind.get("type") != "ByteLevel" or kind.get("add_prefix_space") or spec["normalizer"]:
             raise ValueError("a byte-level BPE file without prefix space and normalizer is needed")
         self.words = words
+        self.batched = not hasattr(words, "one")
         self.pre_tokenizer = Tokenizer.from_str(tokenizer_json).pre_tokenizer
         added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
         self.added = added
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         first = {content[0] for content in added}
-        self.mark = first.pop() if len(first) == 1 else ""  # in any text that has an added token
-        self.spaced: dict[str, bytes | None] = {}  # what follows a space; None: needs its text
-        self.known: dict[str, bytes] = {}
+        self.mark = min(first) if len(first) == 1 else ""  # in any text that has an added token
+        self.plain = not any(c.isalpha() for c in first)  # letters alone hold no added token
+        # what follows a space; None: needs its text
+        self.spaced: dict[str, bytes | None] = {} if self.batched else _Learnt(self._piece)
+        self.known: dict[str, bytes] = {} if self.batched else _Learnt(words.one)
 
     def _pretokens(self, text: str) -> list[str]:
         if text.isascii() or not BEYOND.search(text):
@@ -251,10 +273,37 @@ class TextEncoder:
         self.known.update(zip(new, self.words.encode([w.encode() for w in new])))
         self.known.update(self.added)
 
-    def _together(self, texts: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
         if len(self.spaced) > 2 * self.words.MEMORY or len(self.known) > self.words.MEMORY:
             self.spaced.clear()
             self.known.clear()
+
+    def _joined(self, cut: list[str]) -> bytes:
+        """The ids of pre-tokens and added tokens."""
+        known = self.known
+        if len(cut) == 1 and cut[0] not in self.added:
+            return known[cut[0]]
+        return b"".join([self.added[p] if p in self.added else known[p] for p in cut])
+
+    def _piece(self, piece: str) -> bytes | None:
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            return None
+        if self.plain and piece.isalpha() and piece.isascii():  # one pre-token
+            return self.known[" " + piece]
+        return self._joined(self._cut(" " + piece))
+
+    def _one(self, text: str) -> bytes:
+        self._forget()
+        head, *rest = text.split(" ")
+        if not (head[:1].isspace() or head[-1:].isspace()):
+            try:
+                return self._joined(self._cut(head)) + b"".join(map(self.spaced.__getitem__, rest))
+            except TypeError:  # white space beside a space
+                pass
+        return self._joined(self._cut(text))
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        self._forget()
         pieces = [t.split(" ") for t in texts]
         heads = [p[0] for p in pieces]
         new = set(chain.from_iterable(pieces)).difference(self.spaced)
@@ -283,6 +332,9 @@ class TextEncoder:
 
     def encode(self, texts: list[str]):
         """Yields the ids of each text as bytes of little-endian unsigned 32-bit integers."""
+        if not self.batched:
+            yield from map(self._one, texts)
+            return
         part, size = [], 0
         for t in texts:
             part.append(t)

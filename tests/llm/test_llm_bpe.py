@@ -58,3 +58,18 @@ def test_round_trip(spark):
 
 def test_empty(spark, no_documents):
     assert bpe.round_trip_digests(no_documents, "text", PATH).isEmpty()
+
+
+def test_words_are_asked_for_once(monkeypatch):
+    """The library's model sees a word when a text first comes to it; plain words are not cut."""
+    told = read_tokenizer(PATH)
+    words, asked, cut = LibraryWords(told), [], []
+    monkeypatch.setattr(LibraryWords, "one", lambda self, w, one=LibraryWords.one: asked.append(w) or one(self, w))
+    monkeypatch.setattr(TextEncoder, "_cut", lambda self, t, own=TextEncoder._cut: cut.append(t) or own(self, t))
+    enc = TextEncoder(told, words)
+    texts = ["the cat saw the cat", "the dog, the cat", "the dog,", "PAD the cat<|endoftext|>"]
+    got = list(enc.encode(texts))
+    assert sorted(asked) == sorted(["the", " cat", " saw", " the", " dog", ",", "PAD"])
+    assert cut == ["the", "the", " dog,", "the", "PAD", " cat<|endoftext|>"]
+    plain = Tokenizer.from_str(told)
+    assert got == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
