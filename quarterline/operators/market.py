@@ -1,8 +1,9 @@
 """Daily vendor history to price, split, dividend and quarter-close tables.
 
-Two shuffles in all: one that keeps a single row per ticker and day (combined in the map
-tasks, so repeated rows of a hot ticker do not travel), and one on the ticker. After the
-first, a ticker holds at most one row per calendar day, whatever the input size.
+Two shuffles in all: one on ticker and day, which keeps a single row for each, and one on the
+ticker. After the first, a ticker holds at most one row per calendar day, whatever the input size.
+Given the number of ``tasks`` for the rows (``tasks_for``), both deal the rows out to that many, so
+that no task's tables and sorts grow with the input; without it, days are combined before they travel.
 """
 from __future__ import annotations
 
@@ -13,23 +14,31 @@ from quarterline.constants import DIVIDEND_MAX, NUMERIC_MAX, PRICE_CEILING, PRIC
 from quarterline.functions.cleaning import finite, sane_long, sane_number
 from quarterline.functions.quarters import quarter_label
 
+#: Rows of a task; most days have one row, so that combining them first would hold a whole split.
+TASK_ROWS = 200_000
+
 _VALUES = ("open", "high", "low", "close", "adj_close", "volume", "dividends", "stock_splits")
 
 
-def daily_rows(history: DataFrame) -> DataFrame:
+def tasks_for(rows: int) -> int:
+    return 1 + rows // TASK_ROWS
+
+
+def daily_rows(history: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row per ticker and day, the last one ingested; days without a close are dropped.
 
-    All values are numbers, so this is a hash aggregation with map-side combine.
+    All values are numbers, so this is a hash aggregation.
     """
+    rows = history.withColumn("date", F.to_date("ts"))
     return (
-        history.withColumn("date", F.to_date("ts"))
+        (rows.repartition(tasks, "ticker", "date") if tasks else rows)
         .groupBy("ticker", "date")
         .agg(*[F.max_by(c, "pos").alias(c) for c in _VALUES])
         .where(F.col("close").isNotNull() & ~F.isnan("close"))
     )
 
 
-def enriched_history(history: DataFrame) -> DataFrame:
+def enriched_history(history: DataFrame, tasks: int | None = None) -> DataFrame:
     """Daily rows with ``ratio`` (usable split of the day), ``factor`` (product of the splits
     strictly after the day) and ``as_traded`` (close on the basis of its own day)."""
     later = (
@@ -38,8 +47,9 @@ def enriched_history(history: DataFrame) -> DataFrame:
     )
     usable = F.when((sane_number(F.col("stock_splits")) > 0), F.col("stock_splits"))
     cand = F.col("close_ok") * F.col("factor")
+    days = daily_rows(history, tasks)
     return (
-        daily_rows(history)
+        (days.repartition(tasks, "ticker") if tasks else days)
         .withColumn("ratio", usable)
         .withColumn("factor", F.coalesce(F.product("ratio").over(later), F.lit(1.0)))
         .withColumn("close_ok", sane_number(F.col("close")))

@@ -103,10 +103,15 @@ class Domain:
     def history(self) -> DataFrame:
         return self._source(fx.vendor_history)
 
+    @step("lineitem")
+    def tasks(self) -> int:
+        """Tasks for the daily rows; the files' footers tell their number."""
+        return market.tasks_for(self._source(lambda *at: fx.table(*at, "lineitem")).count())
+
     @step("lineitem")
     def enriched(self) -> DataFrame:
         """Lazy: for queries that read the daily pass once."""
-        return market.enriched_history(self.history)
+        return market.enriched_history(self.history, self.tasks)
 
     @step("lineitem")
     def stored_history(self) -> DataFrame:
@@ -255,7 +260,7 @@ class Domain:
 
     @step()
     def risk(self) -> DataFrame:
-        return self._store(risk.stock_risk_quarter(self.price_daily), "risk")
+        return self._store(risk.stock_risk_quarter(self.price_daily.repartition(self.tasks, "ticker_yahoo")), "risk")
 
     @step()
     def raw_panel(self) -> DataFrame:

@@ -26,11 +26,11 @@ class Loaded:
     counts: dict[str, int]
 
 
-def load_market(history: DataFrame, currency: DataFrame | None = None) -> Loaded:
+def load_market(history: DataFrame, currency: DataFrame | None = None, tasks: int | None = None) -> Loaded:
     """Write the daily rows, which all market tables come from, and the quarter closes. Rows kept
     and skipped are counted by the tasks that write them; nothing is read for it again."""
     days, quarters = Observation(), Observation()
-    daily = materialise(market.observed_daily(market.enriched_history(history), days), "daily")
+    daily = materialise(market.observed_daily(market.enriched_history(history, tasks), days), "daily")
     closes = materialise(market.observed_quarters(daily, quarters, currency), "price_quarterly")
     return Loaded({"daily": daily, "price_quarterly": closes}, {**days.get, **quarters.get})
 

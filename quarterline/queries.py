@@ -285,7 +285,7 @@ def _(d):
 @q("fetch_status")
 def _(d):
     u = universe.universe(fx.ticker_source(d.spark, d.sf_dir), fx.exclusions(d.spark, d.sf_dir))
-    return market.fetch_status(market.daily_rows(d.history), u)
+    return market.fetch_status(market.daily_rows(d.history, d.tasks), u)
 
 
 @q("market_load_counters")
@@ -298,7 +298,7 @@ def _(d):
     """Counters of three loads, taken from the writes themselves."""
     raw = fx.eps_source(d.spark, d.sf_dir).unionByName(fx.shares_source(d.spark, d.sf_dir))
     eps = load.load_eps(d.eps_facts)
-    counts = {**load.load_market(d.history).counts, **load.load_facts(raw, fx.AS_OF).counts, **eps.counts}
+    counts = {**load.load_market(d.history, tasks=d.tasks).counts, **load.load_facts(raw, fx.AS_OF).counts, **eps.counts}
     return d.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
 
 

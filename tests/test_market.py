@@ -320,3 +320,15 @@ def test_a_purge_left_out_shows_up(spark, monkeypatch):
     monkeypatch.setattr(quality, "purge", lambda tables, corrupt: tables)
     left = validation.stale_rows(d.price_quarterly, d.purged_keys).first()
     assert left.n == d.purged_keys.count() > 0 and left.jumping > 0
+
+
+def test_daily_rows_are_dealt_to_tasks(spark):
+    """As many tasks as the rows need, whatever the session's number of partitions; the same rows."""
+    rnd = random.Random(4)
+    h = history(spark, [(f"T{rnd.randrange(9)}", rnd.randrange(40), rnd.choice([None, 5.0, 7.5]), 0.1, rnd.choice([0.0, 2.0]), p) for p in range(600)])
+    plain, dealt = market.enriched_history(h), market.enriched_history(h, 7)
+    assert sorted(dealt.collect()) == sorted(plain.collect())
+    assert dealt.rdd.getNumPartitions() == 7
+    risks = risk.stock_risk_quarter(market.price_daily(dealt))  # on the same deal
+    assert risks.rdd.getNumPartitions() == 7
+    assert market.tasks_for(0) == 1 and market.tasks_for(10 * market.TASK_ROWS) == 11
