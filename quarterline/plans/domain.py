@@ -268,7 +268,7 @@ class Domain:
         self._side_by_side("view_rows", "risk")
         return panel.raw_panel(
             self.view_rows, self.stored_eps, self.price_quarterly, self.dividend, self.risk,
-            self.ticker_map, self.stored_company)
+            self.ticker_map, self.stored_company, self.tasks)
 
     @step()
     def value_panel(self) -> DataFrame:

@@ -20,12 +20,14 @@ _TYPES = {
 
 def raw_panel(view_rows: DataFrame, eps_quarterly: DataFrame, price_quarterly: DataFrame,
               dividend: DataFrame, risk: DataFrame, ticker_map: DataFrame,
-              company: DataFrame) -> DataFrame:
+              company: DataFrame, tasks: int | None = None) -> DataFrame:
     """View rows with EPS provenance, split-adjusted price and dividends, risk and name.
 
     A ticker's own company is its smallest cik; EPS provenance is that company's even where
     the view row belongs to another one, named by ``view_cik``. All tables are put on (cik of the view, ticker,
     quarter) and met in one aggregation; rows the view does not have are dropped after it.
+    Given a number of ``tasks``, the rows are dealt out to that many by ticker, and stay there for
+    the windows on the ticker that follow.
     """
     pairs = ticker_pairs(ticker_map)
     own = pairs.groupBy("ticker").agg(F.min("cik").alias("own_cik"))
@@ -54,6 +56,8 @@ def raw_panel(view_rows: DataFrame, eps_quarterly: DataFrame, price_quarterly: D
         ],
         ("cik", "ticker", "quarter"), measures,
     ).where("in_view").withColumnRenamed("cik", "view_cik").drop("in_view")
+    if tasks:  # both, or the join would go by the names' own partitions
+        met, named = met.repartition(tasks, "ticker"), named.repartition(tasks, "ticker")
     return met.join(named, "ticker", "left").select(*[
         F.col({"cik": "own_cik", "name": "entity_name"}.get(c, c)).alias(c)
         for c in RAW_PANEL_COLUMNS

@@ -332,3 +332,25 @@ def test_daily_rows_are_dealt_to_tasks(spark):
     risks = risk.stock_risk_quarter(market.price_daily(dealt))  # on the same deal
     assert risks.rdd.getNumPartitions() == 7
     assert market.tasks_for(0) == 1 and market.tasks_for(10 * market.TASK_ROWS) == 11
+
+
+def test_the_panel_is_dealt_to_tasks(spark, tmp_path, monkeypatch):
+    """By ticker, to as many tasks as the daily rows need; the same rows."""
+    from quarterline.plans.domain import Domain
+    from quarterline.plans.panel import dense_panel
+
+    folder = str(tmp_path)
+    spark.range(500).selectExpr(
+        "id as l_orderkey", "id % 11 as l_partkey", "id % 7 as l_suppkey", "cast(id % 3 as int) as l_linenumber",
+        "cast(1 + id % 5 as double) as l_quantity", "cast((1 + id % 5) * (20 + id % 13) as double) as l_extendedprice",
+        "0.05D as l_discount", "0.02D as l_tax", "'N' as l_returnflag", "'O' as l_linestatus",
+        "cast(date_add(date '1996-01-01', cast(id * 3 as int)) as timestamp) as l_shipdate").write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(7).selectExpr("id as s_suppkey", "concat('Name ', id) as s_name", "0L as s_nationkey").write.parquet(f"{folder}/supplier.parquet")
+    spark.range(1).selectExpr("id as n_nationkey", "'Here' as n_name").write.parquet(f"{folder}/nation.parquet")
+    plain = dense_panel(Domain.of(spark, folder).raw_panel).collect()
+    Domain.forget(spark, folder)
+    monkeypatch.setattr(market, "TASK_ROWS", 60)
+    dealt = dense_panel(Domain.of(spark, folder).raw_panel)
+    assert Domain.of(spark, folder).tasks == 9 == dealt.rdd.getNumPartitions()
+    assert plain and sorted(map(str, dealt.collect())) == sorted(map(str, plain))
+    Domain.forget(spark, folder)
