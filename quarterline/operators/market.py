@@ -24,6 +24,11 @@ def tasks_for(rows: int) -> int:
     return 1 + rows // TASK_ROWS
 
 
+def several(tasks: int | None) -> bool:
+    """One task needs no dealing: few rows go by the session's partitions."""
+    return tasks is not None and tasks > 1
+
+
 def daily_rows(history: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row per ticker and day, the last one ingested; days without a close are dropped.
 
@@ -31,7 +36,7 @@ def daily_rows(history: DataFrame, tasks: int | None = None) -> DataFrame:
     """
     rows = history.withColumn("date", F.to_date("ts"))
     return (
-        (rows.repartition(tasks, "ticker", "date") if tasks else rows)
+        (rows.repartition(tasks, "ticker", "date") if several(tasks) else rows)
         .groupBy("ticker", "date")
         .agg(*[F.max_by(c, "pos").alias(c) for c in _VALUES])
         .where(F.col("close").isNotNull() & ~F.isnan("close"))
@@ -49,7 +54,7 @@ def enriched_history(history: DataFrame, tasks: int | None = None) -> DataFrame:
     cand = F.col("close_ok") * F.col("factor")
     days = daily_rows(history, tasks)
     return (
-        (days.repartition(tasks, "ticker") if tasks else days)
+        (days.repartition(tasks, "ticker") if several(tasks) else days)
         .withColumn("ratio", usable)
         .withColumn("factor", F.coalesce(F.product("ratio").over(later), F.lit(1.0)))
         .withColumn("close_ok", sane_number(F.col("close")))
