@@ -268,3 +268,34 @@ def test_derived_quarter_excludes_hidden_fourth(spark):
     assert n(base + [outside]) == 1
     assert n(base + [outside, inside]) == 0
     assert n(base + [(1, BASIC, d(2020, 10, 1), d(2020, 12, 31), 1.0, "a", "10-Q", None)]) == 0
+
+
+def test_facts_come_from_one_pass_over_the_lines(spark, tmp_path):
+    """EPS reads the lines once, its annual figures are of the same sums; all facts share one stored sum."""
+    from quarterline import fixtures as fx
+    from quarterline.plans.domain import Domain
+
+    lines = [(o, c, 2, dt.datetime(1995, 3 * q - 1, 5), 10.0, float(19000 + 1000 * q))
+             for o, (c, q) in enumerate([(1, 1), (1, 2), (1, 3), (1, 4), (2, 1), (7, 1), (7, 2), (7, 3), (7, 4), (None, 1)])]
+    lines.append((99, 1, 2, None, 10.0, 20000.0))
+    folder = str(tmp_path)
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz, l_quantity double, l_extendedprice double",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    eps = fx.eps_source(spark, folder)
+    assert eps._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+    def rows(df):
+        return sorted((r.cik, r.concept.split(":")[1][:8], r.fp, r.start, r.val) for r in df.where("cik is not null").collect())
+
+    of = [("Q1", "1995-01-01", 0.05), ("Q2", "1995-04-01", 0.15), ("Q3", "1995-07-01", 0.25), ("Q4", "1995-10-01", 0.35)]
+    wanted = [(1, name, *x) for name in ("Earnings", "Revenues") for x in of[:3]] + [(1, "Earnings", "FY", "1995-01-01", 0.81)]
+    wanted += [(2, "Earnings", *of[0])] * 2 + [(7, name, *x) for name in ("Earnings", "Revenues") for x in of[:3]]
+    wanted = sorted(wanted)
+    assert rows(eps) == wanted
+
+    d = Domain(spark, folder)
+    for facts_of in (d.eps_facts, d.shares_facts, d.float_facts):
+        files = facts_of.inputFiles()
+        assert files and not any("lineitem" in f for f in files)
+    assert list(d.paths) == ["quarter_sums"] and rows(fx.eps_source(spark, folder, d.quarter_sums)) == wanted
